@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, license_scan, mixing, secret_scan, sharding, toxicity, url_filter
+from . import decontaminate, jaccard_join, license_scan, mixing, nearest, secret_scan, sharding, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_sharding": sharding.op2_sharding,
+    "op3_nearest": nearest.op3_nearest,
+    "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_secret_scan": secret_scan.op9_secret_scan,

@@ -256,7 +256,7 @@ def _logistic(f: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndar
     return mean, spread, w
 
 
-def _features(docs: DataFrame, p: Params, head: tuple | None) -> DataFrame:
+def _features(docs: DataFrame, p: Params, head: tuple | None, drop: tuple[str, ...] = ("text",)) -> DataFrame:
     """One row for each row of docs, in its partition: the window features, or the score once there is a head."""
     what = "score double, n_windows int, worst_word long" if head else ", ".join(f"f{j} double" for j in range(FEATURES))
 
@@ -264,7 +264,7 @@ def _features(docs: DataFrame, p: Params, head: tuple | None) -> DataFrame:
         for batch in batches:
             for a, b, data, offsets in textops.pieces(batch.column("text"), 2 * textops.PIECE):
                 f, many, worst = _document_features(p, data, offsets, b - a)
-                other = [c for c in batch.schema.names if c != "text"]
+                other = [c for c in batch.schema.names if c not in drop]
                 cols = [batch.column(c).slice(a, b - a) for c in other]
                 if head:
                     mean, spread, w = head
@@ -273,7 +273,7 @@ def _features(docs: DataFrame, p: Params, head: tuple | None) -> DataFrame:
                 else:
                     yield pa.RecordBatch.from_arrays([*cols, *(pa.array(f[:, j]) for j in range(FEATURES))], [*other, *(f"f{j}" for j in range(FEATURES))])
 
-    kept = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if c != "text")
+    kept = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if c not in drop)
     return docs.mapInArrow(work, f"{kept}, {what}")
 
 
@@ -313,11 +313,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: in
     return p, head
 
 
-def score(docs: DataFrame, model: tuple[Params, tuple] | None) -> DataFrame:
+def score(docs: DataFrame, model: tuple[Params, tuple] | None, keep_text: bool = False) -> DataFrame:
     """docs (any columns with text) without text, with score, n_windows, worst_word (the first word of the worst window)."""
+    docs = docs.drop("score", "n_windows", "worst_word")
+    drop = () if keep_text else ("text",)
     if model is None:
-        return docs.drop("text").withColumns({"score": F.lit(0.0), "n_windows": F.lit(0), "worst_word": F.lit(0).cast("long")})
-    return _features(docs, *model)
+        return docs.drop(*drop).withColumns({"score": F.lit(0.0), "n_windows": F.lit(0), "worst_word": F.lit(0).cast("long")})
+    return _features(docs, *model, drop)
+
+
+def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs without the rows that the model, fitted on the labelled rows among docs, predicts to be toxic; all columns stay."""
+    scored = score(docs, fit(docs.select("doc_id", "text"), labels), keep_text=True)
+    return scored.where(F.col("score") < THRESHOLD).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
