@@ -115,7 +115,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in textops.pieces(batch.column("text"), 4 * textops.PIECE):
+            for _, _, data, offsets in textops.pieces(batch.column("text")):
                 found = runs(data, offsets, length, gram)
                 if not found:
                     continue
@@ -168,7 +168,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
                 part = batch.slice(k, 4096)
                 held.append(part)
                 size += part.nbytes
-                if size < 4 << 20:
+                if size < 1 << 20:
                     continue
                 t = pa.Table.from_batches(held).combine_chunks()
                 a = t.column("a").to_numpy()

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20  # bytes of text worked on at a time; one longer text makes a piece of its own
+PIECE = 1 << 19  # bytes of text worked on at a time; one longer text makes a piece of its own
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
