@@ -1,7 +1,7 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Texts are normalised (A-Z lower-cased, every run of other bytes than letters, digits and non-ASCII to one space). A match
-is a region of a document within ``budget(m)`` edits (8 % of m bytes, fewer for short ones) of a passage of a benchmark item:
+is a region of a document within ``budget(m)`` edits (6 % of m bytes, fewer for short ones) of a passage of a benchmark item:
 the whole item, or of one longer than ``WHOLE`` bytes each of its overlapping passages of ``PASSAGE`` bytes. By the q-gram
 lemma such a region shares at least m - q + 1 - q * e of the item's q-grams with it, all on neighbouring diagonals. Shared
 q-grams are counted in overlapping bands of diagonals; bands that reach the bound are kept and verified by banded
@@ -28,7 +28,7 @@ from . import textops
 from .shared import table
 
 Q = 10
-EDITS = 0.08
+EDITS = 0.06
 SHORTEST = 24
 WHOLE, PASSAGE, STEP = 192, 128, 64
 CHUNK_BYTES = 4 << 20
