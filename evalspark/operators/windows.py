@@ -16,7 +16,7 @@ def windowed(df: DataFrame, size: str, step: str | None = None, ts: str = "ts")
 
 def rank_percentile(values: str, p: int) -> Column:
     """The value at rank min(floor(n * p / 100), n - 1) of a sorted array; null for an empty one."""
-    return F.expr(f"try_element_at({values}, cast(least(floor(size({values}) * {p} / 100), size({values}) - 1) + 1 as int))")
+    return F.expr(f"get({values}, cast(least(floor(size({values}) * {p} / 100), size({values}) - 1) as int))")
 
 
 def brief_summary(df: DataFrame, size: str) -> DataFrame:
@@ -34,8 +34,8 @@ def full_summary(df: DataFrame, size: str, upper_median: bool = False) -> DataFr
         F.count("*").alias("count"), F.count("num").alias("numeric_count"), F.coalesce(F.sum("num"), F.lit(0.0)).alias("sum"), F.coalesce(F.avg("num"), F.lit(0.0)).alias("mean"),
         F.coalesce(F.stddev_pop("num"), F.lit(0.0)).alias("std"), F.min("num").alias("min"), F.max("num").alias("max"), F.sort_array(F.collect_list("num")).alias("_v"),
     )
-    lower = F.expr("try_element_at(_v, cast(floor((size(_v) + 1) / 2) as int))")
-    upper = F.expr("try_element_at(_v, cast(floor(size(_v) / 2) + 1 as int))")
+    lower = F.expr("get(_v, cast(floor((size(_v) + 1) / 2) - 1 as int))")
+    upper = F.expr("get(_v, cast(floor(size(_v) / 2) as int))")
     return out.withColumns({"median": upper if upper_median else (lower + upper) / 2, "p95": rank_percentile("_v", 95), "p99": rank_percentile("_v", 99)}).drop("_v")
 
 
