@@ -108,3 +108,19 @@ def canonical(**fields: Column) -> Column:
     """The canonical form that our own chains hash: fields by name, as ``{"name": value, ...}``."""
     parts = [F.concat(F.lit(f'"{k}": '), v) for k, v in sorted(fields.items())]
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+
+
+def unix_or_zero(text: Column) -> Column:
+    """Seconds since 1970 of a timestamp in SQL's form; 0 if it can't be read."""
+    return F.coalesce(F.unix_timestamp(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]"))), F.lit(0))
+
+
+def correlation_id(headers: Column) -> Column:
+    """The correlation id among headers (array of key and value), whatever the case of its key; a new one if there is none."""
+    found = F.filter(headers, lambda h: F.lower(h["key"]) == "x-correlation-id")
+    return F.coalesce(F.get(found, 0)["value"].cast("string"), F.uuid())
+
+
+def signature(content_hash: Column, prev_hash: Column, secret: str) -> Column:
+    """A keyed hash over a chain's two hashes; the default of the pluggable check."""
+    return F.sha2(F.concat(F.lit(secret), content_hash, F.coalesce(prev_hash, F.lit(""))), 256)
