@@ -138,13 +138,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         rows.groupBy("cls", "size", "grp").agg(F.min("th").alias("th"), F.min("doc_id").alias("low"), F.first("prefix").alias("prefix")).withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
-    groups = classes.groupBy("grp").agg(F.min("id").alias("gid"))
+    groups = classes.groupBy("grp").agg(F.min("id").alias("gid"), F.count("*").alias("members"))
     members = materialize(classes.select("id", "size", "grp").join(groups, "grp").select("id", "gid", "size"), "members")
     # a step of this width in size always covers the sizes that can still be similar, so two steps meet every partner
     step = F.floor(F.log(F.col("size").cast("double")) / F.lit(math.log(100 / percent) if percent < 100 else 1.0)).cast("int")
-    tokens = classes.join(groups.select(F.col("gid").alias("id")), "id", "left_semi").select(F.col("id").alias("gid"), "size", step.alias("step"), F.posexplode("prefix").alias("pos", "token"))
-    often = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    shared = materialize(tokens.join(often, "token"), "shared")
+    tokens = classes.join(groups.select(F.col("gid").alias("id"), "members"), "id").select(F.col("id").alias("gid"), "size", "members", step.alias("step"), F.posexplode("prefix").alias("pos", "token"))
+    # members of one group share the whole prefix, so its first shingle is enough for them to meet each other in round 2
+    often = tokens.groupBy("token").agg(F.count("*").alias("n"), F.bool_or(F.expr("pos = 0 and members > 1")).alias("own")).where("n > 1 or own").select("token")
+    shared = materialize(tokens.drop("members").join(often, "token"), "shared")
 
     # round 1: one leader a shingle and size step, the group that has fewest rarer shingles: among near copies the one
     # closest to their original. Every group meets, in its own and the next step, the two leaders it shares most with

@@ -8,10 +8,11 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from evalspark.llm import decontaminate, jaccard_join, license_scan, mixing, nearest, queries, secret_scan, sharding, suffix_dedup, toxicity, url_filter
+from evalspark.llm import decontaminate, jaccard_join, license_scan, mixing, nearest, queries, secret_scan, sharding, suffix_dedup, textops, toxicity, url_filter
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -87,6 +88,23 @@ def test_jaccard_components(spark, odd, n, percent):
     assert got == want
 
 
+def test_jaccard_links_inside_a_prefix_group(spark, monkeypatch):
+    """Copies that are similar to their original only: same size and prefix, and no other group has a shingle of it."""
+    texts, ranks = [], np.ones(1 << jaccard_join.SLOT_BITS, np.uint16)
+    for g in range(6):
+        base = [f"g{g}w{i}" for i in range(62)]
+        some = [" ".join(f"g{g}x{k}" if i == 5 + 8 * k else w for i, w in enumerate(base)) for k in range(6)]
+        some.insert(3, " ".join(base))
+        sets = [s for _, _, data, offsets in textops.pieces(pa.array(some)) for s in textops.shingle_sets(data, offsets, 3)]
+        common = sorted(set.intersection(*(set(s.tolist()) for s in sets)))[:10]
+        ranks[np.array(common, np.uint64) >> np.uint64(64 - jaccard_join.SLOT_BITS)] = 0
+        texts += some
+    monkeypatch.setattr(jaccard_join, "slot_ranks", lambda docs, n: ranks)
+    want = brute_components(list(enumerate(texts)), 3, 90)
+    got = collections.Counter(tuple(r) for r in jaccard_join.jaccard_components(docs(spark, texts), 3, 90).select("doc_id", "n_shingles", "component_id").collect())
+    assert got == want and len({c for _, _, c in want}) == 6
+
+
 @pytest.mark.parametrize("hot", [2, 50_000])
 def test_suffix_dedup(spark, odd, hot):
     rows = [(r.doc_id, (r.text or "").encode()) for r in odd.collect()]
