@@ -2,7 +2,8 @@
 
 Texts are normalised (A-Z lower-cased, every run of other bytes than letters, digits and non-ASCII to one space). A match
 is a region of a document within ``budget(m)`` edits (6 % of m bytes, fewer for short ones) of a passage of a benchmark item:
-the whole item, or of one longer than ``WHOLE`` bytes each of its overlapping passages of ``PASSAGE`` bytes. By the q-gram
+the whole item up to ``WHOLE`` bytes, or, of one longer than ``PASSAGE`` bytes, any ``PASSAGE`` bytes that follow each
+other, wherever they start. Shorter quotations of such an item are no match. By the q-gram
 lemma such a region shares at least m - q + 1 - q * e of the item's q-grams with it, all on neighbouring diagonals. Shared
 q-grams are counted in overlapping bands of diagonals; bands that reach the bound are kept and verified by banded
 alignment, which gives the true distance and the span.
@@ -95,19 +96,12 @@ def best_alignment(item: np.ndarray, text: np.ndarray, low: int, high: int, limi
 
 
 class Items:
-    """The q-grams of one chunk of items, sorted by hash, with passage and place."""
+    """The q-grams of one chunk of items, sorted by hash, with item and place."""
 
     def __init__(self, ids: list[int], texts: list[str]):
         (_, _, data, offsets), = textops.pieces(pa.array(texts, pa.string()), 1 << 40)
         data, offsets, _ = normalise(data, offsets)
-        cuts = []
-        for i in range(len(ids)):
-            a, b = int(offsets[i]), int(offsets[i + 1])
-            cuts += [(ids[i], a, b)] if b - a <= WHOLE else [(ids[i], s, s + PASSAGE) for s in [*range(a, b - PASSAGE, STEP), b - PASSAGE]]
-        self.ids = np.array([i for i, _, _ in cuts])
-        data = np.concatenate([data[a:b] for _, a, b in cuts])
-        offsets = np.concatenate([[0], np.cumsum([b - a for _, a, b in cuts])])
-        self.data, self.offsets = data, offsets
+        self.ids, self.data, self.offsets = np.array(ids), data, offsets
         h = textops.Rolling(data).grams(Q)
         item = np.searchsorted(offsets, np.arange(len(h)), "right") - 1
         ok = np.arange(len(h)) + Q <= offsets[item + 1]
@@ -120,7 +114,7 @@ class Items:
         self.slots[(self.h >> np.uint64(44)).astype(np.int64)] = True
 
     def matches(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(row, item, edits, start, end) of the best region of every item that a row contains, and of each further band."""
+        """(row, item, edits, start, end) of the regions of every item that a row contains, by start."""
         if len(data) < Q or not len(self.h):
             return []
         h = textops.Rolling(data).grams(Q)
@@ -135,37 +129,85 @@ class Items:
             return []
         which = np.repeat(lo, many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
         item, diagonal = self.item[which], at - offsets[row] - self.place[which]
+        place = self.place[which]
         m = (self.offsets[1:] - self.offsets[:-1])[item]
         # first without diagonals: a row and an item that share too few q-grams in all can't reach the bound in a band
         pair, each, total = np.unique(row * len(self.ids) + item, return_inverse=True, return_counts=True)
-        need = m - Q + 1 - Q * budget(m)
-        ok = total[each] >= need
-        row, item, diagonal, m, need = row[ok], item[ok], diagonal[ok], m[ok], need[ok]
-        if not len(row):
-            return []
+        out: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+        for whole in (True, False):
+            size = m if whole else np.full(len(m), PASSAGE)
+            need = size - Q + 1 - Q * budget(size)
+            ok = (total[each] >= need) & ((m <= WHOLE) if whole else (m > PASSAGE))
+            if ok.any():
+                self._bands(data, offsets, *(x[ok] for x in (row, item, diagonal, place, need, budget(size) + 1)), whole, out)
+        return [(r, i, *f) for (r, i), found in sorted(out.items()) for f in sorted(found, key=lambda f: (f[1], f[2], f[0]))]
+
+    def _bands(self, data, offsets, row, item, diagonal, place, need, span, whole: bool, out: dict) -> None:
         # bands are 2(e + 1) wide and start every e + 1, so that any e + 1 neighbouring diagonals lie within one
-        span = budget(m) + 1
         band = np.floor_divide(diagonal, span)
-        row2, item2, need2, span2, diagonal2 = (np.concatenate([x, x]) for x in (row, item, need, span, diagonal))
-        band2 = np.concatenate([band, band - 1])
-        order = np.lexsort((band2, item2, row2))
-        row2, item2, band2, need2, span2, diagonal2 = (x[order] for x in (row2, item2, band2, need2, span2, diagonal2))
-        first = np.flatnonzero(np.r_[True, (row2[1:] != row2[:-1]) | (item2[1:] != item2[:-1]) | (band2[1:] != band2[:-1])])
-        counts = np.diff(np.r_[first, len(row2)])
-        good = counts >= need2[first]
-        out = set()
+        row, item, need, span, diagonal, place = (np.concatenate([x, x]) for x in (row, item, need, span, diagonal, place))
+        band = np.concatenate([band, band - 1])
+        order = np.lexsort((place, band, item, row))
+        row, item, band, need, span, diagonal, place = (x[order] for x in (row, item, band, need, span, diagonal, place))
+        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])])
+        counts = np.diff(np.r_[first, len(row)])
+        good = counts >= need[first]
         for k, n in zip(first[good], counts[good], strict=True):
-            r, i, b, w = int(row2[k]), int(item2[k]), int(band2[k]), int(span2[k])
+            r, i, b, w, least = int(row[k]), int(item[k]), int(band[k]), int(span[k]), int(need[k])
             text, ref = data[offsets[r] : offsets[r + 1]], self.data[self.offsets[i] : self.offsets[i + 1]]
-            most = np.bincount(diagonal2[k : k + n] - b * w).argmax() + b * w
-            if most >= 0 and np.array_equal(text[most : most + len(ref)], ref):  # no edits at all
-                out.add((r, i, 0, int(most), int(most) + len(ref)))
-                continue
             low, high = b * w, b * w + 2 * w - 1
-            found = best_alignment(ref, text, low - w, high + w, int(budget(len(ref))))
-            if found:
-                out.add((r, i, *found))
-        return sorted(out)
+            most = int(np.bincount(diagonal[k : k + n] - low).argmax()) + low
+            found = out.setdefault((r, i), [])
+            if whole:
+                if most >= 0 and np.array_equal(text[most : most + len(ref)], ref):  # no edits at all
+                    one = (0, most, most + len(ref))
+                else:
+                    one = best_alignment(ref, text, low - w, high + w, int(budget(len(ref))))
+                if one and one not in found:
+                    found.append(one)
+            else:
+                self._passages(text, ref, place[k : k + n], least, low, high, w, most, found)
+            if not found:
+                del out[r, i]
+
+    @staticmethod
+    def _passages(text, ref, place, least: int, low: int, high: int, w: int, most: int, found: list) -> None:
+        """Adds the regions of text that passages of ref match, wherever these start."""
+        # equal runs along the commonest diagonal need no alignment
+        a, b = max(0, -most), min(len(ref), len(text) - most)
+        if b - a >= PASSAGE:
+            edge = np.flatnonzero(np.diff(np.r_[0, (ref[a:b] == text[a + most : b + most]).astype(np.int8), 0])) + a
+            for s, e in zip(edge[::2], edge[1::2], strict=True):
+                if e - s >= PASSAGE:
+                    found[:] = [f for f in found if not (s + most <= f[1] and f[2] <= e + most)]
+                    found.append((0, int(s) + most, int(e) + most))
+        # starts of passages that hold enough of the q-grams
+        ends = place[least - 1 :]
+        begins = place[: len(ends)]
+        near = ends - begins <= PASSAGE - Q
+        from_, to = np.maximum(0, ends[near] - (PASSAGE - Q)), np.minimum(begins[near], len(ref) - PASSAGE)
+        mark = np.zeros(len(ref) + 2, np.int64)
+        np.add.at(mark, from_[from_ <= to], 1)
+        np.add.at(mark, to[from_ <= to] + 1, -1)
+        may = np.cumsum(mark) > 0
+        limit, s, last = w - 1, 0, -1
+        while True:
+            left = np.flatnonzero(may[s:])
+            if not len(left):
+                return
+            s += int(left[0])
+            if any(f[1] <= s + d and s + d + PASSAGE <= f[2] for f in found for d in (low, most, high)):  # known already
+                s += 1
+                continue
+            # a start k bytes further on saves k edits at most, so what is far above the limit lets starts be left out
+            one = best_alignment(ref[s : s + PASSAGE], text, s + low - w, s + high + w, limit + w)
+            if one is None or one[0] > limit:
+                s += w if one is None else min(w, one[0] - limit)
+                continue
+            if not any(f[1] <= one[1] and one[2] <= f[2] for f in found):
+                found.append(one)
+            stop = s + int(np.argmin(may[s:]))  # past the last start of this run
+            s = s + STEP if s + STEP < stop else max(s + 1, stop - 1)
 
 
 def _chunks(benchmark: DataFrame) -> Iterator[Items]:
@@ -184,7 +226,7 @@ def _chunks(benchmark: DataFrame) -> Iterator[Items]:
 def find(docs: DataFrame, benchmark: DataFrame, keep_text: bool = False) -> DataFrame:
     """docs without text, with leaks: array<struct<item_id, edits, start, end>>; spans are UTF-8 bytes of the input.
 
-    Passages of one item that follow each other make one leak; its edits are the sum over its passages.
+    Regions of one item that overlap make one leak; its edits are the sum over its regions.
     """
     own = [(c, t) for c, t in docs.dtypes if c != "leaks"]
     kind = pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])

@@ -149,6 +149,17 @@ def test_decontamination(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 4, 5] and kept.columns == docs(spark, texts).columns
 
 
+def test_quotations_at_every_offset(spark):
+    rng = random.Random(8)
+    long, mid = words(rng, 80)[:430].strip(), words(rng, 40)[:190].strip()
+    bench = spark.createDataFrame([(1, long), (2, mid)], "item_id long, text string")
+    cases = [(1, long[i : i + 130]) for i in range(len(long) - 130)] + [(2, mid[i : i + 150]) for i in range(len(mid) - 150)]
+    cases += [(1, q[:40] + "#q" + q[42:90] + q[91:]) for q in (long[i : i + 160] for i in range(0, len(long) - 160, 7))]
+    texts = [words(rng, 20) + " zz " + q + " zz " + words(rng, 20) for _, q in cases]
+    got = {r.doc_id: {x.item_id for x in r.leaks} for r in decontaminate.find(docs(spark, texts), bench).collect()}
+    assert [d for d, (i, _) in enumerate(cases) if got[d] != {i}] == []
+
+
 def test_banded_alignment_is_the_edit_distance():
     rng = random.Random(4)
     for _ in range(60):
