@@ -1,9 +1,10 @@
 """License scan by sentence rules, in DataFrame expressions only.
 
-A whole text is cut into sentences at line ends and after . ! ? ; followed by white space; each is normalised (A-Z
-lower-cased, everything but letters and digits to single spaces) and looked up among the known licence sentences. The
-identifiers of a text, in order and with ``/`` where unknown sentences lie between, are then matched against the
-ordered licence rules: an earlier rule takes its sentences away from later ones.
+A whole text is normalised (A-Z lower-cased, everything but letters and digits to single spaces; marks and list numbers
+at the start of a line are left out) and keeps its line ends and its sentence ends: . ! ? ; followed by white space, and
+blank lines. A known licence sentence may run over line ends, as wrapped texts do, but over no sentence end; it starts
+and ends at one or the other. The identifiers of a text, in order and with ``/`` where unknown sentences lie between, are
+then matched against the ordered licence rules: an earlier rule takes its sentences away from later ones.
 
 The sentence table is part of the operator and bounded (``SENTENCES``), so the lookup is a map literal in the
 expression; no row leaves its partition.
@@ -59,21 +60,32 @@ RULES = [
 ]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# the SQL cuts at every line end and takes sentences longer than LONGEST as unknown: the same where nothing is wrapped
 CUT = r"[\n\r]+|[.!?;]+[\x20\t]+|[.!?;]+$"
-LONGEST = 2 * max(map(len, SENTENCES))  # a sentence longer than this before normalising is taken as unknown
+LONGEST = 2 * max(map(len, SENTENCES))
 
 
 def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, str]] | None = None) -> DataFrame:
     """docs without text, with n_known (known sentences), sequence (their identifiers) and licences (comma-joined, in order of rules)."""
     sentences, rules = sentences or SENTENCES, rules or RULES
-    known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    longest = max(LONGEST, 2 * max(map(len, sentences)))
-    short = min(map(len, sentences))
-    cut = F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), CUT)
-    # the first words decide for nearly all sentences that they are unknown; only the others are normalised
-    normal = lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))
-    ids = F.transform(cut, lambda s: F.when(F.length(s).between(short, longest), F.coalesce(F.element_at(known, normal(s)), F.lit("/"))).otherwise(F.lit("/")))
-    out = docs.withColumn("_ids", F.regexp_replace(F.array_join(ids, ""), "//+", "/")).withColumn("sequence", F.expr("trim(BOTH '/' FROM _ids)")).drop("_ids", "text")
+    wrapped = lambda s: s.replace(" ", "[ \n]")
+    text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
+    # line ends, with all marks and list numbers after them; then sentence ends and blank lines as \f; then the words
+    text = F.regexp_replace(text, r"(?:\r\n|[\r\n])[^a-z0-9\r\n]*(?:(?:[0-9]{1,2}|[a-z])[.)][\x20\t]+[^a-z0-9\r\n]*)?", "\n")
+    text = F.regexp_replace(text, r"\n{2,}|[.!?;]+(?:[\x20\t\n]+|$)", "\f")
+    text = F.regexp_replace(text, r"[^a-z0-9\n\f]+", " ")
+    text = F.regexp_replace(text, " ?([\n\f]) ?", "$1")
+    text = F.trim(text)
+    # the first words decide for nearly all texts that they hold no known sentence
+    starts = "|".join(sorted({wrapped(" ".join(s.split()[:2])) for s in sentences}))
+    out = docs.withColumn("_text", text)
+    ids = F.col("_text")
+    for sentence, name in sorted(sentences.items(), key=lambda x: (-len(x[0]), x)):
+        ids = F.regexp_replace(ids, rf"(?<![^\n\f]){wrapped(sentence)}(?![^\n\f])", name.upper())
+    # what is left in lower case is unknown; a known sentence is a capital that stands alone
+    ids = F.lower(F.regexp_replace(F.regexp_replace(ids, r"[a-z0-9 ]+", "/"), r"[\n\f]+", ""))
+    ids = F.when(F.col("_text").rlike(rf"(?:^|[\n\f])(?:{starts})"), F.regexp_replace(ids, "//+", "/")).otherwise(F.lit(""))
+    out = out.withColumn("_ids", ids).withColumn("sequence", F.expr("trim(BOTH '/' FROM _ids)")).drop("_ids", "_text", "text")
     left, found = F.col("sequence"), []
     for i, (_, run) in enumerate(rules):
         name = f"_left{i}"

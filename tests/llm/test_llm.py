@@ -232,6 +232,25 @@ def test_licences(spark, odd):
     assert got == ["MIT", "Apache-2.0", "", ""]
 
 
+def test_licences_in_wrapped_texts(spark):
+    import textwrap
+
+    mit = ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE."]
+    bsd = ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."]
+    gpl = ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "This program is distributed in the hope that it will be useful."]
+    apache = ["Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at", "    http://www.apache.org/licenses/LICENSE-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."]
+    want = {"MIT": mit, "BSD-3-Clause": bsd, "GPL-3.0-or-later": gpl, "Apache-2.0": apache}
+    texts, names = [], []
+    for name, parts in want.items():
+        lines = [x for p in ["Copyright (c) 2020 A Person", *parts] for x in [*textwrap.wrap(p, 72), ""]]
+        for mark, end in [("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("//" + " " * 200, "\n"), (";; ", "\n")]:
+            texts.append(end.join((mark + x).rstrip() for x in lines) + end + "code = 1")
+            names.append(name)
+    got = {r.doc_id: r for r in license_scan.scan(docs(spark, texts)).collect()}
+    assert [got[i].licences for i in range(len(texts))] == names
+    assert {got[i].sequence for i, n in enumerate(names) if n == "BSD-3-Clause"} == {"pqrst"}
+
+
 def test_pipeline_stages_keep_columns(spark):
     import corpus_pipeline
 
