@@ -15,14 +15,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none, as in tests."""
+    """The folder that driver and executors share. Where the session names none, a local one will do in local mode, as in tests; elsewhere that is an error."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where
 
 
+def helper(docs: DataFrame, name: str) -> str:
+    """A name for a column of our own that no column of ``docs`` has, whatever its case."""
+    taken = {c.lower() for c in docs.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends there and a lost executor loses nothing."""
     spark = df.sparkSession
