@@ -39,7 +39,7 @@ from .shared import bitmap, helper, in_bitmap, materialize, table
 
 LENGTH, GRAM = 200, 24
 HOT = 8_192
-OPEN_BITS = (16, 28)  # a bitmap of 8 KB to 32 MB, by the number of buckets that need bytes; an exact join follows it
+MAP_BITS = (16, 28)  # bitmaps of 8 KB to 32 MB, by the number of buckets; they thin what exact joins then settle
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -128,21 +128,32 @@ def repeated_starts(docs: DataFrame, key: list[str], length: int = LENGTH, gram:
     kinds = dict(docs.dtypes)
     keyed = ", ".join(f"`{c}` {kinds[c]}" for c in key)
 
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in textops.pieces(batch.column("text")):
+                found = runs(data, offsets, length, gram)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "u"])
+
+    names = materialize(docs.select("text").mapInArrow(named, "a long, u long").groupBy("a", "u").agg(F.count("*").alias("c")), "names")
+    buckets = materialize(names.groupBy("a").agg(F.count("*").alias("names"), F.min("c").alias("least"), F.sum("c").alias("rows")).where("rows > 1").select("a", "names", "least"), "buckets")
+    opened = buckets.where("names > 1 and least = 1").select("a", "names")
+    n_buckets, n_open, n_hot = buckets.select(F.count("*"), F.count(F.expr("if(names > 1 and least = 1, 1, null)")), F.count(F.expr(f"if(names > {hot} and least = 1, 1, null)"))).first()
+    width = lambda n: 1 << min(MAP_BITS[1], max(MAP_BITS[0], (16 * n).bit_length()))
+    seen, wanted = bitmap(buckets, "a", width(n_buckets)), bitmap(opened, "a", width(n_open))
+
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, _, data, offsets in textops.pieces(batch.column("text")):
                 found = runs(data, offsets, length, gram)
                 if found:
-                    a, u, lo, hi, _ = found
+                    some = in_bitmap(seen, found[0])
+                    a, u, lo, hi, _ = (x[some] for x in found)
                     row = np.searchsorted(offsets, lo, "right") - 1
                     take = pa.array(at + row)
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(u), *(batch.column(c).take(take) for c in key), pa.array(lo - offsets[row], pa.int32()), pa.array(hi - lo + 1, pa.int32())], ["a", "u", *key, "lo", "n"])
 
-    every = materialize(docs.mapInArrow(occurrences, f"a long, u long, {keyed}, lo int, n int"), "runs")
-    names = materialize(every.groupBy("a", "u").agg(F.count("*").alias("c")), "names")
-    opened = materialize(names.groupBy("a").agg(F.count("*").alias("names"), F.min("c").alias("least")).where("names > 1 and least = 1").select("a", "names"), "open")
-    bits = 1 << min(OPEN_BITS[1], max(OPEN_BITS[0], (16 * opened.count()).bit_length()))
-    wanted = bitmap(opened, "a", bits)
+    every = docs.mapInArrow(occurrences, f"a long, u long, {keyed}, lo int, n int")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,7 +168,7 @@ def repeated_starts(docs: DataFrame, key: list[str], length: int = LENGTH, gram:
                 body = pa.array([data[p:q].tobytes() for p, q in zip(lo[some], hi[some] + length, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(a[some]), pa.array(u[some]), pa.array(many, pa.int64()), pa.array(x[some] - lo[some], pa.int32()), body], ["a", "u", "c", "rel", "body"])
 
-    bodies = docs.select("text").mapInArrow(contexts, "a long, u long, c long, rel int, body binary").join(opened, "a")
+    bodies = docs.select("text").mapInArrow(contexts, "a long, u long, c long, rel int, body binary").join(opened, "a").select("a", "u", "c", "rel", "body", "names")
     found_type = "a long, u long, ranges array<struct<first: int, last: int>>"
 
     def settle(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -199,7 +210,7 @@ def repeated_starts(docs: DataFrame, key: list[str], length: int = LENGTH, gram:
         if held:
             yield from settle(pa.Table.from_batches(held).combine_chunks())
 
-    cool = bodies.where(f"names <= {hot}").select("a", "u", "c", "rel", "body").repartition("a").sortWithinPartitions("a").mapInArrow(by_bucket, found_type)
+    cool = bodies.where(f"names <= {hot}").repartition("a").sortWithinPartitions("a").mapInArrow(by_bucket, found_type)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every suffix of the rows' runs with a hash of its bucket, distance and bytes."""
@@ -219,7 +230,7 @@ def repeated_starts(docs: DataFrame, key: list[str], length: int = LENGTH, gram:
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays([part.column("a").take(take), part.column("u").take(take), pa.array(place, pa.int32()), pa.array(distance, pa.int32()), pa.array(h.view(np.int64))], ["a", "u", "place", "d", "h"])
 
-    apart = bodies.where(f"names > {hot}").select("a", "u", "rel", "body").mapInArrow(dealt, "a long, u long, place int, d int, h long")
+    apart = bodies.where(f"names > {hot}").mapInArrow(dealt, "a long, u long, place int, d int, h long")
     counted = apart.groupBy("a", "d", "h").agg(F.min("u").alias("u1"), F.max("u").alias("u2")).where("u1 <> u2").select("a", "d", "h")
     single = names.where("c = 1").join(opened.where(f"names > {hot}").select("a"), "a").select("a", "u")
     # at most LENGTH places of one run, merged into ranges
@@ -228,7 +239,7 @@ def repeated_starts(docs: DataFrame, key: list[str], length: int = LENGTH, gram:
     warm = ends.select("a", "u", F.arrays_zip("first", "last").alias("ranges"))
 
     whole = names.where("c > 1").select("a", "u", F.expr("cast(null as array<struct<first: int, last: int>>)").alias("ranges"))
-    told = every.join(whole.union(cool).union(warm), ["a", "u"])
+    told = every.join(whole.union(cool).union(warm) if n_hot else whole.union(cool), ["a", "u"])
     ranges = F.coalesce("ranges", F.array(F.struct(F.lit(0).alias("first"), (F.col("n") - 1).alias("last"))))
     parts = told.select(*key, "lo", F.explode(ranges).alias("r")).select(*key, (F.col("lo") + F.col("r.first")).alias("first"), (F.col("lo") + F.col("r.last")).alias("last"))
     return parts.groupBy(*key).agg(F.collect_list(F.struct("first", "last")).alias("starts"))
