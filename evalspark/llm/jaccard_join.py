@@ -1,14 +1,22 @@
 """N-gram Jaccard join: grouped prefix join over whole texts, with connected components as the result.
 
 Documents with the same shingle set are one class; classes with the same size and the same prefix are one group.
-Shingles are ordered rarest first by counts over all documents (in a fixed number of hash slots), so prefixes hold
-rare shingles. Group pairs that share a prefix shingle pass the size and position filters, then their members are
-verified on whole sets. A third of all rows may be near copies of each other: so each group first meets only one
-leader for each of its shingles, and a second, exact round compares only what is not yet connected.
+Group pairs that share a prefix shingle pass the size and position filters, then their members are verified on whole sets.
+
+Shingles are ordered by how many documents have them, so prefixes hold rare ones. Any order of all shingles will do: here
+those of a fixed share of hash values (``universe``) come first, by exact counts over all documents, then the others by
+hash. So only that share is ever counted, and the share is such that nearly every prefix lies within it. A shingle that
+one class alone has leads nowhere; it takes its place in the prefix and never travels. Most documents have enough of
+these to fill their prefix, and meet nothing at all.
+
+A third of all rows may be near copies of each other: so each group first meets only one leader for each of its shingles,
+and a second, exact round compares only what is not yet connected. Pairs are verified in blocks of at most
+``BLOCK_PAIRS`` that share one document, whose text travels once for each block; the other text travels once for each pair.
 
 Edge cases: a null or empty text, or one of white space, has no shingles, links with nothing and keeps its own doc_id
 as component. Fewer words than ``n`` make one shingle. Repeated rows come back as often as they came. A null doc_id
-takes part; it never becomes a component_id unless its whole component has none. Ties go to the smaller doc_id.
+takes part; it never becomes a component_id unless its whole component has none. Ties go to the smaller doc_id. Other
+columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,59 +31,89 @@ from pyspark.sql import functions as F
 
 from . import textops
 from .graph import components
-from .shared import bitmap, in_bitmap, materialize, table
+from .shared import bitmap, bits_for, helper, in_bitmap, materialize, table
+
+BLOCK_PAIRS = 512
+
+
+def universe(percent: int) -> int:
+    """Every how many-th hash value is counted: a prefix is a share of 1 - percent / 100 of a set, and the counted share is 1.7 times that."""
+    return max(1, min(64, 60 // max(1, 100 - percent)))
+
 
-SLOT_BITS = 18  # shingle counts are kept in 2**18 slots: 512 KB sent to each task, whatever the input
+def _lists(rows: list[np.ndarray | None]) -> pa.Array:
+    bounds = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum([0 if r is None else len(r) for r in rows], out=bounds[1:])
+    flat = np.concatenate([np.zeros(0, np.uint64), *(r for r in rows if r is not None)]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int64()), mask=pa.array([r is None for r in rows]))
 
 
-def slot_ranks(docs: DataFrame, n: int) -> np.ndarray:
-    """The rank (0 to 1023, a logarithm of the count) of every hash slot of shingles, counted over all documents."""
+def shingle_counts(docs: DataFrame, n: int, every: int) -> DataFrame:
+    """(token, n): the counted shingles that occur in more than one document; copies within an Arrow batch count once."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << SLOT_BITS, np.int64)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            seen = set()
             for _, _, data, offsets in textops.pieces(batch.column(0)):
-                sets = textops.shingle_sets(data, offsets, n)
-                if sets:
-                    slots = (np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-                    seen += np.bincount(slots, minlength=1 << SLOT_BITS)
-        slots = np.flatnonzero(seen)
-        if len(slots):
-            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(seen[slots], pa.int64())], ["slot", "n"])
+                new = []
+                for s in textops.shingle_sets(data, offsets, n):
+                    key = textops.digest(s)
+                    if key not in seen:
+                        seen.add(key)
+                        new.append(s[s % np.uint64(every) == 0])
+                if new:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(new).view(np.int64))], ["token"])
 
-    rows = docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    ranks = np.zeros(1 << SLOT_BITS, np.uint16)
-    ranks[rows["slot"].to_numpy(np.int64)] = np.minimum(1023, 16 * np.log2(rows["n"].to_numpy(np.float64) + 1)).astype(np.uint16)
-    return ranks
+    return docs.select("text").mapInArrow(work, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def _signatures(docs: DataFrame, ranks: np.ndarray, n: int, percent: int) -> DataFrame:
-    schema = "doc_id long, th long, size int, cls binary, grp binary, prefix array<long>"
+def _signatures(docs: DataFrame, repeated: np.ndarray, n: int, percent: int, every: int) -> DataFrame:
+    """Of each row its set's size and digest; for one row of each set in a batch also its counted shingles: how many, those
+    that are repeated, and the first others where there are too few for a prefix."""
+    schema = "doc_id long, th long, size int, cls binary, counted int, held array<long>, others array<long>"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            seen = set()
             for a, b, data, offsets in textops.pieces(batch.column("text")):
-                size, cls, grp, prefix = [], [], [], []
+                size, cls, counted, held, others = [], [], [], [], []
                 for s in textops.shingle_sets(data, offsets, n):
                     m = len(s)
-                    keep = m - -(-percent * m // 100) + 1 if m else 0
-                    rank = ranks[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64)
-                    key = np.sort((rank << np.uint64(53)) | (s & np.uint64((1 << 53) - 1)))[:keep].astype(np.int64)
                     size.append(m)
                     cls.append(textops.digest(s))
-                    grp.append(textops.digest(m.to_bytes(4, "big") + key.tobytes()))
-                    prefix.append(key)
-                bounds = np.zeros(len(prefix) + 1, np.int32)
-                np.cumsum([len(p) for p in prefix], out=bounds[1:])
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(prefix), pa.int64()))
+                    if cls[-1] in seen:
+                        counted.append(None)
+                        held.append(None)
+                        others.append(None)
+                        continue
+                    seen.add(cls[-1])
+                    inside = s % np.uint64(every) == 0
+                    own = s[inside]
+                    short = m - -(-percent * m // 100) + 1 - len(own) if m else 0
+                    counted.append(len(own))
+                    held.append(own[in_bitmap(repeated, own.view(np.int64))])
+                    others.append(s[~inside][: max(0, short)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("th").slice(a, b - a), pa.array(size, pa.int32()), pa.array(cls, pa.binary()), pa.array(grp, pa.binary()), lists],
-                    ["doc_id", "th", "size", "cls", "grp", "prefix"],
+                    [batch.column("doc_id").slice(a, b - a), batch.column("th").slice(a, b - a), pa.array(size, pa.int32()), pa.array(cls, pa.binary()), pa.array(counted, pa.int32()), _lists(held), _lists(others)],
+                    ["doc_id", "th", "size", "cls", "counted", "held", "others"],
                 )
 
     return docs.mapInArrow(sign, schema)
 
 
+def _prefixes(classes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """(id, size, grp, prefix: array<struct<pos, token>>) of the classes whose prefix holds a shingle that others may have."""
+    held = classes.select("id", F.explode("held").alias("token")).join(counts, "token")
+    held = held.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("told"))  # at most the class's own set
+    all_of = classes.join(held, "id", "left").withColumn("told", F.coalesce("told", F.expr("cast(array() as array<struct<n: bigint, token: bigint>>)")))
+    all_of = all_of.withColumns({"alone": F.col("counted") - F.size("told"), "length": F.expr(f"cast(size - ((cast(size as long) * {percent} + 99) div 100) + 1 as int)")})
+    first = F.expr("transform(slice(told, 1, greatest(length - alone, 0)), (x, i) -> named_struct('pos', alone + i, 'token', x.token))")
+    more = F.expr("transform(others, (x, i) -> named_struct('pos', counted + i, 'token', x))")
+    out = all_of.withColumn("prefix", F.concat(first, more)).where("size(prefix) > 0")
+    # a class with a shingle of its own in its prefix shares that prefix with no other
+    return out.select("id", "size", F.when(F.col("alone") > 0, F.col("id").cast("string")).otherwise(F.md5(F.to_json(F.struct("size", "prefix")).cast("binary"))).alias("grp"), "prefix")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of class ids whose whole shingle sets are similar enough.
 
@@ -83,42 +121,50 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, per
     """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     need = materialize(classes.join(ids, "id").select("id", "cls", "th"), "need")
-    wanted = bitmap(need, "th")
+    wanted = bitmap(need, "th", bits_for(need.count()))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(in_bitmap(wanted, batch.column("th").to_numpy(zero_copy_only=False))))
+            seen = set()
             for a, b, data, offsets in textops.pieces(batch.column("text")):
-                cls = [textops.digest(s) if len(s) else None for s in textops.shingle_sets(data, offsets, n)]
-                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), batch.column("text").slice(a, b - a)], ["cls", "text"])
+                cls, take = [], []
+                for i, s in enumerate(textops.shingle_sets(data, offsets, n)):
+                    key = textops.digest(s)
+                    if len(s) and key not in seen:
+                        seen.add(key)
+                        cls.append(key)
+                        take.append(a + i)
+                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), batch.column("text").take(pa.array(take, pa.int64()))], ["cls", "text"])
 
-    fetched = docs.select("th", "text").mapInArrow(fetch, "cls binary, text string").where("cls is not null").dropDuplicates(["cls"])
+    fetched = docs.select("th", "text").mapInArrow(fetch, "cls binary, text string").dropDuplicates(["cls"])
     texts = materialize(need.select("id", "cls").join(fetched, "cls").select("id", "text"), "texts")
-    both = pairs.join(texts.withColumnsRenamed({"id": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"id": "b", "text": "tb"}), "b")
-
-    def sets_of(ids: np.ndarray, texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
-        """The sets of a slice's distinct classes, and which of them each row has."""
-        _, first, of = np.unique(ids, return_index=True, return_inverse=True)
-        found = []
-        for _, _, data, offsets in textops.pieces(texts.take(pa.array(first))):
-            found += textops.shingle_sets(data, offsets, n)
-        return found, of
+    # b with many partners is dealt into blocks; each block gets its text once, before its partners
+    blocks = pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK_PAIRS).cast("int").alias("blocks"))
+    dealt = pairs.join(blocks, "b").select("a", "b", F.pmod(F.xxhash64("a"), "blocks").cast("int").alias("block"))
+    first = blocks.select("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(texts.withColumnRenamed("id", "b"), "b").select("b", "block", F.lit(None).cast("long").alias("a"), "text")
+    rest = dealt.join(texts.withColumnRenamed("id", "a"), "a").select("b", "block", "a", "text")
+    rows = first.union(rest).repartition("b", "block").sortWithinPartitions("b", "block", F.col("a").asc_nulls_first())
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with_set = np.zeros(0, np.uint64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                xs, of_x = sets_of(part.column("a").to_numpy(), part.column("ta"))
-                ys, of_y = sets_of(part.column("b").to_numpy(), part.column("tb"))
-                good = []
-                for i, j in zip(of_x, of_y, strict=True):
-                    x, y = xs[i], ys[j]
-                    joint = np.sort(np.concatenate([x, y]))
+            a, b = batch.column("a"), batch.column("b").to_numpy(zero_copy_only=False)
+            leads, ids = a.is_null().to_numpy(zero_copy_only=False), a.fill_null(0).to_numpy(zero_copy_only=False)
+            good = []
+            for at, _, data, offsets in textops.pieces(batch.column("text")):
+                for i, s in enumerate(textops.shingle_sets(data, offsets, n), at):
+                    if leads[i]:
+                        with_set = s
+                        continue
+                    joint = np.sort(np.concatenate([s, with_set]), kind="stable")
                     same = int((joint[1:] == joint[:-1]).sum())
-                    good.append(100 * same >= percent * (len(x) + len(y) - same))
-                yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+                    if 100 * same >= percent * (len(s) + len(with_set) - same):
+                        good.append(i)
+            good = np.array(good, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[good]), pa.array(b[good])], ["a", "b"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    return rows.mapInArrow(check, "a long, b long")
 
 
 def _fits(a_size: str, a_pos: str, b_size: str, b_pos: str, percent: int) -> str:
@@ -129,20 +175,21 @@ def _fits(a_size: str, a_pos: str, b_size: str, b_pos: str, percent: int) -> str
     )
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``; similar means 100 * |A & B| >= percent * |A | B|."""
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    signed = materialize(_signatures(docs, slot_ranks(docs, n), n, percent), "signed")
+def _signed(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Each row's size and class digest, and the classes with their component: (cls, id, low, comp)."""
+    every = universe(percent)
+    counts = materialize(shingle_counts(docs, n, every), "counts")
+    signed = materialize(_signatures(docs, bitmap(counts, "token", bits_for(counts.count())), n, percent, every), "signed")
     rows = signed.where("size > 0")
-    classes = materialize(
-        rows.groupBy("cls", "size", "grp").agg(F.min("th").alias("th"), F.min("doc_id").alias("low"), F.first("prefix").alias("prefix")).withColumn("id", F.monotonically_increasing_id()),
-        "classes",
-    )
-    groups = classes.groupBy("grp").agg(F.min("id").alias("gid"), F.count("*").alias("members"))
-    members = materialize(classes.select("id", "size", "grp").join(groups, "grp").select("id", "gid", "size"), "members")
+    some = [F.first(c, ignorenulls=True).alias(c) for c in ("counted", "held", "others")]
+    classes = materialize(rows.groupBy("cls", "size").agg(F.min("th").alias("th"), F.min("doc_id").alias("low"), *some).withColumn("id", F.monotonically_increasing_id()), "classes")
+    prefixes = materialize(_prefixes(classes, counts, percent), "prefixes")
+    groups = prefixes.groupBy("grp").agg(F.min("id").alias("gid"), F.count("*").alias("members"))
+    members = materialize(prefixes.select("id", "size", "grp").join(groups, "grp").select("id", "gid", "size"), "members")
     # a step of this width in size always covers the sizes that can still be similar, so two steps meet every partner
     step = F.floor(F.log(F.col("size").cast("double")) / F.lit(math.log(100 / percent) if percent < 100 else 1.0)).cast("int")
-    tokens = classes.join(groups.select(F.col("gid").alias("id"), "members"), "id").select(F.col("id").alias("gid"), "size", "members", step.alias("step"), F.posexplode("prefix").alias("pos", "token"))
+    leads = prefixes.join(groups.select(F.col("gid").alias("id"), "members"), "id").select(F.col("id").alias("gid"), "size", "members", step.alias("step"), F.explode("prefix").alias("p"))
+    tokens = leads.select("gid", "size", "members", "step", "p.pos", "p.token")
     # members of one group share the whole prefix, so its first shingle is enough for them to meet each other in round 2
     often = tokens.groupBy("token").agg(F.count("*").alias("n"), F.bool_or(F.expr("pos = 0 and members > 1")).alias("own")).where("n > 1 or own").select("token")
     shared = materialize(tokens.drop("members").join(often, "token"), "shared")
@@ -186,16 +233,45 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     )
     links = links.union(_verified(docs, materialize(more, "pairs"), classes, n, percent))
     found = components(links, "a", "b")
-    part = classes.select("id", "cls", "low").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    part = materialize(part, "part")
+    part = classes.select("cls", "id", "low").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    return signed.select("doc_id", "th", "size", "cls"), materialize(part, "part")
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``; similar means 100 * |A & B| >= percent * |A | B|."""
+    signed, part = _signed(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), n, percent)
     named = part.join(part.groupBy("comp").agg(F.min("low").alias("component_id")), "comp").select("cls", "component_id")
     return (
-        rows.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "cls")
+        signed.where("size > 0").select("doc_id", F.col("size").cast("long").alias("n_shingles"), "cls")
         .join(named, "cls", "left")
         .select("doc_id", "n_shingles", "component_id")
         .union(signed.where("size = 0").select("doc_id", F.lit(0).cast("long"), "doc_id"))
     )
 
 
+def deduplicate(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """docs (any columns) with one row of each component: the one of least doc_id (null last), then of least text hash.
+
+    Rows without words all stay. Of equal rows one stays; rows that share a doc_id but have different texts are told apart.
+    """
+    th, is_null, by_id, verdict = (helper(docs, x) for x in ("th", "null", "id", "verdict"))
+    signed, part = _signed(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), n, percent)
+    rows = signed.where("size > 0").groupBy("doc_id", "th", "cls").agg(F.count("*").alias("rows")).join(part.select("cls", "comp"), "cls")
+    rows = materialize(rows.select("comp", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "th").alias("key"), "rows"), "rows")
+    first = rows.groupBy("comp").agg(F.min("key").alias("stays"))
+    found = rows.join(first, "comp").select("key.*", F.when(F.col("key") != F.col("stays"), "goes").when(F.col("rows") > 1, "once").alias("verdict")).where("verdict is not null")
+    found = materialize(found, "found")
+    told = found.select(F.col("n").alias(is_null), F.coalesce("doc_id", F.lit(0)).alias(by_id), F.col("th").alias(helper(docs, "th2")), F.col("verdict").alias(verdict))
+    keyed = docs.withColumns({th: F.xxhash64("text")})
+    same = (F.col(th) == F.col(helper(docs, "th2"))) & (F.col("doc_id").isNull() == F.col(is_null)) & (F.coalesce("doc_id", F.lit(0)) == F.col(by_id))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    stays = keyed.join(told, same, "left").where(F.col(verdict).isNull()).select(*own)
+    once = found.where("verdict = 'once'").limit(1).count()
+    if not once:
+        return stays
+    again = keyed.join(told.where(F.col(verdict) == "once"), same).dropDuplicates(["doc_id", th]).select(*own)
+    return stays.union(again)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)

@@ -66,6 +66,11 @@ def bitmap(df: DataFrame, key: str, bits: int = 1 << 24) -> np.ndarray:
     return out
 
 
+def bits_for(n: int, most: int = 28) -> int:
+    """Bits of a bitmap for n keys: 16 to 32 for each, from 8 KB to 32 MB in all. A fuller one lets more through, no less."""
+    return 1 << min(most, max(16, (16 * n).bit_length()))
+
+
 def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     n = np.uint64(len(bits) * 8)
     slot = np.mod(keys.astype(np.int64), np.int64(n)).astype(np.int64)

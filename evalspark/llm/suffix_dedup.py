@@ -35,11 +35,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops
-from .shared import bitmap, helper, in_bitmap, materialize, table
+from .shared import bitmap, bits_for, helper, in_bitmap, materialize, table
 
 LENGTH, GRAM = 200, 24
 HOT = 8_192
-MAP_BITS = (16, 28)  # bitmaps of 8 KB to 32 MB, by the number of buckets; they thin what exact joins then settle
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -139,8 +138,7 @@ def repeated_starts(docs: DataFrame, key: list[str], length: int = LENGTH, gram:
     buckets = materialize(names.groupBy("a").agg(F.count("*").alias("names"), F.min("c").alias("least"), F.sum("c").alias("rows")).where("rows > 1").select("a", "names", "least"), "buckets")
     opened = buckets.where("names > 1 and least = 1").select("a", "names")
     n_buckets, n_open, n_hot = buckets.select(F.count("*"), F.count(F.expr("if(names > 1 and least = 1, 1, null)")), F.count(F.expr(f"if(names > {hot} and least = 1, 1, null)"))).first()
-    width = lambda n: 1 << min(MAP_BITS[1], max(MAP_BITS[0], (16 * n).bit_length()))
-    seen, wanted = bitmap(buckets, "a", width(n_buckets)), bitmap(opened, "a", width(n_open))
+    seen, wanted = bitmap(buckets, "a", bits_for(n_buckets)), bitmap(opened, "a", bits_for(n_open))  # they thin what exact joins then settle
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
