@@ -3,11 +3,10 @@
 Documents with the same shingle set are one class; classes with the same size and the same prefix are one group.
 Group pairs that share a prefix shingle pass the size and position filters, then their members are verified on whole sets.
 
-Shingles are ordered by how many documents have them, so prefixes hold rare ones. Any order of all shingles will do: here
-those of a fixed share of hash values (``universe``) come first, by exact counts over all documents, then the others by
-hash. So only that share is ever counted, and the share is such that nearly every prefix lies within it. A shingle that
-one class alone has leads nowhere; it takes its place in the prefix and never travels. Most documents have enough of
-these to fill their prefix, and meet nothing at all.
+Shingles are ordered by how many sets have them, counted exactly over all documents, so prefixes hold the rarest. A shingle
+that no other set has leads nowhere; it takes its place in the prefix and goes no further. Most documents have enough
+of these to fill their prefix, and meet nothing at all. For counting, the shingles of a chunk of documents travel as sorted
+blocks, in a few bytes each, to the range of hashes that they fall into.
 
 A third of all rows may be near copies of each other: so each group first meets only one leader for each of its shingles,
 and a second, exact round compares only what is not yet connected. Pairs are verified in blocks of at most
@@ -26,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,84 +34,149 @@ from .graph import components
 from .shared import bitmap, bits_for, helper, in_bitmap, materialize, table
 
 BLOCK_PAIRS = 512
-
-
-def universe(percent: int) -> int:
-    """Every how many-th hash value is counted: a prefix is a share of 1 - percent / 100 of a set, and the counted share is 1.7 times that."""
-    return max(1, min(64, 60 // max(1, 100 - percent)))
-
-
-def _lists(rows: list[np.ndarray | None]) -> pa.Array:
-    bounds = np.zeros(len(rows) + 1, np.int32)
-    np.cumsum([0 if r is None else len(r) for r in rows], out=bounds[1:])
-    flat = np.concatenate([np.zeros(0, np.uint64), *(r for r in rows if r is not None)]).view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int64()), mask=pa.array([r is None for r in rows]))
-
-
-def shingle_counts(docs: DataFrame, n: int, every: int) -> DataFrame:
-    """(token, n): the counted shingles that occur in more than one document; copies within an Arrow batch count once."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = set()
-            for _, _, data, offsets in textops.pieces(batch.column(0)):
-                new = []
-                for s in textops.shingle_sets(data, offsets, n):
-                    key = textops.digest(s)
-                    if key not in seen:
-                        seen.add(key)
-                        new.append(s[s % np.uint64(every) == 0])
-                if new:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(new).view(np.int64))], ["token"])
-
-    return docs.select("text").mapInArrow(work, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-
-
-def _signatures(docs: DataFrame, repeated: np.ndarray, n: int, percent: int, every: int) -> DataFrame:
-    """Of each row its set's size and digest; for one row of each set in a batch also its counted shingles: how many, those
-    that are repeated, and the first others where there are too few for a prefix."""
-    schema = "doc_id long, th long, size int, cls binary, counted int, held array<long>, others array<long>"
+CODE_BITS = 48  # of a shingle's hash in counting and in prefixes; what shares a code by chance only makes a candidate more
+CHUNK_TOKENS, CHUNK_DOCS = 2_000_000, 50_000  # of a chunk of documents whose shingles are sorted together
+SEVERAL = 1 << 40  # in place of a document, for a code that several of a chunk have
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Whole numbers below 2**48 as planes of bytes, so that planes of zeros compress away."""
+    head = np.array([len(arrays), *map(len, arrays)], np.int64).tobytes()
+    return head + b"".join(np.ascontiguousarray(a.astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes() for a in arrays)
+
+
+def _unpacked(blob: bytes) -> list[np.ndarray]:
+    many = int(np.frombuffer(blob, np.int64, 1)[0])
+    out, at = [], 8 * (many + 1)
+    for n in np.frombuffer(blob, np.int64, many, 8).tolist():
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, at).reshape(6, n).T
+        out.append(wide.view(np.uint64).reshape(-1).astype(np.int64))
+        at += 6 * n
+    return out
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+    """(chunk, digests, sizes, codes in order, document of each code): the different shingle sets of stretches of a partition."""
+    number, docs, size, sets, cls, seen = TaskContext.get().partitionId() << 32, 0, 0, [], [], set()
+
+    def done():
+        sizes = np.array([len(s) for s in sets], np.int64)
+        codes = np.concatenate([np.zeros(0, np.uint64), *sets]) >> np.uint64(64 - CODE_BITS)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(codes, kind="stable")
+        return number, cls, sizes, codes[order].astype(np.int64), owner[order]
+
+    for batch in batches:
+        for _, _, data, offsets in textops.pieces(batch.column(0)):
+            for s in textops.shingle_sets(data, offsets, n):
+                key = textops.digest(s)
+                if len(s) and key not in seen:
+                    seen.add(key)
+                    sets.append(s)
+                    cls.append(key)
+                    docs, size = docs + 1, size + len(s)
+            if size >= CHUNK_TOKENS or docs >= CHUNK_DOCS:
+                yield done()
+                number, docs, size, sets, cls, seen = number + 1, 0, 0, [], [], set()
+    if sets:
+        yield done()
+
+
+def _repeats(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place, how often) of each code of a sorted array."""
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]][: len(codes)])
+    return first, np.diff(np.r_[first, len(codes)])
+
+
+def prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(cls, size, alone, tokens): of every set the shingles of its prefix that others have too, rarest first.
+
+    ``alone`` shingles of the prefix come before them, that no other set has. Sets whose prefix holds no others are left out.
+
+    A chunk of documents sends each range of codes its sorted codes, with the document for one that it has once and with a
+    count for one that it has more often, so a shingle of a third of all documents is one entry a chunk. The range counts
+    and tells every chunk which of its codes occur elsewhere, and how often; there the prefixes are cut.
+    """
+    spark = docs.sparkSession
+    ranges = 1 << max(8, min(16, (8 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length()))
+    width = (1 << CODE_BITS) // ranges
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, _, _, codes, owner in _chunks(batches, n):
+            first, many = _repeats(codes)
+            codes, owner = codes[first], np.where(many == 1, owner[first], SEVERAL)
+            parts = codes // width
+            cut = np.searchsorted(parts, np.arange(ranges + 1))
+            some = np.flatnonzero(np.diff(cut))
+            blobs = [_packed(np.diff(codes[a:b], prepend=codes[a]), codes[a : a + 1], owner[a:b], many[a:b] - 1) for a, b in zip(cut[some], cut[some + 1], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), chunk)), pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], ["chunk", "part", "blob"])
+
+    def count(t: pa.Table) -> pa.Table:
+        """For each chunk, its codes of one range that occur more than once, the document (or none) and how often they occur in all."""
+        chunks = t.column("chunk").to_numpy()
+        got = [_unpacked(b.as_py()) for b in t.column("blob")]
+        codes = np.concatenate([np.cumsum(d) + base[0] for d, base, _, _ in got])
+        sent = np.repeat(np.arange(len(got)), [len(d) for d, _, _, _ in got])
+        owner, many = np.concatenate([x[2] for x in got]), np.concatenate([x[3] for x in got]) + 1
+        order = np.argsort(codes, kind="stable")
+        first, _ = _repeats(codes[order])
+        total = np.add.reduceat(many[order], first) if len(first) else first
+        each = np.empty(len(codes), np.int64)
+        each[order] = np.repeat(total, np.diff(np.r_[first, len(codes)]))
+        again = each > 1
+        out = [np.flatnonzero(again & (sent == k)) for k in range(len(got))] if len(got) < 8 else np.split(np.flatnonzero(again), np.searchsorted(sent[again], np.arange(1, len(got))))
+        blobs = [_packed(codes[x], owner[x], each[x]) for x in out if len(x)]
+        return pa.table({"chunk": pa.array([c for c, x in zip(chunks.tolist(), out, strict=True) if len(x)], pa.int64()), "blob": pa.array(blobs, pa.binary())})
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, cls, sizes, codes, owner in _chunks(batches, n):
+            first, many = _repeats(codes)
+            more = np.repeat(many > 1, many)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([_packed(sizes, codes[more], owner[more])], pa.binary()), pa.array([b"".join(cls)], pa.binary())], ["chunk", "blob", "names"])
+
+    def cut(answers: pa.Table, mine: pa.Table) -> pa.Table:
+        names = mine.column("names")[0].as_py()
+        sizes, many_codes, many_owner = _unpacked(mine.column("blob")[0].as_py())
+        got = [_unpacked(b.as_py()) for b in answers.column("blob")]
+        codes, owner, total = (np.concatenate([np.zeros(0, np.int64), *(x[k] for x in got)]) for k in range(3))
+        # codes that several documents of the chunk have: the total of each goes to all of them
+        shared = owner == SEVERAL
+        order = np.argsort(codes[shared])
+        known, known_total = codes[shared][order], total[shared][order]
+        codes = np.concatenate([codes[~shared], many_codes])
+        owner = np.concatenate([owner[~shared], many_owner])
+        total = np.concatenate([total[~shared], known_total[np.searchsorted(known, many_codes)] if len(known) else many_codes])
+        order = np.lexsort((codes, total, owner))
+        codes, owner = codes[order], owner[order]
+        first, held = _repeats(owner)
+        docs = owner[first]
+        alone, length = sizes[docs] - held, sizes[docs] - -(-percent * sizes[docs] // 100) + 1
+        take = np.minimum(np.maximum(length - alone, 0), held)
+        at = np.flatnonzero(take)
+        tokens = np.concatenate([np.zeros(0, np.int64), *(codes[a : a + k] for a, k in zip(first[at], take[at], strict=True))])
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(take[at])], pa.int32()), pa.array(tokens))
+        cls = pa.array([names[16 * d : 16 * d + 16] for d in docs[at].tolist()], pa.binary())
+        return pa.table({"cls": cls, "size": pa.array(sizes[docs[at]], pa.int32()), "alone": pa.array(alone[at], pa.int32()), "tokens": lists})
+
+    text = docs.select("text")
+    answers = text.mapInArrow(ask, "chunk long, part int, blob binary").groupBy("part").applyInArrow(count, "chunk long, blob binary")
+    mine = text.mapInArrow(own, "chunk long, blob binary, names binary")
+    found = answers.groupBy("chunk").cogroup(mine.groupBy("chunk")).applyInArrow(cut, "cls binary, size int, alone int, tokens array<long>")
+    return found.dropDuplicates(["cls"])
+
+
+def _signatures(docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, th, size, cls): the size and digest of every row's set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = set()
             for a, b, data, offsets in textops.pieces(batch.column("text")):
-                size, cls, counted, held, others = [], [], [], [], []
-                for s in textops.shingle_sets(data, offsets, n):
-                    m = len(s)
-                    size.append(m)
-                    cls.append(textops.digest(s))
-                    if cls[-1] in seen:
-                        counted.append(None)
-                        held.append(None)
-                        others.append(None)
-                        continue
-                    seen.add(cls[-1])
-                    inside = s % np.uint64(every) == 0
-                    own = s[inside]
-                    short = m - -(-percent * m // 100) + 1 - len(own) if m else 0
-                    counted.append(len(own))
-                    held.append(own[in_bitmap(repeated, own.view(np.int64))])
-                    others.append(s[~inside][: max(0, short)])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("th").slice(a, b - a), pa.array(size, pa.int32()), pa.array(cls, pa.binary()), pa.array(counted, pa.int32()), _lists(held), _lists(others)],
-                    ["doc_id", "th", "size", "cls", "counted", "held", "others"],
-                )
-
-    return docs.mapInArrow(sign, schema)
-
-
-def _prefixes(classes: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
-    """(id, size, grp, prefix: array<struct<pos, token>>) of the classes whose prefix holds a shingle that others may have."""
-    held = classes.select("id", F.explode("held").alias("token")).join(counts, "token")
-    held = held.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("told"))  # at most the class's own set
-    all_of = classes.join(held, "id", "left").withColumn("told", F.coalesce("told", F.expr("cast(array() as array<struct<n: bigint, token: bigint>>)")))
-    all_of = all_of.withColumns({"alone": F.col("counted") - F.size("told"), "length": F.expr(f"cast(size - ((cast(size as long) * {percent} + 99) div 100) + 1 as int)")})
-    first = F.expr("transform(slice(told, 1, greatest(length - alone, 0)), (x, i) -> named_struct('pos', alone + i, 'token', x.token))")
-    more = F.expr("transform(others, (x, i) -> named_struct('pos', counted + i, 'token', x))")
-    out = all_of.withColumn("prefix", F.concat(first, more)).where("size(prefix) > 0")
-    # a class with a shingle of its own in its prefix shares that prefix with no other
-    return out.select("id", "size", F.when(F.col("alone") > 0, F.col("id").cast("string")).otherwise(F.md5(F.to_json(F.struct("size", "prefix")).cast("binary"))).alias("grp"), "prefix")
+                sets = textops.shingle_sets(data, offsets, n)
+                made = [pa.array([len(s) for s in sets], pa.int32()), pa.array([textops.digest(s) for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("th").slice(a, b - a), *made], ["doc_id", "th", "size", "cls"])
+
+    return docs.mapInArrow(sign, "doc_id long, th long, size int, cls binary")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
@@ -177,19 +242,18 @@ def _fits(a_size: str, a_pos: str, b_size: str, b_pos: str, percent: int) -> str
 
 def _signed(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Each row's size and class digest, and the classes with their component: (cls, id, low, comp)."""
-    every = universe(percent)
-    counts = materialize(shingle_counts(docs, n, every), "counts")
-    signed = materialize(_signatures(docs, bitmap(counts, "token", bits_for(counts.count())), n, percent, every), "signed")
+    signed = materialize(_signatures(docs, n), "signed")
     rows = signed.where("size > 0")
-    some = [F.first(c, ignorenulls=True).alias(c) for c in ("counted", "held", "others")]
-    classes = materialize(rows.groupBy("cls", "size").agg(F.min("th").alias("th"), F.min("doc_id").alias("low"), *some).withColumn("id", F.monotonically_increasing_id()), "classes")
-    prefixes = materialize(_prefixes(classes, counts, percent), "prefixes")
-    groups = prefixes.groupBy("grp").agg(F.min("id").alias("gid"), F.count("*").alias("members"))
-    members = materialize(prefixes.select("id", "size", "grp").join(groups, "grp").select("id", "gid", "size"), "members")
+    classes = materialize(rows.groupBy("cls", "size").agg(F.min("th").alias("th"), F.min("doc_id").alias("low")).withColumn("id", F.monotonically_increasing_id()), "classes")
+    # a class with a shingle of its own in its prefix shares that prefix with no other
+    grp = F.when(F.col("alone") > 0, F.col("id").cast("string")).otherwise(F.md5(F.to_json(F.struct("size", "tokens")).cast("binary")))
+    cuts = materialize(prefixes(docs, n, percent).drop("size").join(classes.select("cls", "id", "size"), "cls").select("id", "size", "alone", "tokens", grp.alias("grp")), "prefixes")
+    groups = cuts.groupBy("grp").agg(F.min("id").alias("gid"), F.count("*").alias("members"))
+    members = materialize(cuts.select("id", "size", "grp").join(groups, "grp").select("id", "gid", "size"), "members")
     # a step of this width in size always covers the sizes that can still be similar, so two steps meet every partner
     step = F.floor(F.log(F.col("size").cast("double")) / F.lit(math.log(100 / percent) if percent < 100 else 1.0)).cast("int")
-    leads = prefixes.join(groups.select(F.col("gid").alias("id"), "members"), "id").select(F.col("id").alias("gid"), "size", "members", step.alias("step"), F.explode("prefix").alias("p"))
-    tokens = leads.select("gid", "size", "members", "step", "p.pos", "p.token")
+    leads = cuts.join(groups.select(F.col("gid").alias("id"), "members"), "id")
+    tokens = leads.select(F.col("id").alias("gid"), "size", "members", step.alias("step"), "alone", F.posexplode("tokens").alias("at", "token")).withColumn("pos", F.col("alone") + F.col("at")).drop("alone", "at")
     # members of one group share the whole prefix, so its first shingle is enough for them to meet each other in round 2
     often = tokens.groupBy("token").agg(F.count("*").alias("n"), F.bool_or(F.expr("pos = 0 and members > 1")).alias("own")).where("n > 1 or own").select("token")
     shared = materialize(tokens.drop("members").join(often, "token"), "shared")
