@@ -1,24 +1,26 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Texts are normalised (A-Z lower-cased, every run of other bytes than letters, digits and non-ASCII to one space). A match
-is a region of a document within ``budget(m)`` edits (6 % of m bytes, fewer for short ones) of a passage of a benchmark item:
-the whole item up to ``WHOLE`` bytes, or, of one longer than ``PASSAGE`` bytes, any ``PASSAGE`` bytes that follow each
-other, wherever they start. Shorter quotations of such an item are no match. By the q-gram
-lemma such a region shares at least m - q + 1 - q * e of the item's q-grams with it, all on neighbouring diagonals. Shared
-q-grams are counted in overlapping bands of diagonals; bands that reach the bound are kept and verified by banded
-alignment, which gives the true distance and the span.
-
-The items are the small side: they are sent to all tasks in chunks of at most ``CHUNK_BYTES`` of text, one step of a
-chain of map steps for each, so what is sent never grows with the documents and stays bounded for any number of items.
-
-Edge cases: null or empty texts match nothing; items shorter than ``SHORTEST`` bytes after normalising are left out, as they
-say nothing; equal items each match under their own item_id. Repeated rows come back as often as they came; a null
-doc_id is kept. Ties between places go to the smaller distance, then the earlier one.
+is a region of a document within ``budget(n)`` edits (6 % of n bytes, fewer for short ones) of any n bytes of an item that
+follow each other, where n is ``PASSAGE``, or the whole item if it is shorter. By the q-gram lemma such a region shares at
+least n - q + 1 - q * e q-grams with them, all on neighbouring diagonals. Shared q-grams are counted in overlapping
+bands of diagonals; bands that reach the bound are kept and verified by banded alignment, which gives the true
+distance and the span. Items below ``SHORT`` bytes must occur without edits, as whole words.
+
+The items are the small side and come in chunks of at most ``CHUNK_BYTES`` of UTF-8, about 20 times that as an index. One
+chunk is held by the driver and by a task at a time: with one chunk rows keep their partition, with more each chunk is
+a pass of its own over the documents whose finds are written, and these are joined to the documents at the end.
+
+Edge cases: null or empty texts match nothing, nor do items without a letter or digit; equal items each match under their
+own item_id, which may be null. Repeated rows come back as often as they came; a null doc_id is kept. Ties between places go
+to the smaller distance, then the earlier one. Other columns pass through whatever their names; ``find`` replaces an older
+``leaks``, ``clean`` keeps it. An empty benchmark leaves all documents as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +28,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops
-from .shared import table
+from .shared import helper, materialize, table
 
 Q = 10
 EDITS = 0.06
-SHORTEST = 24
-WHOLE, PASSAGE, STEP = 192, 128, 64
-CHUNK_BYTES = 4 << 20
+SHORT = 24
+PASSAGE, STEP = 128, 64
+CHUNK_BYTES = 2 << 20
 SLOTS = 1 << 20  # a bit for each hash slot of the items' q-grams, so that most positions are settled by one lookup
 
 _KEEP = np.zeros(256, bool)
@@ -96,27 +98,59 @@ def best_alignment(item: np.ndarray, text: np.ndarray, low: int, high: int, limi
 
 
 class Items:
-    """The q-grams of one chunk of items, sorted by hash, with item and place."""
+    """The q-grams of one chunk of items, sorted by hash, with item and place; short items by length and hash."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[int | None], texts: list[str]):
         (_, _, data, offsets), = textops.pieces(pa.array(texts, pa.string()), 1 << 40)
         data, offsets, _ = normalise(data, offsets)
-        self.ids, self.data, self.offsets = np.array(ids), data, offsets
-        h = textops.Rolling(data).grams(Q)
+        self.ids, self.data, self.offsets = ids, data, offsets
+        rolling = textops.Rolling(data)
+        h = rolling.grams(Q)
+        size = np.diff(offsets)
         item = np.searchsorted(offsets, np.arange(len(h)), "right") - 1
-        ok = np.arange(len(h)) + Q <= offsets[item + 1]
-        ok &= (offsets[item + 1] - offsets[item]) >= SHORTEST
+        ok = (np.arange(len(h)) + Q <= offsets[item + 1]) & (size[item] >= SHORT)
         place = (np.arange(len(h)) - offsets[item])[ok]
         h, item = h[ok], item[ok]
         order = np.argsort(h, kind="stable")
-        self.h, self.item, self.place = h[order], item[order], place[order]
+        self.h, self.item, self.place = h[order], item[order].astype(np.int32), place[order].astype(np.int32)
         self.slots = np.zeros(SLOTS, bool)
         self.slots[(self.h >> np.uint64(44)).astype(np.int64)] = True
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in np.unique(size[(size > 0) & (size < SHORT)]).tolist():
+            which = np.flatnonzero(size == n)
+            hashes = rolling.grams(n)[offsets[which]]
+            order = np.argsort(hashes, kind="stable")
+            self.short[n] = hashes[order], which[order]
+
+    def whole_words(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(row, item, 0, start, end) of short items between spaces or ends."""
+        rolling = textops.Rolling(data) if self.short and len(data) else None
+        for n, (hashes, which) in self.short.items():
+            if len(data) < n:
+                continue
+            h = rolling.grams(n)
+            left = np.searchsorted(hashes, h)
+            for at in np.flatnonzero(hashes[np.minimum(left, len(hashes) - 1)] == h).tolist():
+                r = int(np.searchsorted(offsets, at, "right")) - 1
+                end = at + n
+                if end > offsets[r + 1] or (at > offsets[r] and data[at - 1] != 32) or (end < offsets[r + 1] and data[end] != 32):
+                    continue
+                for k in range(int(left[at]), int(np.searchsorted(hashes, h[at], "right"))):
+                    i = int(which[k])
+                    if np.array_equal(data[at:end], self.data[self.offsets[i] : self.offsets[i + 1]]):
+                        yield r, i, 0, at - int(offsets[r]), end - int(offsets[r])
 
     def matches(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(row, item, edits, start, end) of the regions of every item that a row contains, by start."""
+        """(row, item, edits, start, end) of the regions of every item that a row contains, by row, item and start."""
+        out: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+        for r, i, *one in self.whole_words(data, offsets):
+            out.setdefault((r, i), []).append(tuple(one))
+        self._long(data, offsets, out)
+        return [(r, i, *f) for (r, i), found in sorted(out.items()) for f in sorted(found, key=lambda f: (f[1], f[2], f[0]))]
+
+    def _long(self, data: np.ndarray, offsets: np.ndarray, out: dict) -> None:
         if len(data) < Q or not len(self.h):
-            return []
+            return
         h = textops.Rolling(data).grams(Q)
         at = np.flatnonzero(self.slots[(h >> np.uint64(44)).astype(np.int64)])
         row = np.searchsorted(offsets, at, "right") - 1
@@ -126,29 +160,25 @@ class Items:
         many = hi - lo
         at, row = np.repeat(at, many), np.repeat(row, many)
         if not len(at):
-            return []
+            return
         which = np.repeat(lo, many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
-        item, diagonal = self.item[which], at - offsets[row] - self.place[which]
-        place = self.place[which]
-        m = (self.offsets[1:] - self.offsets[:-1])[item]
+        item, place = self.item[which].astype(np.int64), self.place[which].astype(np.int64)
+        diagonal = at - offsets[row] - place
+        size = np.minimum(np.diff(self.offsets)[item], PASSAGE)
+        need = size - Q + 1 - Q * budget(size)
         # first without diagonals: a row and an item that share too few q-grams in all can't reach the bound in a band
-        pair, each, total = np.unique(row * len(self.ids) + item, return_inverse=True, return_counts=True)
-        out: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        for whole in (True, False):
-            size = m if whole else np.full(len(m), PASSAGE)
-            need = size - Q + 1 - Q * budget(size)
-            ok = (total[each] >= need) & ((m <= WHOLE) if whole else (m > PASSAGE))
-            if ok.any():
-                self._bands(data, offsets, *(x[ok] for x in (row, item, diagonal, place, need, budget(size) + 1)), whole, out)
-        return [(r, i, *f) for (r, i), found in sorted(out.items()) for f in sorted(found, key=lambda f: (f[1], f[2], f[0]))]
+        _, each, total = np.unique(row * len(self.ids) + item, return_inverse=True, return_counts=True)
+        ok = total[each] >= need
+        if ok.any():
+            self._bands(data, offsets, *(x[ok] for x in (row, item, diagonal, place, need, budget(size) + 1, size)), out)
 
-    def _bands(self, data, offsets, row, item, diagonal, place, need, span, whole: bool, out: dict) -> None:
+    def _bands(self, data, offsets, row, item, diagonal, place, need, span, size, out: dict) -> None:
         # bands are 2(e + 1) wide and start every e + 1, so that any e + 1 neighbouring diagonals lie within one
         band = np.floor_divide(diagonal, span)
-        row, item, need, span, diagonal, place = (np.concatenate([x, x]) for x in (row, item, need, span, diagonal, place))
+        row, item, need, span, size, diagonal, place = (np.concatenate([x, x]) for x in (row, item, need, span, size, diagonal, place))
         band = np.concatenate([band, band - 1])
         order = np.lexsort((place, band, item, row))
-        row, item, band, need, span, diagonal, place = (x[order] for x in (row, item, band, need, span, diagonal, place))
+        row, item, band, need, span, size, diagonal, place = (x[order] for x in (row, item, band, need, span, size, diagonal, place))
         first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])])
         counts = np.diff(np.r_[first, len(row)])
         good = counts >= need[first]
@@ -158,49 +188,41 @@ class Items:
             low, high = b * w, b * w + 2 * w - 1
             most = int(np.bincount(diagonal[k : k + n] - low).argmax()) + low
             found = out.setdefault((r, i), [])
-            if whole:
-                if most >= 0 and np.array_equal(text[most : most + len(ref)], ref):  # no edits at all
-                    one = (0, most, most + len(ref))
-                else:
-                    one = best_alignment(ref, text, low - w, high + w, int(budget(len(ref))))
-                if one and one not in found:
-                    found.append(one)
-            else:
-                self._passages(text, ref, place[k : k + n], least, low, high, w, most, found)
+            self._passages(text, ref, int(size[k]), place[k : k + n], least, low, high, w, most, found)
             if not found:
                 del out[r, i]
 
     @staticmethod
-    def _passages(text, ref, place, least: int, low: int, high: int, w: int, most: int, found: list) -> None:
-        """Adds the regions of text that passages of ref match, wherever these start."""
+    def _passages(text, ref, length: int, place, least: int, low: int, high: int, w: int, most: int, found: list) -> None:
+        """Adds the regions of text that ``length`` bytes of ref match, wherever these start."""
         # equal runs along the commonest diagonal need no alignment
         a, b = max(0, -most), min(len(ref), len(text) - most)
-        if b - a >= PASSAGE:
+        if b - a >= length:
             edge = np.flatnonzero(np.diff(np.r_[0, (ref[a:b] == text[a + most : b + most]).astype(np.int8), 0])) + a
             for s, e in zip(edge[::2], edge[1::2], strict=True):
-                if e - s >= PASSAGE:
+                if e - s >= length:
                     found[:] = [f for f in found if not (s + most <= f[1] and f[2] <= e + most)]
                     found.append((0, int(s) + most, int(e) + most))
         # starts of passages that hold enough of the q-grams
         ends = place[least - 1 :]
         begins = place[: len(ends)]
-        near = ends - begins <= PASSAGE - Q
-        from_, to = np.maximum(0, ends[near] - (PASSAGE - Q)), np.minimum(begins[near], len(ref) - PASSAGE)
+        near = ends - begins <= length - Q
+        from_, to = np.maximum(0, ends[near] - (length - Q)), np.minimum(begins[near], len(ref) - length)
         mark = np.zeros(len(ref) + 2, np.int64)
         np.add.at(mark, from_[from_ <= to], 1)
         np.add.at(mark, to[from_ <= to] + 1, -1)
         may = np.cumsum(mark) > 0
-        limit, s, last = w - 1, 0, -1
+        limit, s = w - 1, 0
         while True:
             left = np.flatnonzero(may[s:])
             if not len(left):
                 return
             s += int(left[0])
-            if any(f[1] <= s + d and s + d + PASSAGE <= f[2] for f in found for d in (low, most, high)):  # known already
+            if any(f[1] <= s + d and s + d + length <= f[2] for f in found for d in (low, most, high)):  # known already
                 s += 1
                 continue
             # a start k bytes further on saves k edits at most, so what is far above the limit lets starts be left out
-            one = best_alignment(ref[s : s + PASSAGE], text, s + low - w, s + high + w, limit + w)
+            one = best_alignment(ref[s : s + length], text, s + low - w, s + high + w, limit + w)
             if one is None or one[0] > limit:
                 s += w if one is None else min(w, one[0] - limit)
                 continue
@@ -211,58 +233,81 @@ class Items:
 
 
 def _chunks(benchmark: DataFrame) -> Iterator[Items]:
+    """The items in order, a chunk at a time; no more than one chunk is at the driver."""
     ids, texts, size = [], [], 0
     for item_id, text in benchmark.select("item_id", "text").where("text is not null").orderBy("item_id", "text").toLocalIterator():
-        ids.append(item_id if item_id is not None else -1)
-        texts.append(text)
-        size += len(text)
-        if size > CHUNK_BYTES:
+        n = len(text.encode())
+        if ids and size + n > CHUNK_BYTES:
             yield Items(ids, texts)
             ids, texts, size = [], [], 0
+        ids.append(item_id)
+        texts.append(text)
+        size += n
     if ids:
         yield Items(ids, texts)
 
 
+LEAKS = "array<struct<item_id: bigint, edits: int, start: bigint, end: bigint>>"
+
+
+def _searched(docs: DataFrame, items: Items, only: bool) -> DataFrame:
+    """docs with the leaks of one chunk of items; ``only`` the rows that have some, without their text."""
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
+    own = [(c, t) for c, t in docs.dtypes if not (only and c == "text")]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in textops.pieces(batch.column("text")):
+                plain, bounds, places = normalise(data, offsets)
+                found, last_of = [[] for _ in range(b - a)], {}
+                for r, i, edits, start, end in items.matches(plain, bounds):
+                    begin, stop = bounds[r] + start, bounds[r] + max(end, start + 1) - 1
+                    leak = {"item_id": items.ids[i], "edits": edits, "start": int(places[begin] - offsets[r]), "end": int(places[stop] - offsets[r] + 1)}
+                    last = last_of.get((r, i))
+                    if last and last["start"] <= leak["start"] <= last["end"]:  # the next passage of one leak
+                        last["edits"], last["end"] = min(last["edits"], edits), max(last["end"], leak["end"])
+                    else:
+                        found[r].append(leak)
+                        last_of[r, i] = leak
+                cols = [batch.column(c).slice(a, b - a) for c, _ in own]
+                out = pa.RecordBatch.from_arrays([*cols, pa.array(found, kind)], [*(c for c, _ in own), "leaks"])
+                yield out.filter(pa.array([bool(f) for f in found], pa.bool_())) if only else out
+
+    return docs.mapInArrow(work, ", ".join([*(f"`{c}` {t}" for c, t in own), f"leaks {LEAKS}"]))
+
+
 def find(docs: DataFrame, benchmark: DataFrame, keep_text: bool = False) -> DataFrame:
     """docs without text, with leaks: array<struct<item_id, edits, start, end>>; spans are UTF-8 bytes of the input.
 
-    Regions of one item that overlap make one leak; its edits are the sum over its regions.
+    Regions of one item that overlap make one leak, with the edits of its best region. Leaks come by item, then start.
     """
-    own = [(c, t) for c, t in docs.dtypes if c != "leaks"]
-    kind = pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in own), "leaks array<struct<item_id: bigint, edits: int, start: bigint, end: bigint>>"])
-
-    def search(items: Items):
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for a, b, data, offsets in textops.pieces(batch.column("text")):
-                    plain, bounds, places = normalise(data, offsets)
-                    found = batch.column("leaks").slice(a, b - a).to_pylist() if "leaks" in batch.schema.names else [[] for _ in range(b - a)]
-                    for r, i, edits, start, end in items.matches(plain, bounds):
-                        begin, stop = bounds[r] + start, bounds[r] + max(end, start + 1) - 1
-                        leak = {"item_id": int(items.ids[i]), "edits": edits, "start": int(places[begin] - offsets[r]), "end": int(places[stop] - offsets[r] + 1)}
-                        last = found[r][-1] if found[r] else None
-                        if last and last["item_id"] == leak["item_id"] and last["start"] <= leak["start"] <= last["end"]:  # the next passage of one leak
-                            last["edits"], last["end"] = last["edits"] + edits, max(last["end"], leak["end"])
-                        else:
-                            found[r].append(leak)
-                    cols = [batch.column(c).slice(a, b - a) for c, _ in own]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(found, pa.list_(kind))], [*(c for c, _ in own), "leaks"])
-
-        return work
-
-    out = docs.drop("leaks")
-    for items in _chunks(benchmark):
-        out = out.mapInArrow(search(items), schema)
-    if "leaks" not in out.columns:
-        out = out.withColumn("leaks", F.expr("cast(array() as array<struct<item_id: bigint, edits: int, start: bigint, end: bigint>>)"))
-    return out.select(*(F.col(f"`{c}`") for c, _ in own if keep_text or c != "text"), "leaks")
+    docs = docs.drop("leaks")
+    own = [F.col(f"`{c}`") for c in docs.columns if keep_text or c != "text"]
+    chunks = _chunks(benchmark)
+    first, second = next(chunks, None), next(chunks, None)
+    if first is None:
+        return docs.select(*own, F.expr(f"cast(array() as {LEAKS})").alias("leaks"))
+    if second is None:
+        return _searched(docs, first, False).select(*own, "leaks")
+    key = docs.select("doc_id", F.xxhash64("text").alias("th"), F.length("text").alias("size"), "text")
+    parts = None
+    for k, items in enumerate(chain([first, second], chunks)):
+        part = materialize(_searched(key, items, True), "leaks").withColumn("k", F.lit(k))
+        parts = part if parts is None else parts.union(part)
+    th, size, k0, k1, k2 = (helper(docs, x) for x in ("th", "size", "k0", "k1", "k2"))
+    # equal rows find the same, so one of each chunk speaks for all
+    told = parts.groupBy("doc_id", "th", "size", "k").agg(F.first("leaks").alias("leaks")).groupBy("doc_id", "th", "size").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "leaks"))), lambda x: x["leaks"])).alias("leaks"))
+    told = told.withColumnsRenamed({"doc_id": k0, "th": k1, "size": k2})
+    keyed = docs.withColumns({th: F.xxhash64("text"), size: F.length("text")})
+    same = F.col("doc_id").eqNullSafe(F.col(k0)) & (F.col(th) == F.col(k1)) & (F.col(size) == F.col(k2))
+    return keyed.join(told, same, "left").select(*own, F.coalesce("leaks", F.expr(f"cast(array() as {LEAKS})")).alias("leaks"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows that contain a benchmark item; all columns and the text stay."""
-    found = find(docs, benchmark, keep_text=True)
-    return found.where("size(leaks) = 0").select(*(F.col(f"`{c}`") for c in docs.columns))
+    held = {"leaks": helper(docs, "held_leaks")} if "leaks" in docs.columns else {}
+    found = find(docs.withColumnsRenamed(held), benchmark, keep_text=True)
+    return found.where("size(leaks) = 0").select(*(F.col(f"`{held.get(c, c)}`").alias(c) for c in docs.columns))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

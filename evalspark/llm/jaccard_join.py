@@ -35,7 +35,7 @@ from .shared import bitmap, bits_for, helper, in_bitmap, materialize, table
 
 BLOCK_PAIRS = 512
 CODE_BITS = 48  # of a shingle's hash in counting and in prefixes; what shares a code by chance only makes a candidate more
-CHUNK_TOKENS, CHUNK_DOCS = 2_000_000, 50_000  # of a chunk of documents whose shingles are sorted together
+CHUNK_TOKENS, CHUNK_DOCS = 1_000_000, 50_000  # of a chunk of documents whose shingles are sorted together
 SEVERAL = 1 << 40  # in place of a document, for a code that several of a chunk have
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import helper, table
 
 # Known licence sentences, normalised, and their identifiers (one letter each).
 SENTENCES = {

@@ -10,7 +10,8 @@ A source may hold a third of all rows: cumulative sums run over blocks (about ``
 documents only inside the block where a budget ends. Counts and shares cover all documents.
 
 Edge cases: a null source is a source of its own; a source without tokens stays for one epoch; a null or empty text has
-no tokens. Repeated rows are rows of their own. An empty table gives an empty result. Ties go by hash, then doc_id.
+no tokens. Repeated rows are drawn alike. An empty table gives an empty result. Ties go by hash, then doc_id. Other
+columns pass through whatever their names, but for older ones of the four that are added, which are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import materialize, table
+from .shared import helper, materialize, table
 
 BLOCK_ROWS = 256
 MAX_REPEATS = 2.0
@@ -78,32 +79,38 @@ def mix(docs: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: float
 
     Sorted by order_key, the rows of an epoch come in the order of that epoch's block permutation.
     """
-    own = docs.columns
+    own = [c for c in docs.columns if c not in ("n_tokens", "epoch", "block", "order_key")]
+    source, tokens, key, block, whole, rest, blocks_of, state_of, last = (helper(docs, x) for x in ("source", "tokens", "key", "block", "whole", "rest", "blocks", "state", "last"))
     rid = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
-    source = F.coalesce(F.concat(F.lit("s:"), F.col("source")), F.lit("null"))
-    light = docs.select("*", source.alias("_source"), n_tokens(F.col("text")).alias("_tokens"), _key(F.lit(f"doc{seed}"), rid).alias("_key"))
-    totals = materialize(light.groupBy("_source").agg(F.sum("_tokens").alias("tokens"), F.count("*").alias("docs")), "totals")
+    keyed = docs.withColumns({source: F.coalesce(F.concat(F.lit("s:"), F.col("source")), F.lit("null")), key: _key(F.lit(f"doc{seed}"), rid), tokens: n_tokens(F.col("text"))})
+    # rows of equal key stand or fall together, however many; texts are not read again until the end
+    small = materialize(keyed.groupBy(F.col(source).alias("source"), F.col(key).alias("key")).agg(F.sum(tokens).alias("tokens"), F.count("*").alias("docs")), "keys")
+    totals = materialize(small.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.sum("docs").alias("docs")), "totals")
     a = exponent(totals, max_repeats, entropy)
     top = totals.agg(F.max("tokens")).first()[0] or 1
     epochs = F.when(F.col("tokens") > 0, F.pow(F.lit(float(top)) / F.col("tokens"), F.lit(1.0 - a))).otherwise(F.lit(1.0))
-    plan = totals.select("_source", F.ceil(F.col("docs") / BLOCK_ROWS).alias("_blocks"), F.floor(epochs).cast("int").alias("_whole"), F.floor((epochs - F.floor(epochs)) * F.col("tokens")).cast("long").alias("_rest"))
+    plan = totals.select("source", F.ceil(F.col("docs") / BLOCK_ROWS).alias("blocks"), F.floor(epochs).cast("int").alias("whole"), F.floor((epochs - F.floor(epochs)) * F.col("tokens")).cast("long").alias("rest"))
     sent = F.broadcast(plan) if totals.count() <= MAX_SOURCES else plan
-    light = light.join(sent, "_source").withColumn("_block", F.pmod("_key", "_blocks").cast("int"))
-    blocks = light.groupBy("_source", "_block", "_whole", "_rest").agg(F.sum("_tokens").alias("t"))
-    turn = lambda e: _key(F.lit(f"block{seed}"), e.cast("string"), F.col("_source"), F.col("_block").cast("string"))
-    order = W.partitionBy("_source").orderBy("turn", "_block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = blocks.withColumn("turn", turn(F.col("_whole"))).withColumn("_before", F.coalesce(F.sum("t").over(order), F.lit(0)))
-    state = F.when(F.col("_before") + F.col("t") <= F.col("_rest"), 1).when(F.col("_before") < F.col("_rest"), 0).otherwise(-1)
-    blocks = materialize(blocks.select("_source", "_block", "_before", state.alias("_state")), "blocks")
+    dealt = small.join(sent, "source").withColumn("block", F.pmod("key", "blocks").cast("int"))
+    turn = lambda e, s, b: _key(F.lit(f"block{seed}"), e.cast("string"), s, b.cast("string"))
+    order = W.partitionBy("source").orderBy("turn", "block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = dealt.groupBy("source", "block", "whole", "rest").agg(F.sum("tokens").alias("t"))
+    blocks = blocks.withColumn("turn", turn(F.col("whole"), F.col("source"), F.col("block"))).withColumn("before", F.coalesce(F.sum("t").over(order), F.lit(0)))
+    state = F.when(F.col("before") + F.col("t") <= F.col("rest"), 1).when(F.col("before") < F.col("rest"), 0).otherwise(-1)
+    blocks = materialize(blocks.select("source", "block", "before", state.alias("state")), "blocks")
     # the one block of a source where its budget ends: documents in hash order while they fit
-    ends = light.select("_source", "_block", "_key", "_tokens", "_rest", "doc_id").join(blocks.where("_state = 0"), ["_source", "_block"])
-    inside = W.partitionBy("_source", "_block").orderBy("_key").rangeBetween(W.unboundedPreceding, 0)
-    cut = ends.withColumn("_sum", F.col("_before") + F.sum("_tokens").over(inside)).where("_sum <= _rest").groupBy("_source", "_block").agg(F.max("_key").alias("_last"))
-    state = blocks.join(cut, ["_source", "_block"], "left").select("_source", "_block", "_state", "_last")
-    drawn = light.join(state, ["_source", "_block"]).withColumn("_more", F.expr("if(_state = 1 or (_state = 0 and _key <= _last), 1, 0)"))
-    taken = [c for c in own if c not in ("n_tokens", "epoch", "block", "order_key")]
-    out = drawn.withColumn("epoch", F.explode(F.expr("sequence(0, _whole + coalesce(_more, 0) - 1)")))
-    return out.select(*(F.col(f"`{c}`") for c in taken), F.col("_tokens").alias("n_tokens"), "epoch", F.col("_block").alias("block"), turn(F.col("epoch")).alias("order_key"))
+    ends = dealt.join(blocks.where("state = 0"), ["source", "block"])
+    inside = W.partitionBy("source", "block").orderBy("key").rowsBetween(W.unboundedPreceding, 0)
+    cut = ends.withColumn("sum", F.col("before") + F.sum("tokens").over(inside)).where("sum <= rest").groupBy("source", "block").agg(F.max("key").alias("last"))
+    state = blocks.join(cut, ["source", "block"], "left").select(F.col("source").alias(f"{source}2"), F.col("block").alias(f"{block}2"), F.col("state").alias(state_of), F.col("last").alias(last))
+    named = sent.select(F.col("source").alias(f"{source}1"), F.col("blocks").alias(blocks_of), F.col("whole").alias(whole), F.col("rest").alias(rest))
+    named = F.broadcast(named) if totals.count() <= MAX_SOURCES else named
+    drawn = keyed.join(named, F.col(source) == F.col(f"{source}1")).withColumn(block, F.pmod(key, blocks_of).cast("int"))
+    drawn = drawn.join(state, (F.col(source) == F.col(f"{source}2")) & (F.col(block) == F.col(f"{block}2")))
+    more = F.expr(f"if(`{state_of}` = 1 or (`{state_of}` = 0 and `{key}` <= `{last}`), 1, 0)")
+    columns = [F.col(f"`{c}`") for c in own]
+    out = drawn.select(*columns, F.col(tokens).alias("n_tokens"), F.explode(F.sequence(F.lit(0), F.col(whole) + F.coalesce(more, F.lit(0)) - 1)).alias("epoch"), F.col(block).alias("block"), F.col(source))
+    return out.select(*columns, "n_tokens", "epoch", "block", turn(F.col("epoch"), F.col(source), F.col("block")).alias("order_key"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,8 @@ Every word enters as a hashed word vector beside the mean of its hashed characte
 words start every ``STRIDE`` words, so neighbours overlap and every word of a whole text is read. Windows learn the label of
 their document; a logistic model over a document's window scores then gives the document's score.
 
-Fitting reads a bounded sample: at most ``max_toxic`` + ``max_clean`` labelled documents, the first by a hash of doc_id,
-and at most ``windows_each`` windows of each for the network. Scoring reads every row and every window.
+Fitting reads a bounded sample: at most ``max_toxic`` + ``max_clean`` labelled documents, the first by a hash of doc_id, and
+every window of their whole texts. Scoring reads every row and every window.
 
 Edge cases: a null or empty text, or one without letters, is one window of padding and gets that window's score. A null
 label is no label; documents with both labels are left out. Without two labelled classes every score is 0.0. Repeated
@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops
-from .shared import table
+from .shared import helper, table
 
 WINDOW, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 8, 8
 WORD_SLOTS, CHAR_SLOTS = 1 << 12, 1 << 14
 GRAMS = (3, 5)  # bytes, with a mark at either end of the word
-BATCH, STEPS, RATE = 128, 800, 0.03
+BATCH, STEPS, RATE, DRAWS = 128, 800, 0.03, 4
 THRESHOLD = 0.3
 
 IS_LETTER = np.zeros(256, bool)
@@ -174,8 +174,12 @@ def _gradients(p: Params, x: np.ndarray, ids: np.ndarray, real: np.ndarray, y: n
     return g, dx
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Params:
-    """The network from windows given as text; Adam for the weights, Adagrad for the rows of the tables in use."""
+def train(texts: list[str], labels: np.ndarray, of: np.ndarray, seed: int = 7) -> Params:
+    """The network from windows given as text; Adam for the weights, Adagrad for the rows of the tables in use.
+
+    of: each window's document, in order. Every epoch draws ``DRAWS`` windows of each document anew, so long texts weigh no
+    more than others and all their windows take turns.
+    """
     rng = np.random.default_rng(seed)
     w = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
     size = WORD_DIM + CHAR_DIM
@@ -187,10 +191,12 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Params:
     first = np.searchsorted(row, np.arange(len(texts) + 1))
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items() if k not in ("words", "chars")}
     used = {k: np.full(len(p[k]), 1e-3, np.float32) for k in ("words", "chars")}
-    step, epochs = 0, min(30, -(-STEPS * BATCH // len(texts)))
+    begin = np.searchsorted(of, of)
+    step, epochs = 0, min(30, -(-STEPS * BATCH // int((np.arange(len(of)) - begin < DRAWS).sum())))
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs) + 0.001
-        deal = rng.permutation(len(texts))
+        drawn = np.lexsort((rng.random(len(of)), of))
+        deal = rng.permutation(drawn[np.arange(len(of)) - begin < DRAWS])
         for k in range(0, len(deal), BATCH):
             mine = deal[k : k + BATCH]
             idx = first[mine] + np.arange(WINDOW)[:, None]
@@ -281,7 +287,7 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: int = 1800, windows_each: int = 4) -> tuple[Params, tuple] | None:
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: int = 1800) -> tuple[Params, tuple] | None:
     """The network and the document model, from the labelled rows that are not held out."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.min("toxic").alias("y"), F.max("toxic").alias("y2")).where("y = y2").drop("y2")
     order = F.xxhash64("doc_id")
@@ -298,8 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: in
                 out = []
                 for r in range(b - a):
                     mine = np.flatnonzero(of == r) if b - a < 64 else np.arange(np.searchsorted(of, r), np.searchsorted(of, r, "right"))
-                    pick = np.random.default_rng(int(ids[a + r]) & 0xFFFFFFFF).permutation(mine)[:windows_each]
-                    for k in np.sort(pick):
+                    for k in mine:
                         text = low[start[first[k]] : end[first[k] + words[k] - 1]].tobytes() if words[k] > 0 else b""
                         out.append((ids[a + r], int(k), ys[a + r], text.decode(errors="ignore")))
                 yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.string()))], ["doc_id", "k", "y", "text"])
@@ -307,14 +312,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 1200, max_clean: in
     windows = chosen.select("doc_id", F.col("y").cast("int").alias("y"), "text").mapInArrow(cut, "doc_id long, k long, y int, text string").toPandas().sort_values(["doc_id", "k", "text"])
     if windows["y"].nunique() < 2:
         return None
-    p = train(windows["text"].tolist(), windows["y"].to_numpy(np.float32))
+    p = train(windows["text"].tolist(), windows["y"].to_numpy(np.float32), np.unique(windows["doc_id"], return_inverse=True)[1])
     seen = _features(chosen.select("doc_id", F.col("y").cast("int").alias("y"), "text"), p, None).toPandas().sort_values(["doc_id", "f0"])
     head = _logistic(seen[[f"f{j}" for j in range(FEATURES)]].to_numpy(), seen["y"].to_numpy(np.float64))
     return p, head
 
 
 def score(docs: DataFrame, model: tuple[Params, tuple] | None, keep_text: bool = False) -> DataFrame:
-    """docs (any columns with text) without text, with score, n_windows, worst_word (the first word of the worst window)."""
+    """docs (any columns with text) without text, with score, n_windows, worst_word (the first word of the worst window), which replace older ones."""
     docs = docs.drop("score", "n_windows", "worst_word")
     drop = () if keep_text else ("text",)
     if model is None:
@@ -324,8 +329,9 @@ def score(docs: DataFrame, model: tuple[Params, tuple] | None, keep_text: bool =
 
 def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without the rows that the model, fitted on the labelled rows among docs, predicts to be toxic; all columns stay."""
-    scored = score(docs, fit(docs.select("doc_id", "text"), labels), keep_text=True)
-    return scored.where(F.col("score") < THRESHOLD).select(*(F.col(f"`{c}`") for c in docs.columns))
+    held = {c: helper(docs, f"held_{c}") for c in ("score", "n_windows", "worst_word") if c in docs.columns}
+    scored = score(docs.withColumnsRenamed(held), fit(docs.select("doc_id", "text"), labels), keep_text=True)
+    return scored.where(F.col("score") < THRESHOLD).select(*(F.col(f"`{held.get(c, c)}`").alias(c) for c in docs.columns))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

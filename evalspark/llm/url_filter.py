@@ -2,11 +2,14 @@
 
 A rule is a host with a path (``example.net/en/``). It fits its host and all subdomains where the url's path starts with
 the rule's. Every url yields its possible keys (host suffixes at label borders, path beginnings of the lengths that
-occur in the list); the Bloom filter drops nearly all that are not listed, the join on the key itself drops the rest.
+occur in the list). Keys that the Bloom filter knows not to be listed leave in an inner join with its blocks; possible hits
+go on to an inner join on the key itself, and only what that finds goes back to its row.
 The longest rule wins (then the longer host, then the greater rule string); without one the verdict is ``default``.
 
 Edge cases: a null url or one without ``://`` has empty host and path and fits nothing. Repeated rows come back as often
-as they came; a null page_id is kept. A rule listed twice with both verdicts blocks. An empty list fits nothing.
+as they came; a null page_id is kept. A rule listed twice with both verdicts blocks. An empty list fits nothing. Other
+columns pass through whatever their names, but for older ones of the four that are added. Rows are numbered while they are
+read and met again by number, so ``pages`` must give the same rows in the same partitions each time, as files do.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import helper, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BITS_A_KEY, BLOCK_WORDS = 12, 4  # a block is 4 words of 64 bits; every key sets two bits in each word of one block
@@ -61,24 +64,23 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataFr
     small = (lambda d: F.broadcast(d)) if max(n, n_blocks) <= BROADCAST_ROWS else (lambda d: d)
     # distinct lengths of listed paths: at most a few hundred small numbers
     lengths = [r[0] for r in listed.select(F.length("path")).distinct().collect()]
-    own = pages.columns
-    rows = pages.withColumns({"_row": F.monotonically_increasing_id(), "_host": host, "_path": path})
-    suffixes = F.expr("transform(split(_host, '[.]'), (x, i) -> array_join(slice(split(_host, '[.]'), i + 1, size(split(_host, '[.]'))), '.'))")
-    starts = F.array_distinct(F.expr(f"transform(filter(array({', '.join(map(str, lengths)) or '-1'}), n -> n between 0 and length(_path)), n -> substring(_path, 1, n))"))
-    keys = rows.withColumn("_suffix", F.explode_outer(suffixes)).withColumn("_start", F.explode_outer(starts))
-    keys = keys.withColumn("_h", F.xxhash64("_suffix", "_start")).withColumn("block", F.pmod("_h", F.lit(n_blocks)))
-    maybe = keys.join(small(bloom(listed, n_blocks)), "block", "left")
+    row, host_of, path_of, best_of = (helper(pages, x) for x in ("row", "host", "path", "best"))
+    rows = pages.withColumns({row: F.monotonically_increasing_id(), host_of: host, path_of: path})
+    keys = rows.select(F.col(row).alias("row"), F.col(host_of).alias("host"), F.col(path_of).alias("path"))
+    suffixes = F.expr("transform(split(host, '[.]'), (x, i) -> array_join(slice(split(host, '[.]'), i + 1, size(split(host, '[.]'))), '.'))")
+    starts = F.array_distinct(F.expr(f"transform(filter(array({', '.join(map(str, lengths)) or '-1'}), n -> n between 0 and length(path)), n -> substring(path, 1, n))"))
+    keys = keys.select("row", F.explode(suffixes).alias("suffix"), "path").select("row", "suffix", F.explode(starts).alias("start"))
+    keys = keys.withColumn("h", F.xxhash64("suffix", "start")).withColumn("block", F.pmod("h", F.lit(n_blocks)))
     hit = F.lit(True)
-    for i, m in enumerate(_masks("_h")):
-        hit = hit & F.coalesce(F.col(f"w{i}").bitwiseAND(m) == m, F.lit(False))
-    maybe = maybe.withColumn("_suffix", F.when(hit, F.col("_suffix")))  # no hit: nothing for the join to match
-    rules = listed.select(F.col("host").alias("_suffix"), F.col("path").alias("_start"), F.col("rule").alias("_rule"), F.col("verdict").alias("_verdict"))
-    judged = maybe.join(small(rules), ["_suffix", "_start"], "left")
-    best = F.when(F.col("_rule").isNotNull(), F.struct(F.length("_rule").alias("n"), F.length("_suffix").alias("k"), "_rule", "_verdict"))
-    first = [F.first(F.col(f"`{c}`")).alias(c) for c in own]
-    out = judged.groupBy("_row").agg(*first, F.first("_host").alias("_host"), F.first("_path").alias("_path"), F.max(best).alias("_best"))
-    taken = [c for c in own if c not in ("host", "path", "rule", "verdict")]
-    return out.select(*(F.col(f"`{c}`") for c in taken), F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_best._rule").alias("rule"), F.coalesce(F.col("_best._verdict"), F.lit(default)).alias("verdict"))
+    for i, m in enumerate(_masks("h")):
+        hit = hit & (F.col(f"w{i}").bitwiseAND(m) == m)
+    maybe = keys.join(small(bloom(listed, n_blocks)), "block").where(hit).select("row", "suffix", "start")
+    rules = listed.select(F.col("host").alias("suffix"), F.col("path").alias("start"), "rule", "verdict")
+    found = maybe.join(small(rules), ["suffix", "start"])
+    best = found.groupBy("row").agg(F.max(F.struct(F.length("rule").alias("n"), F.length("suffix").alias("k"), "rule", "verdict")).alias(best_of)).withColumnRenamed("row", f"{row}2")
+    out = rows.join(best, F.col(row) == F.col(f"{row}2"), "left")
+    taken = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    return out.select(*(F.col(f"`{c}`") for c in taken), F.col(host_of).alias("host"), F.col(path_of).alias("path"), F.col(f"{best_of}.rule").alias("rule"), F.coalesce(F.col(f"{best_of}.verdict"), F.lit(default)).alias("verdict"))
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
