@@ -6,11 +6,12 @@ blank lines. A known licence sentence may run over line ends, as wrapped texts d
 and ends at one or the other. The identifiers of a text, in order and with ``/`` where unknown sentences lie between, are
 then matched against the ordered licence rules: an earlier rule takes its sentences away from later ones.
 
-The sentence table is part of the operator and bounded (``SENTENCES``), so the lookup is a map literal in the
-expression; no row leaves its partition.
+The sentence table is part of the operator and bounded (``SENTENCES``), so every sentence is a step of the expression; no
+row leaves its partition.
 
 Edge cases: a null or empty text has no sentences and no licences. Repeated rows come back as often as they came; a null
-doc_id is kept. A known sentence that fits no rule is counted in n_known, and gives no licence.
+doc_id is kept. A known sentence that fits no rule is counted in n_known, and gives no licence. Other columns pass through
+whatever their names, but for older ones of the three that are added. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,81 +21,126 @@ from pyspark.sql import functions as F
 
 from .shared import helper, table
 
-# Known licence sentences, normalised, and their identifiers (one letter each).
+# Known licence sentences, normalised, and their identifiers (capitals A-Z).
 SENTENCES = {
-    "released under the mit license": "a",
-    "licensed under the mit license": "a",
-    "this project is licensed under the mit license": "a",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "b",
-    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "c",
-    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "d",
-    "licensed under the apache license version 2 0": "e",
-    "licensed under the apache license version 2 0 the license": "e",
-    "you may not use this file except in compliance with the license": "f",
-    "you may obtain a copy of the license at": "g",
-    "http www apache org licenses license 2 0": "h",
-    "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "i",
-    "this work is licensed under the gnu general public license version 3": "j",
-    "licensed under the gnu general public license version 3": "j",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "k",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "l",
-    "licensed under cc by nc 4 0": "m",
-    "this work is licensed under cc by nc 4 0": "m",
-    "licensed under cc by 4 0": "n",
-    "this work is licensed under a creative commons attribution 4 0 international license": "n",
-    "licensed under cc by sa 4 0": "o",
-    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "p",
-    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "q",
-    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "r",
-    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "s",
-    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "t",
-    "this is free and unencumbered software released into the public domain": "u",
-    "all rights reserved": "v",
+    "released under the mit license": "MITNAME",
+    "licensed under the mit license": "MITNAME",
+    "this project is licensed under the mit license": "MITNAME",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "MITGRANT",
+    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "NOTICE",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "WARRANTY",
+    "licensed under the apache license version 2 0": "APACHENAME",
+    "licensed under the apache license version 2 0 the license": "APACHENAME",
+    "you may not use this file except in compliance with the license": "COMPLY",
+    "you may obtain a copy of the license at": "OBTAIN",
+    "http www apache org licenses license 2 0": "APACHEURL",
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "BASIS",
+    "this work is licensed under the gnu general public license version 3": "GPLNAME",
+    "licensed under the gnu general public license version 3": "GPLNAME",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "GPLTHREE",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "GPLTWO",
+    "licensed under cc by nc 4 0": "BYNC",
+    "this work is licensed under cc by nc 4 0": "BYNC",
+    "licensed under cc by 4 0": "BY",
+    "this work is licensed under a creative commons attribution 4 0 international license": "BY",
+    "licensed under cc by sa 4 0": "BYSA",
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "BSDGRANT",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "SOURCE",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "BINARY",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "ENDORSE",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "DISCLAIMER",
+    "this is free and unencumbered software released into the public domain": "PUBLIC",
+    "all rights reserved": "RESERVED",
+    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "LIABLE",
+    "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage": "DAMAGES",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISCGRANT",
+    "this source code form is subject to the terms of the mozilla public license v 2 0": "MPLNAME",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "LGPL",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "AGPL",
+    "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "HOPE",
+    "you should have received a copy of the gnu general public license along with this program": "RECEIVED",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "ZLIBGRANT",
+    "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed": "WTFPL",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "BYSA",
+    "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "BYNC",
 }
 
 # Licence rules in order; a rule is a run of sentence identifiers.
 RULES = [
-    ("MIT", "bcd"), ("MIT", "bc"), ("Apache-2.0", "efghi"), ("Apache-2.0", "efg"), ("BSD-3-Clause", "pqrst"), ("BSD-3-Clause", "pqrs"),
-    ("BSD-2-Clause", "pqrt"), ("BSD-2-Clause", "pqr"), ("GPL-3.0-or-later", "k"), ("GPL-2.0-or-later", "l"), ("MIT", "a"), ("Apache-2.0", "e"),
-    ("GPL-3.0-only", "j"), ("CC-BY-NC-4.0", "m"), ("CC-BY-4.0", "n"), ("CC-BY-SA-4.0", "o"), ("Unlicense", "u"), ("MIT", "b"), ("BSD", "p"),
-]
+    ("MIT", "MITGRANT NOTICE WARRANTY"),
+    ("MIT", "MITGRANT NOTICE"),
+    ("Apache-2.0", "APACHENAME COMPLY OBTAIN APACHEURL BASIS"),
+    ("Apache-2.0", "APACHENAME COMPLY OBTAIN"),
+    ("BSD-3-Clause", "BSDGRANT SOURCE BINARY ENDORSE DISCLAIMER"),
+    ("BSD-3-Clause", "BSDGRANT SOURCE BINARY ENDORSE"),
+    ("BSD-2-Clause", "BSDGRANT SOURCE BINARY DISCLAIMER"),
+    ("BSD-2-Clause", "BSDGRANT SOURCE BINARY"),
+    ("GPL-3.0-or-later", "GPLTHREE"),
+    ("GPL-2.0-or-later", "GPLTWO"),
+    ("MIT", "MITNAME"),
+    ("Apache-2.0", "APACHENAME"),
+    ("GPL-3.0-only", "GPLNAME"),
+    ("CC-BY-NC-4.0", "BYNC"),
+    ("CC-BY-4.0", "BY"),
+    ("CC-BY-SA-4.0", "BYSA"),
+    ("Unlicense", "PUBLIC"),
+    ("MIT", "MITGRANT"),
+    ("BSD", "BSDGRANT"),
+    ("ISC", "ISCGRANT"),
+    ("MPL-2.0", "MPLNAME"),
+    ("LGPL-2.1-or-later", "LGPL"),
+    ("AGPL-3.0-or-later", "AGPL"),
+    ("Zlib", "ZLIBGRANT"),
+    ("WTFPL", "WTFPL"),
+]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# the SQL cuts at every line end and takes sentences longer than LONGEST as unknown: the same where nothing is wrapped
-CUT = r"[\n\r]+|[.!?;]+[\x20\t]+|[.!?;]+$"
-LONGEST = 2 * max(map(len, SENTENCES))
+
+# steps of normalising, the same for Spark and SQL: line ends, with all marks and list numbers after them, to one; sentence
+# ends and blank lines to \f; then all but the words to single spaces, with none beside line and sentence ends
+STEPS = [
+    (r"(?:\r\n|[\r\n])[^a-z0-9\r\n]*(?:(?:[0-9]{1,2}|[a-z])[.)][\x20\t]+[^a-z0-9\r\n]*)?", "\n"),
+    (r"\n{2,}|[.!?;]+(?:[\x20\t\n]+|\z)", "\f"),
+    (r"[^a-z0-9\n\f]+", " "),
+    (r"\x20?\n\x20?", "\n"),
+    (r"\x20?\f\x20?", "\f"),
+]
+
+
+def _wrapped(sentence: str, end: str) -> str:
+    """The sentence with a space or a line end between its words."""
+    return sentence.replace(" ", f"(?:\x20|{end})")
 
 
 def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, str]] | None = None) -> DataFrame:
     """docs without text, with n_known (known sentences), sequence (their identifiers) and licences (comma-joined, in order of rules)."""
     sentences, rules = sentences or SENTENCES, rules or RULES
-    wrapped = lambda s: s.replace(" ", "[ \n]")
+    plain, ids_of, sequence = helper(docs, "plain"), helper(docs, "ids"), helper(docs, "sequence")
     text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    # line ends, with all marks and list numbers after them; then sentence ends and blank lines as \f; then the words
-    text = F.regexp_replace(text, r"(?:\r\n|[\r\n])[^a-z0-9\r\n]*(?:(?:[0-9]{1,2}|[a-z])[.)][\x20\t]+[^a-z0-9\r\n]*)?", "\n")
-    text = F.regexp_replace(text, r"\n{2,}|[.!?;]+(?:[\x20\t\n]+|$)", "\f")
-    text = F.regexp_replace(text, r"[^a-z0-9\n\f]+", " ")
-    text = F.regexp_replace(text, " ?([\n\f]) ?", "$1")
-    text = F.trim(text)
+    for pattern, to in STEPS:
+        text = F.regexp_replace(text, pattern, to)
     # the first words decide for nearly all texts that they hold no known sentence
-    starts = "|".join(sorted({wrapped(" ".join(s.split()[:2])) for s in sentences}))
-    out = docs.withColumn("_text", text)
-    ids = F.col("_text")
+    starts = "|".join(sorted({_wrapped(" ".join(s.split()[:2]), "\n") for s in sentences}))
+    out = docs.withColumn(plain, F.trim(text))
+    ids = F.col(plain)
     for sentence, name in sorted(sentences.items(), key=lambda x: (-len(x[0]), x)):
-        ids = F.regexp_replace(ids, rf"(?<![^\n\f]){wrapped(sentence)}(?![^\n\f])", name.upper())
-    # what is left in lower case is unknown; a known sentence is a capital that stands alone
-    ids = F.lower(F.regexp_replace(F.regexp_replace(ids, r"[a-z0-9 ]+", "/"), r"[\n\f]+", ""))
-    ids = F.when(F.col("_text").rlike(rf"(?:^|[\n\f])(?:{starts})"), F.regexp_replace(ids, "//+", "/")).otherwise(F.lit(""))
-    out = out.withColumn("_ids", ids).withColumn("sequence", F.expr("trim(BOTH '/' FROM _ids)")).drop("_ids", "_text", "text")
-    left, found = F.col("sequence"), []
+        ids = F.regexp_replace(ids, rf"(?<![^\n\f]){_wrapped(sentence, chr(10))}(?![^\n\f])", name)
+    # what is left in lower case is unknown
+    ids = F.regexp_replace(F.regexp_replace(ids, r"[a-z0-9\x20]+", "/"), r"[\n\f]+", " ")
+    ids = F.when(F.col(plain).rlike(rf"(?:^|[\n\f])(?:{starts})"), F.regexp_replace(ids, r"/(?:\x20/)+", "/")).otherwise(F.lit(""))
+    out = out.withColumn(ids_of, ids).withColumn(sequence, F.expr(f"trim(BOTH ' /' FROM `{ids_of}`)"))
+    # identifiers stand between two spaces each, so that runs that follow each other are found both
+    left, found, steps = F.when(F.col(sequence) == "", F.lit("")).otherwise(F.concat(F.lit(" "), F.replace(F.col(sequence), F.lit(" "), F.lit("  ")), F.lit(" "))), [], []
     for i, (_, run) in enumerate(rules):
-        name = f"_left{i}"
-        out = out.withColumn(name, F.when(left == "", F.lit("")).otherwise(F.replace(left, F.lit(run), F.lit("|"))))
-        found.append(F.when(F.col(name) != left, F.lit(rules[i][0])))
-        left = F.col(name)
+        name = helper(docs, f"left{i}")
+        out = out.withColumn(f"{name}", left)
+        steps.append(name)
+        left = F.when(F.col(name) == "", F.lit("")).otherwise(F.replace(F.col(name), F.lit(f" {run.replace(' ', '  ')} "), F.lit(" | ")))
+        found.append(F.when(left != F.col(name), F.lit(rules[i][0])))
     named = F.array_join(F.array_distinct(F.array_compact(F.array(*found))), ",")
     own = [c for c in docs.columns if c not in ("text", "sequence", "licences", "n_known")]
-    return out.select(*(F.col(f"`{c}`") for c in own), F.length(F.replace(F.col("sequence"), F.lit("/"), F.lit(""))).alias("n_known"), "sequence", named.alias("licences"))
+    known = F.size(F.filter(F.split(F.col(sequence), " "), lambda x: (x != "/") & (x != ""))).cast("int")
+    return out.select(*(F.col(f"`{c}`") for c in own), known.alias("n_known"), F.col(sequence).alias("sequence"), named.alias("licences"))
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,29 +148,26 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    rows = ", ".join(f"('{s}', '{i}')" for s, i in SENTENCES.items())
-    text, lefts, found = "sequence", [], []
+    quoted = lambda s: s.replace("\n", "' || chr(10) || '").replace("\f", "' || chr(12) || '")
+    text = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    for pattern, to in STEPS:
+        text = f"regexp_replace({text}, '{pattern}', '{quoted(to)}', 'g')"
+    # without looking around: every end is doubled, so that neighbours have one each, and a match takes one on either side
+    ids = f"chr(12) || regexp_replace(trim({text}), '([\\n\\f])', '\\1\\1', 'g') || chr(12)"
+    for sentence, name in sorted(SENTENCES.items(), key=lambda x: (-len(x[0]), x)):
+        ids = f"regexp_replace({ids}, '([\\n\\f]){_wrapped(sentence, r'\n\n')}([\\n\\f])', '\\1{name}\\2', 'g')"
+    ids = f"regexp_replace(regexp_replace(regexp_replace({ids}, '[a-z0-9 ]+', '/', 'g'), '[\\n\\f]+', ' ', 'g'), '/( /)+', '/', 'g')"
+    left, steps, found, last = "CASE WHEN sequence = '' THEN '' ELSE ' ' || replace(sequence, ' ', '  ') || ' ' END", [], [], "q"
     for k, (name, run) in enumerate(RULES):
-        lefts.append((f"left{k}", f"replace({text}, '{run}', '|')"))
-        found.append(f"CASE WHEN left{k} <> {text} THEN '{name}' END")
-        text = f"left{k}"
-    steps, last = [], "q"
-    for k, (name, expr) in enumerate(lefts):
-        steps.append(f"q{k} AS (SELECT *, {expr} AS {name} FROM {last})")
-        last = f"q{k}"
-    names = ", ".join(found)
+        steps.append(f"q{k} AS (SELECT *, {left} AS left{k} FROM {last})")
+        left, last = f"replace(left{k}, ' {run.replace(' ', '  ')} ', ' | ')", f"q{k}"
+        found.append(f"CASE WHEN {left} <> left{k} THEN '{name}' END")
     return f"""
-WITH k(s, id) AS (VALUES {rows}),
-d AS (SELECT doc_id, row_number() OVER () AS rn, regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{CUT}') AS parts FROM documents),
-e AS (SELECT rn, generate_subscripts(parts, 1) AS i, unnest(parts) AS s FROM d),
-i AS (SELECT rn, i, CASE WHEN length(e.s) BETWEEN {min(map(len, SENTENCES))} AND {LONGEST} THEN coalesce(k.id, '/') ELSE '/' END AS id
-      FROM e LEFT JOIN k ON trim(regexp_replace(e.s, '[^a-z0-9]+', ' ', 'g')) = k.s),
-q AS (SELECT rn, trim(regexp_replace(string_agg(id, '' ORDER BY i), '//+', '/', 'g'), '/') AS sequence FROM i GROUP BY rn),
+WITH q AS (SELECT doc_id, trim({ids}, ' /') AS sequence FROM documents),
 {", ".join(steps)}
-SELECT d.doc_id, length(replace(sequence, '/', ''))::INT AS n_known, sequence,
-  array_to_string(list_distinct_ordered, ',') AS licences
-FROM (SELECT rn, sequence, list_filter(names, lambda x, j: x IS NOT NULL AND list_position(names, x) = j) AS list_distinct_ordered
-      FROM (SELECT rn, sequence, [{names}] AS names FROM {last})) JOIN d USING (rn)
+SELECT doc_id, len(list_filter(string_split(sequence, ' '), lambda x: x <> '/' AND x <> ''))::INT AS n_known, sequence,
+  array_to_string(list_filter(names, lambda x, j: x IS NOT NULL AND list_position(names, x) = j), ',') AS licences
+FROM (SELECT doc_id, sequence, [{", ".join(found)}] AS names FROM {last})
 """
 
 

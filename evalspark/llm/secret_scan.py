@@ -1,27 +1,31 @@
 """Secret scan over a trigram inverted index, in DataFrame expressions only.
 
 From each rule's regular expression a Boolean query of mandatory trigrams is derived: an OR over its possible literals,
-each an AND of that literal's trigrams. Postings of the queried trigrams are built over all documents and intersected;
-only candidates are verified with the regular expression. A rule without mandatory trigrams scans every text.
+each an AND of that literal's trigrams. The inverted index holds, for every trigram that some query asks for, the documents
+that contain it; postings are intersected, and only candidates are verified with the regular expression. A rule without
+mandatory trigrams scans every text. Texts whose own trigrams meet no query never leave their partition.
 
 Spans are in code points, end exclusive, leftmost and non-overlapping for each rule; matches that are too short are
 dropped after matching, so they still use up their text.
 
 Edge cases: a null text is empty and has no spans. Repeated rows come back as often as they came; a null doc_id is kept
-(postings are keyed by doc_id and a hash of the text). U+0001 and U+0002 in a text mark matches while spans are
+(postings are keyed by doc_id, a 64-bit hash of the text and its length). Other columns pass through whatever their names,
+but for an older ``found``. An empty table gives an empty result. U+0001 and U+0002 in a text mark matches while spans are
 counted and are first turned into U+0003, which no rule matches either.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 from re import _parser as regex_parser
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import helper, table
 
 
 @dataclass(frozen=True)
@@ -44,6 +48,7 @@ MORE = [
 ]
 
 MAX_LITERALS = 64
+SPANS = "array<struct<start: int, rule: int, end: int>>"
 
 
 def _literals(parsed, case: bool) -> list[str] | None:
@@ -89,25 +94,47 @@ def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     return None if best is None else [frozenset(x.lower()[k : k + 3] for k in range(len(x) - 2)) for x in best]
 
 
-def candidates(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """(doc_id, th, cand): the documents that hold every trigram of some literal of a rule; bit i of cand stands for rule i."""
+KEY = ["doc_id", "th", "size"]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("text").alias("th"), F.length("text").alias("size"), "text")
+
+
+def grams_of(rules: list[Rule]) -> list[str]:
+    return sorted({g for r in rules for q in trigram_query(r.pattern) or [] for g in q})
+
+
+def index(docs: DataFrame, grams: list[str]) -> DataFrame:
+    """The inverted index of ``grams``: a row (gram, doc_id, th, size) for every document and each of its distinct trigrams among them.
+
+    It can be written once and asked with any rules whose trigrams it covers.
+    """
+    held = lambda x: F.array_compact(F.array(*[F.when(F.contains(x, F.lit(g)), F.lit(g)) for g in grams])) if grams else F.expr("cast(array() as array<string>)")
+    # a list of one, so that a text is lower-cased once
+    return _keyed(docs).where("text is not null").select(F.explode(F.flatten(F.transform(F.array(F.lower("text")), held))).alias("gram"), *KEY)
+
+
+def candidates(postings: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(doc_id, th, size, cand): the documents in all postings of some literal of a rule; bit i of cand stands for rule i."""
     queries = [(i, a, sorted(grams)) for i, r in enumerate(rules) for a, grams in enumerate(trigram_query(r.pattern) or [])]
-    grams = sorted({g for _, _, gs in queries for g in gs})
-    if not grams:
-        return docs.select("doc_id", "th", F.lit(0).cast("long").alias("cand")).limit(0)
-    lower = F.lower("text")
-    held = F.array_compact(F.array(*[F.when(F.contains(lower, F.lit(g)), F.lit(g)) for g in grams]))
-    postings = docs.select(F.explode(held).alias("gram"), "doc_id", "th")
-    asked = docs.sparkSession.createDataFrame([(g, i, a, k, (1 << len(gs)) - 1) for i, a, gs in queries for k, g in enumerate(gs)], "gram string, rule int, alt int, k int, all long")
-    met = postings.join(F.broadcast(asked), "gram").groupBy("doc_id", "th", "rule", "alt", "all").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("have"))
-    return met.where("have = all").groupBy("doc_id", "th").agg(F.bit_or(F.expr("shiftleft(1L, rule)")).alias("cand"))
+    asked = postings.sparkSession.createDataFrame([(g, i, a, k, (1 << len(gs)) - 1) for i, a, gs in queries for k, g in enumerate(gs)], "gram string, rule int, alt int, k int, all long")
+    met = postings.join(F.broadcast(asked), "gram").groupBy(*KEY, "rule", "alt", "all").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("have"))
+    return met.where("have = all").groupBy(*KEY).agg(F.bit_or(F.expr("shiftleft(1L, rule)")).alias("cand"))
+
+
+def _may_hold(rules: list[Rule]) -> Column:
+    """Whether a text's own trigrams meet the query of any rule: others need not travel to meet their postings."""
+    queries = [sorted(grams) for r in rules for grams in trigram_query(r.pattern) or []]
+    holds = lambda x: reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [F.contains(x, F.lit(g)) for g in grams]) for grams in queries])
+    return F.exists(F.array(F.lower("text")), holds)
 
 
 def _spans(text: Column, rule: Rule, index: int) -> Column:
     """array<struct<start, rule, end>> of one rule in one text."""
     mark = F.regexp_replace(text, rule.pattern, f"\x01$0\x02${rule.group}\x02")
     parts = F.split(mark, "\x01")
-    first = F.struct(F.length(F.element_at(parts, 1)).alias("at"), F.expr("cast(array() as array<struct<start: int, rule: int, end: int>>)").alias("out"))
+    first = F.struct(F.length(F.element_at(parts, 1)).alias("at"), F.expr(f"cast(array() as {SPANS})").alias("out"))
 
     def step(acc: Column, part: Column) -> Column:
         piece = F.split(part, "\x02", 3)
@@ -118,24 +145,43 @@ def _spans(text: Column, rule: Rule, index: int) -> Column:
     return F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), first, step, lambda acc: acc["out"])
 
 
-def scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """docs without text, with found: array<struct<start, rule, end>> in order of start, then rule."""
-    rules = rules or BASE + MORE
-    docs = docs.withColumn("th", F.xxhash64("text"))
-    cand = candidates(docs, rules).withColumnRenamed("doc_id", "_id").withColumnRenamed("th", "_th")
-    text = F.col("text")
-    joined = docs.join(cand, (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+def _found(text: Column, rules: list[Rule], which: list[int], may: Callable[[int], Column]) -> Column:
+    """The spans of some of the rules."""
     clean = F.translate(F.coalesce(text, F.lit("")), "\x01\x02", "\x03\x03")
     found = []
-    for i, r in enumerate(rules):
+    for i in which:
+        r = rules[i]
         # a run of one class of characters: the length can be part of the expression, which then marks only what counts
         run = re.fullmatch(r"\[[^\]]+\]\+", r.pattern)
         quick = Rule(r.kind, f"{r.pattern[:-1]}{{{r.least},}}", r.group, r.least) if run else r
-        may = F.coalesce(F.col("cand").bitwiseAND(1 << i) != 0, F.lit(False)) if trigram_query(r.pattern) else F.rlike(text, F.lit(quick.pattern))
-        found.append(F.when(may, _spans(clean, quick, i)))
-    own = [c for c in docs.columns if c not in ("text", "th", "found")]
-    spans = F.array_sort(F.flatten(F.array_compact(F.array(*found))))
-    return joined.select(*(F.col(f"`{c}`") for c in own), spans.alias("found"))
+        found.append(F.when(may(i) if trigram_query(r.pattern) else F.rlike(text, F.lit(quick.pattern)), _spans(clean, quick, i)))
+    return F.flatten(F.array_compact(F.array(*found)))
+
+
+def scan(docs: DataFrame, rules: list[Rule] | None = None, postings: DataFrame | None = None) -> DataFrame:
+    """docs without text, with found: array<struct<start, rule, end>> in order of start, then rule.
+
+    postings: an ``index`` of docs, if there is one already. Only candidates' texts travel, to be verified; rules without
+    mandatory trigrams scan every text where it lies.
+    """
+    rules = rules or BASE + MORE
+    asked = [i for i, r in enumerate(rules) if trigram_query(r.pattern)]
+    rest = [i for i in range(len(rules)) if i not in asked]
+    th, size, mine, theirs = (helper(docs, x) for x in ("th", "size", "mine", "theirs"))
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "found")]
+    empty = F.expr(f"cast(array() as {SPANS})")
+    here = docs.withColumns({th: F.xxhash64("text"), size: F.length("text"), mine: F.coalesce(_found(F.col("text"), rules, rest, lambda i: F.lit(True)), empty) if rest else empty})
+    if not asked:
+        return here.select(*own, F.array_sort(mine).alias("found"))
+    cand = candidates(index(docs, grams_of(rules)) if postings is None else postings, rules)
+    # equal rows have equal spans, so one of them is verified for all
+    texts = _keyed(docs).where("text is not null").where(_may_hold(rules)).alias("t")
+    met = texts.join(cand.alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.th") == F.col("c.th")) & (F.col("t.size") == F.col("c.size")))
+    spans = met.select(*(F.col(f"t.{c}").alias(f"{theirs}_{c}") for c in KEY), _found(F.col("t.text"), rules, asked, lambda i: F.col("c.cand").bitwiseAND(1 << i) != 0).alias(theirs))
+    spans = spans.where(F.size(theirs) > 0).groupBy(*(f"{theirs}_{c}" for c in KEY)).agg(F.first(theirs).alias(theirs))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{theirs}_doc_id")) & (F.col(th) == F.col(f"{theirs}_th")) & (F.col(size) == F.col(f"{theirs}_size"))
+    kept = here.select(*own, th, size, mine)
+    return kept.join(spans, same, "left").select(*own, F.array_sort(F.concat(mine, F.coalesce(theirs, empty))).alias("found"))
 
 
 def _joined(found: str, rules: list[Rule]) -> Column:
