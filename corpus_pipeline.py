@@ -1,8 +1,9 @@
 """A corpus pipeline of five stages: toxicity, near duplicates, decontamination, mixing, sharding.
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. Null or empty texts pass all filters
-(they are scored like any text, link with nothing and match no benchmark item). Rows that repeat a doc_id stay or go
-together; rows with a null doc_id are never dropped as near duplicates, as nothing names them.
+(they are scored like any text, link with nothing and match no benchmark item). Of rows that are equal or near copies one
+stays, whatever their doc_id; a clean text that shares its doc_id, or a null one, with a copy stays too. Extra columns pass
+through all stages; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,9 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one of least doc_id: five-word shingles, similarity 0.8 or more."""
-    found = jaccard_join.jaccard_components(docs, n=5, percent=80)
-    gone = materialize(found.where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return jaccard_join.deduplicate(docs, n=5, percent=80)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
