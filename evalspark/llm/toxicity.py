@@ -174,6 +174,23 @@ def _gradients(p: Params, x: np.ndarray, ids: np.ndarray, real: np.ndarray, y: n
     return g, dx
 
 
+def _types_of_all(texts: list[str]):
+    """``_types`` of many texts, a piece at a time; a word may be one type in each piece."""
+    kinds, rows, words, grams = [], [], [], [([], [np.zeros(1, np.int64)]) for _ in GRAMS]
+    known, held = 0, [0] * len(GRAMS)
+    for at, _, data, offsets in textops.pieces(pa.array(texts, pa.string())):
+        kind, row, word, some = _types(data, offsets)
+        kinds.append((kind + known).astype(np.int32))
+        rows.append((row + at).astype(np.int32))
+        words.append(word)
+        known += len(word)
+        for k, (slots, first) in enumerate(some):
+            grams[k][0].append(slots.astype(np.int32))
+            grams[k][1].append(first[1:] + held[k])
+            held[k] += len(slots)
+    return np.concatenate(kinds), np.concatenate(rows), np.concatenate(words), [(np.concatenate(s), np.concatenate(f)) for s, f in grams]
+
+
 def train(texts: list[str], labels: np.ndarray, of: np.ndarray, seed: int = 7) -> Params:
     """The network from windows given as text; Adam for the weights, Adagrad for the rows of the tables in use.
 
@@ -186,8 +203,7 @@ def train(texts: list[str], labels: np.ndarray, of: np.ndarray, seed: int = 7) -
     p: Params = {"words": w(WORD_SLOTS, WORD_DIM) * 8, "chars": w(CHAR_SLOTS, CHAR_DIM) * 40, "attend": w(2 * HIDDEN, ATTEND), "ask": w(ATTEND), "out": w(2 * HIDDEN), "base": np.zeros(1, np.float32)}
     for d in (0, 1):
         p |= {f"in{d}": w(size, 3 * HIDDEN), f"rec{d}": w(HIDDEN, 3 * HIDDEN), f"bias{d}": np.zeros(3 * HIDDEN, np.float32)}
-    (_, _, data, offsets), = textops.pieces(pa.array(texts), 1 << 40)
-    kind, row, word, grams = _types(data, offsets)
+    kind, row, word, grams = _types_of_all(texts)
     first = np.searchsorted(row, np.arange(len(texts) + 1))
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items() if k not in ("words", "chars")}
     used = {k: np.full(len(p[k]), 1e-3, np.float32) for k in ("words", "chars")}
