@@ -89,22 +89,51 @@ def test_jaccard_components(spark, odd, n, percent):
 
 
 def test_jaccard_links_inside_a_prefix_group(spark, monkeypatch):
-    """Copies that are similar to their original only: same size and prefix, and no other group has a shingle of it."""
-    texts, ranks = [], np.ones(1 << jaccard_join.SLOT_BITS, np.uint16)
+    """Copies that are similar to their original only, of the same size and prefix, in a group that shares with no other."""
+    texts, cuts = [], []
     for g in range(6):
         base = [f"g{g}w{i}" for i in range(62)]
         some = [" ".join(f"g{g}x{k}" if i == 5 + 8 * k else w for i, w in enumerate(base)) for k in range(6)]
         some.insert(3, " ".join(base))
         sets = [s for _, _, data, offsets in textops.pieces(pa.array(some)) for s in textops.shingle_sets(data, offsets, 3)]
-        common = sorted(set.intersection(*(set(s.tolist()) for s in sets)))[:10]
-        ranks[np.array(common, np.uint64) >> np.uint64(64 - jaccard_join.SLOT_BITS)] = 0
+        common = sorted(set.intersection(*(set(s.tolist()) for s in sets)))[:7]
+        cuts += [(bytearray(textops.digest(s)), len(s), 0, [t >> 16 for t in common]) for s in sets]
         texts += some
-    monkeypatch.setattr(jaccard_join, "slot_ranks", lambda docs, n: ranks)
+    monkeypatch.setattr(jaccard_join, "prefixes", lambda docs, n, percent: spark.createDataFrame(cuts, "cls binary, size int, alone int, tokens array<long>"))
     want = brute_components(list(enumerate(texts)), 3, 90)
     got = collections.Counter(tuple(r) for r in jaccard_join.jaccard_components(docs(spark, texts), 3, 90).select("doc_id", "n_shingles", "component_id").collect())
     assert got == want and len({c for _, _, c in want}) == 6
 
 
+def test_prefixes_by_brute_force(spark, monkeypatch):
+    """The rarest shingles of every set, over several chunks and with one shingle in most documents."""
+    monkeypatch.setattr(jaccard_join, "CHUNK_DOCS", 7)
+    rng = random.Random(12)
+    texts = ["common start here " + " ".join(f"v{rng.randrange(60)}" for _ in range(rng.randrange(1, 40))) for _ in range(60)]
+    sets = {textops.digest(s): (s >> np.uint64(16)).astype(np.int64).tolist() for _, _, data, offsets in textops.pieces(pa.array(texts)) for s in textops.shingle_sets(data, offsets, 2)}
+    count = collections.Counter(t for s in sets.values() for t in s)
+    want = {}
+    for k, s in sets.items():
+        length = len(s) - -(-60 * len(s) // 100) + 1
+        order = sorted(s, key=lambda t: (count[t] > 1, count[t] if count[t] > 1 else 0, t))
+        alone = sum(count[t] == 1 for t in s)
+        if order[alone:length]:
+            want[k] = (len(s), alone, order[alone:length])
+    got = {bytes(r.cls): (r["size"], r.alone, r.tokens) for r in jaccard_join.prefixes(docs(spark, texts).repartition(3), 2, 60).collect()}
+    assert got == want
+
+
+def test_deduplicate_keeps_one_of_each_component(spark):
+    rng = random.Random(13)
+    a, b = words(rng, 80), words(rng, 80)
+    rows = [(3, a), (1, a), (1, a), (1, b), (None, a), (None, None), (None, None), (7, ""), (9, b + " end"), (None, "  ")]
+    df = docs(spark, []).limit(0).unionByName(spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOCS)).withColumns({"_th": F.lit(1), "_verdict": F.lit("x")})
+    got = jaccard_join.deduplicate(df)
+    assert got.columns == df.columns
+    found = collections.Counter((r.doc_id, r.text) for r in got.collect())
+    assert found == collections.Counter([(1, a), (1, b), (None, None), (None, None), (7, ""), (None, "  ")])
+
+
 @pytest.mark.parametrize("hot", [2, 50_000])
 def test_suffix_dedup(spark, odd, hot):
     rows = [(r.doc_id, (r.text or "").encode()) for r in odd.collect()]
@@ -248,7 +277,7 @@ def test_licences_in_wrapped_texts(spark):
             names.append(name)
     got = {r.doc_id: r for r in license_scan.scan(docs(spark, texts)).collect()}
     assert [got[i].licences for i in range(len(texts))] == names
-    assert {got[i].sequence for i, n in enumerate(names) if n == "BSD-3-Clause"} == {"pqrst"}
+    assert {got[i].sequence for i, n in enumerate(names) if n == "BSD-3-Clause"} == {"BSDGRANT SOURCE BINARY ENDORSE DISCLAIMER"}
 
 
 def test_pipeline_stages_keep_columns(spark):
@@ -259,3 +288,124 @@ def test_pipeline_stages_keep_columns(spark):
         out = stage(spark, df, SF)
         assert out.columns == df.columns, name
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_short_items_and_many_chunks(spark, monkeypatch):
+    """Items below q bytes, one rule for all sizes, and a benchmark of several chunks: the same finds as with one."""
+    rng = random.Random(14)
+    items = [(1, "Yes"), (2, "two words"), (None, words(rng, 12)), (4, words(rng, 30)), (4, words(rng, 30)), (5, "..."), (6, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["oh yes, sure", "yesterday", "Two  words!", "two wordsmiths", words(rng, 30) + " " + items[2][1] + " z", items[3][1] + " y " + items[4][1], words(rng, 60), None, ""]
+    df = docs(spark, texts, rows=[(0, texts[0], "en", "s", 1), (None, texts[4], "en", "s", 1)])
+    one = sorted(map(repr, decontaminate.find(df, bench).collect()))
+    monkeypatch.setattr(decontaminate, "CHUNK_BYTES", 40)
+    assert sorted(map(repr, decontaminate.find(df, bench).collect())) == one
+    got = collections.Counter((r.doc_id, tuple(sorted({x.item_id or 0 for x in r.leaks}))) for r in decontaminate.find(df, bench).collect())
+    assert got == collections.Counter({(0, (1,)): 2, (1, ()): 1, (2, (2,)): 1, (3, ()): 1, (4, (0,)): 1, (5, (4,)): 1, (6, ()): 1, (7, ()): 1, (8, ()): 1, (None, (0,)): 1})
+    assert decontaminate.clean(df, bench.limit(0)).count() == df.count()
+
+
+def test_decontamination_by_plain_edit_distance(spark):
+    """Random edits of whole items and passages: found exactly where some passage is within its budget."""
+    rng = random.Random(15)
+    items = [words(rng, n) for n in (4, 9, 20, 40)]
+    texts = []
+    for _ in range(60):
+        item = rng.choice(items)
+        piece = item if len(item) < 128 or rng.random() < 0.5 else item[(k := rng.randrange(len(item) - 127)) : k + rng.randrange(100, 140)]
+        chars = list(piece)
+        for _ in range(rng.randrange(12)):
+            chars[rng.randrange(len(chars))] = rng.choice(["", "q", "zz"])
+        texts.append(words(rng, 5) + " " + "".join(chars) + " " + words(rng, 5))
+
+    def plain(t):
+        return re.sub("[^a-z0-9]+", " ", t.lower())
+
+    def near(item, text):
+        n = min(len(item), 128)
+        limit = int(decontaminate.budget(np.array(n)))
+        for s in range(len(item) - n + 1):
+            row = [0] * (len(text) + 1)
+            for i, x in enumerate(item[s : s + n]):
+                new = [i + 1]
+                for j, y in enumerate(text):
+                    new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+                row = new
+            if min(row) <= limit:
+                return True
+            if min(row) > limit + n:
+                return False
+        return False
+
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.doc_id: {x.item_id for x in r.leaks} for r in decontaminate.find(docs(spark, texts), bench).collect()}
+    some = range(0, len(texts), 3)
+    assert {d: got[d] for d in some} == {d: {i for i, item in enumerate(items) if near(plain(item), plain(texts[d]))} for d in some}
+
+
+def test_licence_sql_on_wrapped_texts(spark, tmp_path):
+    texts = ["// Released\r\n// under the MIT License.\nLicensed under CC-BY 4.0. all rights reserved!", "Released" + " " * 1000 + "under the MIT License.", None, "", "unreleased under the mit license", " * Licensed under the Apache\n * License, Version 2.0.\n\nfoo"]
+    docs(spark, texts).write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    want = {r[0]: r[1:] for r in con.execute(f"select doc_id, n_known, sequence, licences from ({queries.ORACLE_SQL['op8_license_scan']})").fetchall()}
+    got = {r.doc_id: (r.n_known, r["sequence"], r.licences) for r in license_scan.scan(docs(spark, texts)).collect()}
+    assert got == want and [got[i][2] for i in range(6)] == ["MIT,CC-BY-4.0", "MIT", "", "", "", "Apache-2.0"]
+
+
+def test_toxicity_gradients():
+    """Gradients against differences of the loss."""
+    rng = np.random.default_rng(3)
+    size, hidden = toxicity.WORD_DIM + toxicity.CHAR_DIM, toxicity.HIDDEN
+    draw = lambda *s: rng.standard_normal(s) * 0.4
+    p = {"attend": draw(2 * hidden, toxicity.ATTEND), "ask": draw(toxicity.ATTEND), "out": draw(2 * hidden), "base": draw(1)}
+    for d in (0, 1):
+        p |= {f"in{d}": draw(size, 3 * hidden), f"rec{d}": draw(hidden, 3 * hidden), f"bias{d}": draw(3 * hidden)}
+    x, ids = draw(9, size), rng.integers(0, 9, (5, 6))
+    real, y = rng.random((5, 6)) < 0.9, rng.integers(0, 2, 6)
+    real[0] = True
+    loss = lambda: np.mean(np.logaddexp(0, (z := toxicity._forward(p, x, ids, real).astype(np.float64))) - y * z)
+    g, dx = toxicity._gradients(p, x, ids, real, y)
+    for a, grad in [*((p[k], g[k]) for k in g), (x, dx)]:
+        for k in rng.integers(0, a.size, 4):
+            held, step = a.flat[k], 1e-2
+            a.flat[k] = held + step
+            up = loss()
+            a.flat[k] = held - step
+            down = loss()
+            a.flat[k] = held
+            assert abs((up - down) / (2 * step) - np.asarray(grad).flat[k]) < 2e-3
+
+
+HELPERS = ["_row", "_host", "_path", "_best", "block", "w0", "h", "host", "th", "_th", "_size", "cand", "gram", "_mine", "_theirs", "found", "_source", "_tokens", "_key", "_block", "_whole", "_rest", "n_tokens", "epoch", "score", "n_windows", "worst_word", "leaks", "slot", "shard", "kept", "spans", "_k0", "_starts", "_plain", "_ids", "sequence", "_left0", "licences", "_verdict", "_null", "comp", "a", "u", "names"]
+
+
+def test_columns_may_be_called_anything(spark, odd):
+    """Every operator and stage: helper names as extra columns change nothing and come back; so with nulls and repeated rows."""
+    import corpus_pipeline
+
+    few = odd.limit(9).unionByName(odd.where("doc_id is null or doc_id = 5"))
+    extra = few.select("*", *(F.lit(f"x{i}").alias(c) for i, c in enumerate(HELPERS)))
+    url = lambda df: df.withColumn("url", F.concat(F.lit("http://a.net/"), F.col("doc_id").cast("string")))
+    runs = {
+        "url": (lambda df: url_filter.judge(url(df), url_filter.listing(spark, url_filter.RULES)), {"host", "path", "rule", "verdict"}),
+        "shard": (sharding.place, {"slot", "shard"}),
+        "suffix": (suffix_dedup.remove_repeats, {"kept", "spans"}),
+        "score": (lambda df: toxicity.score(df, None), {"score", "n_windows", "worst_word"}),
+        "find": (lambda df: decontaminate.find(df, spark.createDataFrame([(1, "one two")], "item_id long, text string")), {"leaks"}),
+        "licence": (license_scan.scan, {"n_known", "sequence", "licences"}),
+        "secret": (secret_scan.scan, {"found"}),
+        "mix": (mixing.mix, {"n_tokens", "epoch", "block", "order_key"}),
+    }
+    for name, (run, made) in runs.items():
+        plain, got = run(few), run(extra)
+        assert set(got.columns) == set(plain.columns) | set(HELPERS), name
+        told = sorted(plain.columns)
+        assert sorted(map(repr, got.select(told).collect())) == sorted(map(repr, plain.select(told).collect())), name
+        others = [c for c in HELPERS if c not in made]
+        assert got.select(others).distinct().collect() == extra.select(others).distinct().collect(), name
+        assert run(extra.limit(0)).count() == 0, name
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, extra, SF)
+        assert out.columns == extra.columns and out.select(HELPERS).distinct().collect() == extra.select(HELPERS).distinct().collect(), name
+        assert stage(spark, extra.limit(0), SF).count() == 0, name
