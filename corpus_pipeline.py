@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalspark.llm import decontaminate, jaccard_join, mixing, sharding, toxicity
-from evalspark.llm.shared import materialize, table
+from evalspark.llm.shared import helper, materialize, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -34,7 +34,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once; those of smaller sources again, up to the limit on repeats."""
-    return mixing.mix(docs).select(*(F.col(f"`{c}`") for c in docs.columns))
+    held = {c: helper(docs, f"held_{c}") for c in ("n_tokens", "epoch", "block", "order_key") if c in docs.columns}
+    mixed = mixing.mix(docs.withColumnsRenamed(held))
+    return mixed.select(*(F.col(f"`{held.get(c, c)}`").alias(c) for c in docs.columns))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ Z_ANALYZER = [(0.99, 2.575829), (0.95, 1.959964), (0.90, 1.644854), (0.0, 1.2815
 Z_READ = [(0.99, 2.576), (0.95, 1.96), (0.90, 1.645), (0.0, 1.28)]
 
 # Media types by file extension.
-MEDIA = {".png": "image/png", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".json": "application/json", ".npz": "application/octet-stream", ".txt": "text/plain"}
+MEDIA = {".png": "image/png", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".gif": "image/gif", ".json": "application/json", ".npz": "application/x-npz", ".csv": "text/csv", ".txt": "text/plain", ".html": "text/html"}
 
 
 def typed(raw: Column) -> Column:
@@ -58,7 +58,7 @@ def type_names(mask: Column) -> Column:
 
 def parse_bool(c: Column) -> Column:
     """True, false or null from words, trimmed and in any case."""
-    w = F.lower(F.trim(c.cast("string")))
+    w = F.lower(F.regexp_replace(c.cast("string"), r"^\s+|\s+$", ""))
     return F.when(w.isin(TRUE_WORDS), True).when(w.isin(FALSE_WORDS), False)
 
 
@@ -76,8 +76,8 @@ def wilson(yes: Column, n: Column, z: float) -> tuple[Column, Column]:
 
 
 def shard_key(content_hash: Column, prefix: int = 4) -> Column:
-    """ab/cd/<hash>: two-letter folders; a prefix that is odd goes down to even, one out of range is 4."""
-    prefix = prefix if 0 < prefix <= 64 else 4
+    """ab/cd/<hash>: two-letter folders; a prefix that is odd goes down to even, one below 2 or above the hash's length is 4."""
+    prefix = prefix if 2 <= prefix <= 64 else 4
     parts = [F.substring(content_hash, i + 1, 2) for i in range(0, prefix - prefix % 2, 2)]
     return F.concat_ws("/", *parts, content_hash)
 
@@ -95,24 +95,31 @@ def media_type(name: Column) -> Column:
     return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in MEDIA.items() for x in p]), ext), F.lit("application/octet-stream"))
 
 
-def content_kind(mime: Column, head: Column) -> Column:
-    """image, json or binary, by media type and else by the first byte."""
-    return F.when(mime.startswith("image/"), "image").when((mime == "application/json") | F.substring(head, 1, 1).isin("{", "["), "json").otherwise("binary")
+def content_kind(mime: Column, content: Column) -> Column:
+    """image, json or binary: by media type, and by the first byte where there is none; what doesn't parse is no JSON."""
+    told = (mime == "application/json") | (mime.isNull() & F.substring(content, 1, 1).isin("{", "["))
+    return F.when(mime.startswith("image/"), "image").when(told & F.try_parse_json(content).isNotNull(), "json").otherwise("binary")
 
 
 def data_uri(mime: Column, content: Column) -> Column:
-    return F.concat(F.lit("data:"), mime, F.lit(";base64,"), F.base64(content))
+    return F.concat(F.lit("data:"), mime, F.lit(";base64,"), F.translate(F.base64(content), "\r\n", ""))  # Spark wraps lines
+
+
+def json_text(c: Column) -> Column:
+    """A text as a JSON string, quoted and escaped."""
+    one = F.to_json(F.struct(c.alias("x")))
+    return F.substring(one, 6, F.length(one) - 6)
 
 
 def canonical(**fields: Column) -> Column:
-    """The canonical form that our own chains hash: fields by name, as ``{"name": value, ...}``."""
-    parts = [F.concat(F.lit(f'"{k}": '), v) for k, v in sorted(fields.items())]
+    """Texts by name as a JSON object, ``{"name": "value", ...}``; names in order, so equal fields give equal bytes and others don't."""
+    parts = [F.concat(F.lit(f'"{k}": '), json_text(v)) for k, v in sorted(fields.items())]
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
 
 
 def unix_or_zero(text: Column) -> Column:
     """Seconds since 1970 of a timestamp in SQL's form; 0 if it can't be read."""
-    return F.coalesce(F.unix_timestamp(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]"))), F.lit(0))
+    return F.coalesce(F.unix_timestamp(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))), F.lit(0))
 
 
 def correlation_id(headers: Column) -> Column:
@@ -124,3 +131,19 @@ def correlation_id(headers: Column) -> Column:
 def signature(content_hash: Column, prev_hash: Column, secret: str) -> Column:
     """A keyed hash over a chain's two hashes; the default of the pluggable check."""
     return F.sha2(F.concat(F.lit(secret), content_hash, F.coalesce(prev_hash, F.lit(""))), 256)
+
+
+def aggregate_hash(processor: Column, version: Column, metric: Column, kind: Column, start: Column, end: Column, name: Column) -> Column:
+    """The hash that names an aggregate's artifact: its seven fields, joined by bars."""
+    return joined_hash(processor, version, metric, kind, start, end, name)
+
+
+def point(raw: Column) -> Column:
+    """struct<x, y> from JSON text of a list of two, of an object with x and y, or of one whose xy is a list of two; null unless both are finite."""
+    v = F.try_parse_json(raw)
+    get = lambda path: F.try_variant_get(v, path, "double")
+    pair = lambda path: F.size(F.try_variant_get(v, path, "array<variant>")) == 2
+    named = get("$.x").isNotNull() & get("$.y").isNotNull()
+    x = F.when(pair("$"), get("$[0]")).when(named, get("$.x")).when(pair("$.xy"), get("$.xy[0]"))
+    y = F.when(pair("$"), get("$[1]")).when(named, get("$.y")).when(pair("$.xy"), get("$.xy[1]"))
+    return F.when(finite(x) & finite(y), F.struct(x.alias("x"), y.alias("y")))

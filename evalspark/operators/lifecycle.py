@@ -63,15 +63,15 @@ def exclusive_quantile(values: str, p: float) -> F.Column:
 
 
 def latency(events: DataFrame, key: str) -> DataFrame:
-    """Seconds from creation to the end of a task: count, average, median, p99 by the exclusive rule."""
+    """Seconds from creation to the end of a task: count, average, median, p95, p99 by the exclusive rule."""
     s = current_state(events).where("completed_at is not null").withColumn("s", F.col("duration_ms") / 1000)
     g = s.groupBy(key).agg(F.count("*").alias("n"), F.avg("s").alias("avg"), F.sort_array(F.collect_list("s")).alias("v"))
-    return g.select(key, "n", "avg", exclusive_quantile("v", 0.5).alias("p50"), exclusive_quantile("v", 0.99).alias("p99"))
+    return g.select(key, "n", "avg", exclusive_quantile("v", 0.5).alias("p50"), exclusive_quantile("v", 0.95).alias("p95"), exclusive_quantile("v", 0.99).alias("p99"))
 
 
 def dispatch(tasks: DataFrame, routes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tasks with their route (a table as small as its configuration file), and tasks without one."""
-    return tasks.join(F.broadcast(routes), "directory_key"), tasks.join(F.broadcast(routes.select("directory_key")), "directory_key", "left_anti")
+    """Tasks with their route, and tasks without one. Spark sends the routes to all tasks if they are as few as they should be."""
+    return tasks.join(routes, "directory_key"), tasks.join(routes.select("directory_key"), "directory_key", "left_anti")
 
 
 def deduplicate_ttl(df: DataFrame, keys: list[str], ttl: int) -> DataFrame:

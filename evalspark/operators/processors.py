@@ -52,13 +52,14 @@ def run_processor(tasks: DataFrame, cls: type, settings: dict[str, Any]) -> Data
     return tasks.select("task_id", "content").mapInPandas(work, "task_id long, metric_name string, value double, mask int, error string")
 
 
-def probe(df: DataFrame, size: str) -> DataFrame:
-    """The probe processor as expressions on a content's size."""
+def probe(df: DataFrame, size: str, event_count: int = 1, pass_threshold: float = 0.5) -> DataFrame:
+    """The probe processor as expressions on a content's size; the count of events and the threshold are settings."""
     s = F.col(size)
     score = (s % 1000) / 1000
-    return df.withColumns({"score": score, "passed": score > 0.5, "event_count": s % 10, "intensity": F.round((s % 256) / 255, 6), "center_x": (s % 640).cast("double"), "center_y": (s % 480).cast("double")})
+    return df.withColumns({"score": score, "passed": score > pass_threshold, "event_count": F.lit(event_count), "intensity": s % 256, "center_x": F.sin(s) * 10, "center_y": F.cos(s) * 10})
 
 
 def hash_score(content: F.Column) -> F.Column:
-    """The first byte of the SHA-1 of the first 64 bytes, over 255."""
-    return F.conv(F.substring(F.sha1(F.substring(content.cast("binary"), 1, 64)), 1, 2), 16, 10).cast("int") / 255
+    """The first byte of the SHA-1 of the first 64 bytes, over 255; 0 for no content."""
+    head = F.conv(F.substring(F.sha1(F.substring(content.cast("binary"), 1, 64)), 1, 2), 16, 10).cast("int") / 255
+    return F.when(F.octet_length(content) == 0, F.lit(0.0)).otherwise(head)

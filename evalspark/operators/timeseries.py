@@ -31,6 +31,15 @@ def instant(samples: DataFrame, keys: list[str]) -> DataFrame:
     return samples.groupBy(*keys).agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"), F.max(F.unix_micros("ts")).alias("ts_us"))
 
 
+def pipeline_status(gauges: DataFrame, keys: list[str]) -> DataFrame:
+    """healthy or stopped, by the last sample of the gauge ``up`` alone, and how many workers of the pool are at work."""
+    last = instant(gauges, [*keys, "name"])
+    of = lambda n: F.coalesce(F.max(F.when(F.col("name") == n, F.col("value"))), F.lit(0.0))
+    g = last.groupBy(*keys).agg((of("up") == 1.0).alias("running"), of("workers_active").cast("int").alias("active"), of("worker_pool_size").cast("int").alias("pool"))
+    detail = F.when(~F.col("running"), "not running").when(F.col("active") > 0, F.concat_ws("/", "active", F.concat("pool", F.lit(" processing")))).otherwise(F.concat("pool", F.lit(" workers idle")))
+    return g.withColumns({"status": F.when(F.col("running"), "healthy").otherwise("stopped"), "detail": detail})
+
+
 def on_grid(samples: DataFrame, keys: list[str], start: int, end: int, step: int, stale: int) -> DataFrame:
     """The last sample at or before every step, no older than ``stale`` seconds.
 

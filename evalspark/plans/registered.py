@@ -347,7 +347,7 @@ def _exclusive(p: float) -> str:
     return f"v[{j}] + ({p} * (len(v) + 1) - {j}) * (v[{j} + 1] - v[{j}])"
 
 
-@query(f"{ctes(A.LIFECYCLE_SQL)} SELECT processor_name, len(v) AS n, list_avg(v) AS avg, {_exclusive(0.5)} AS p50, {_exclusive(0.99)} AS p99 FROM (SELECT processor_name, list_sort(list(duration_ms / 1000)) AS v FROM life WHERE event_type = 'TASK_COMPLETED' GROUP BY 1)", "avg p50 p99")
+@query(f"{ctes(A.LIFECYCLE_SQL)} SELECT processor_name, len(v) AS n, list_avg(v) AS avg, {_exclusive(0.5)} AS p50, {_exclusive(0.95)} AS p95, {_exclusive(0.99)} AS p99 FROM (SELECT processor_name, list_sort(list(duration_ms / 1000)) AS v FROM life WHERE event_type = 'TASK_COMPLETED' GROUP BY 1)", "avg p50 p95 p99")
 def life07_latency(spark, d):
     return lifecycle.latency(A.lifecycle(spark, d), "processor_name")
 
@@ -456,7 +456,7 @@ def snk03_value_keys(spark, d):
 
 
 # --- audit ---
-OK = """ck AS (SELECT *, row_number() OVER w AS position, sha256('{"body": ' || body || ', "role": ' || role || '}') = content_hash AS content_ok,
+OK = """ck AS (SELECT *, row_number() OVER w AS position, sha256('{"body": ' || to_json(body)::VARCHAR || ', "role": ' || to_json(role)::VARCHAR || '}') = content_hash AS content_ok,
   lag(content_hash) OVER w IS NULL OR lag(content_hash) OVER w IS NOT DISTINCT FROM prev_hash AS link_ok FROM log WINDOW w AS (PARTITION BY source_id ORDER BY seq, content_hash))"""
 
 
@@ -554,23 +554,24 @@ def ts07_log_search(spark, d):
 
 
 # --- processors and functions ---
-@query("SELECT doc_id, (strlen(text) % 1000) / 1000 AS score, (strlen(text) % 1000) / 1000 > 0.5 AS passed, strlen(text) % 10 AS event_count, round((strlen(text) % 256) / 255, 6) AS intensity, (strlen(text) % 640)::DOUBLE AS center_x, (strlen(text) % 480)::DOUBLE AS center_y FROM documents WHERE text IS NOT NULL", "score")
+@query("SELECT doc_id, (strlen(text) % 1000) / 1000 AS score, (strlen(text) % 1000) / 1000 > 0.5 AS passed, 1 AS event_count, (strlen(text) % 256)::BIGINT AS intensity, 10 * sin(strlen(text)) AS center_x, 10 * cos(strlen(text)) AS center_y FROM documents WHERE text IS NOT NULL", "score center_x center_y")
 def prc01_probe(spark, d):
     t = A.table(spark, d, "documents").where("text is not null").select("doc_id", F.octet_length("text").cast("long").alias("n"))
     return processors.probe(t, "n").drop("n")
 
 
-@query("SELECT doc_id, ('0x' || substr(sha1(encode(text)[1:64]), 1, 2))::INT / 255 AS score FROM documents WHERE text IS NOT NULL", "score")
+@query("SELECT doc_id, CASE WHEN text = '' THEN 0 ELSE ('0x' || substr(sha1(encode(text)[1:64]), 1, 2))::INT / 255 END AS score FROM documents WHERE text IS NOT NULL", "score")
 def prc02_hash_score(spark, d):
     return A.table(spark, d, "documents").where("text is not null").select("doc_id", processors.hash_score(F.col("text")).alias("score"))
 
 
 @query(f"""{ctes(A.ARTIFACTS_SQL)} SELECT doc_id, substr(content_hash, 1, 2) || '/' || substr(content_hash, 3, 2) || '/' || content_hash AS key, content_hash AS back,
 CASE doc_id % 3 WHEN 0 THEN 'application/json' WHEN 1 THEN 'image/png' ELSE 'application/octet-stream' END AS mime,
-CASE doc_id % 3 WHEN 0 THEN 'json' WHEN 1 THEN 'image' ELSE CASE WHEN text[1] IN ('{{', '[') THEN 'json' ELSE 'binary' END END AS kind FROM art""")
+CASE doc_id % 3 WHEN 0 THEN CASE WHEN json_valid(text) THEN 'json' ELSE 'binary' END WHEN 1 THEN 'image' ELSE 'binary' END AS kind,
+CASE WHEN text[1] IN ('{{', '[') AND json_valid(text) THEN 'json' ELSE 'binary' END AS kind_untold FROM art""")
 def fn01_keys_and_media(spark, d):
     a = A.artifacts(spark, d).withColumn("key", V.shard_key(F.col("content_hash"))).withColumn("mime", V.media_type(F.col("name")))
-    return a.select("doc_id", "key", V.hash_of_key(F.col("key")).alias("back"), "mime", V.content_kind(F.col("mime"), F.col("text")).alias("kind"))
+    return a.select("doc_id", "key", V.hash_of_key(F.col("key")).alias("back"), "mime", V.content_kind(F.col("mime"), F.col("text")).alias("kind"), V.content_kind(F.lit(None).cast("string"), F.col("text")).alias("kind_untold"))
 
 
 @query("SELECT o_orderkey, o_orderkey % 256 AS mask, array_to_string(list_filter([CASE WHEN o_orderkey % 256 & 1 <> 0 THEN 'STATS' END, CASE WHEN o_orderkey % 256 & 2 <> 0 THEN 'HISTOGRAM' END, CASE WHEN o_orderkey % 256 & 4 <> 0 THEN 'OUTLIERS' END, CASE WHEN o_orderkey % 256 & 8 <> 0 THEN 'TALLY' END, CASE WHEN o_orderkey % 256 & 16 <> 0 THEN 'RATE' END, CASE WHEN o_orderkey % 256 & 32 <> 0 THEN 'SCATTER_ELLIPSE' END, CASE WHEN o_orderkey % 256 & 64 <> 0 THEN 'DENSITY_MAP' END, CASE WHEN o_orderkey % 256 & 128 <> 0 THEN 'RAW' END], lambda x: x IS NOT NULL), ',') AS types FROM orders")
@@ -592,9 +593,9 @@ def fn06_fingerprint(spark, d):
     return o.select("o_orderkey", V.joined_hash(F.concat(F.lit("/in/"), F.col("o_orderkey").cast("string")), F.col("o_custkey"), F.unix_timestamp(A.utc("o_orderdate"))).alias("fingerprint"))
 
 
-@query("SELECT doc_id, 'data:text/plain;base64,' || to_base64(encode(left(text, 24))) AS uri FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, 'data:text/plain;base64,' || to_base64(encode(text)) AS uri FROM documents WHERE text IS NOT NULL")
 def fn13_data_uri(spark, d):
-    return A.table(spark, d, "documents").where("text is not null").select("doc_id", V.data_uri(F.lit("text/plain"), F.substring("text", 1, 24)).alias("uri"))
+    return A.table(spark, d, "documents").where("text is not null").select("doc_id", V.data_uri(F.lit("text/plain"), F.col("text")).alias("uri"))
 
 
 from . import stored  # noqa: E402, F401  (registers its queries)

@@ -38,10 +38,11 @@ def src04_replay(spark, d):
     return lifecycle.current_state(few).select("task_id", "status", "event_count")
 
 
-@query("")
+@query(f"{ctes(A.ARTIFACTS_SQL)} SELECT doc_id, bucket || '/' || name AS path, size FROM art WHERE doc_id % 3 < 2")
 def src05_directory(spark, d):
-    """The Parquet files below the folder of tables: names and sizes, without reading what they hold."""
-    return readers.directory(spark, d, [".PARQUET"]).select("path", "length")
+    """A listing of stored objects, by extensions whatever their case."""
+    listing = A.artifacts(spark, d).select("doc_id", F.concat_ws("/", "bucket", "name").alias("path"), "size")
+    return readers.allowed(listing, [".json", ".png"])
 
 
 @query(f"{ctes(MW, FULL)} SELECT {KEYS}, window_start_unix, count, CASE WHEN count % 2 = 0 THEN 0 ELSE sum END AS sum, CASE WHEN count % 2 = 0 THEN 1 ELSE 7 END AS aggregation_mask FROM full_agg", "sum")
@@ -238,10 +239,11 @@ def aud01_content_hash(spark, d):
     return A.chain(spark, d).select("source_id", "seq", audit.content_hash().alias("content_hash"))
 
 
-@query(f"{ctes(A.CHAIN_SQL, OK)} SELECT source_id, seq, content_ok, content_hash FROM ck WHERE seq = 1")
+@query(f"{ctes(A.CHAIN_SQL, OK)} SELECT source_id, seq, content_hash, content_ok, link_ok FROM ck")
 def aud05_verify_events(spark, d):
+    """Every event alone, against its content and against the hash that its predecessor has."""
     log = audit.tamper(audit.build(A.chain(spark, d)))
-    return log.where("seq = 1").select("source_id", "seq", (audit.content_hash() == F.col("content_hash")).alias("content_ok"), "content_hash")
+    return audit.checked(log).select("source_id", "seq", "content_hash", "content_ok", "link_ok")
 
 
 @query(f"{ctes(A.CHAIN_SQL)} SELECT source_id % 16 AS partition, count(*) AS objects, max(seq) AS high, count(DISTINCT source_id) AS sources FROM log GROUP BY 1")
@@ -290,11 +292,17 @@ def win02_latest_by_key(spark, d):
 
 
 # --- operations ---
-@query(f"{ctes(A.COUNTERS_SQL)}, l AS (SELECT name, instance, arg_max(value, (ts, event_id)) AS v FROM samples GROUP BY ALL) SELECT name, count(*) FILTER (v > 10) AS processing, count(*) AS instances, CASE WHEN count(*) FILTER (v > 10) > 0 THEN 'healthy' ELSE 'stopped' END AS status FROM l GROUP BY 1")
+@query("""WITH g AS (SELECT user_id % 20 AS instance, CASE event_id % 3 WHEN 0 THEN 'up' WHEN 1 THEN 'workers_active' ELSE 'worker_pool_size' END AS name, CASE event_id % 3 WHEN 0 THEN (event_id % 4 > 0)::INT WHEN 1 THEN event_id % 5 ELSE 8 END AS value, ts, event_id FROM events),
+l AS (SELECT instance, name, arg_max(value, (ts, event_id)) AS v FROM g GROUP BY ALL),
+s AS (SELECT instance, coalesce(max(v) FILTER (name = 'up'), 0) = 1 AS running, coalesce(max(v) FILTER (name = 'workers_active'), 0)::INT AS active, coalesce(max(v) FILTER (name = 'worker_pool_size'), 0)::INT AS pool FROM l GROUP BY 1)
+SELECT *, CASE WHEN running THEN 'healthy' ELSE 'stopped' END AS status, CASE WHEN NOT running THEN 'not running' WHEN active > 0 THEN active || '/' || pool || ' processing' ELSE pool || ' workers idle' END AS detail FROM s""")
 def ts08_status(spark, d):
-    s = timeseries.instant(A.counters(spark, d), ["name", "instance"])
-    up = F.count(F.when(F.col("value") > 10, 1))
-    return s.groupBy("name").agg(up.alias("processing"), F.count("*").alias("instances"), F.when(up > 0, "healthy").otherwise("stopped").alias("status"))
+    """events as samples of three gauges for each of twenty pipelines."""
+    k = F.col("event_id") % 3
+    name = F.when(k == 0, "up").when(k == 1, "workers_active").otherwise("worker_pool_size")
+    value = F.when(k == 0, (F.col("event_id") % 4 > 0).cast("double")).when(k == 1, (F.col("event_id") % 5).cast("double")).otherwise(8.0)
+    gauges = A.table(spark, d, "events").select((F.col("user_id") % 20).alias("instance"), name.alias("name"), value.alias("value"), A.utc("ts").alias("ts"), "event_id")
+    return timeseries.pipeline_status(gauges, ["instance"])
 
 
 @query(f"{ctes(A.LIFECYCLE_SQL)} SELECT (epoch_us(ts) // 86400000000) * 86400 AS window_start_unix, count(*) / 86400 AS rate FROM life WHERE event_type = 'TASK_COMPLETED' GROUP BY 1", "rate")
@@ -316,3 +324,22 @@ def fn12_correlation_id(spark, d):
     headers = F.array(F.struct(key.alias("key"), F.encode(F.concat(F.lit("c"), F.col("event_id").cast("string")), "utf-8").alias("value")))
     found = e.select("event_id", V.correlation_id(headers).alias("id"))
     return found.withColumn("id", F.when(F.length("id") == 36, "new").otherwise(F.col("id")))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 6 IN (0, 1, 2) THEN value END AS x, CASE WHEN event_id % 6 IN (0, 1, 2) THEN user_id::DOUBLE END AS y FROM events", "x")
+def fn03_points(spark, d):
+    """Points as lists, as objects, nested, with a missing half, of three numbers, and as words."""
+    v, u, k = F.col("value").cast("string"), F.col("user_id").cast("string"), F.col("event_id") % 6
+    forms = ["[{v}, {u}]", '{"x": {v}, "y": {u}}', '{"xy": [{v}, {u}]}', '{"x": {v}}', "[{v}, {u}, 1]", '"{v}"']
+    raw = F.lit(None).cast("string")
+    for i, form in enumerate(forms):
+        raw = F.when(k == i, F.replace(F.replace(F.lit(form), F.lit("{v}"), v), F.lit("{u}"), u)).otherwise(raw)
+    p = A.table(spark, d, "events").select("event_id", V.point(raw).alias("p"))
+    return p.select("event_id", "p.x", "p.y")
+
+
+@query(f"{ctes(MW)} SELECT DISTINCT sha256(processor_name || '|' || processor_version || '|' || metric_name || '|HISTOGRAM|' || window_start_unix || '.0|' || (window_start_unix + 3600) || '.0|hist.json') AS hash, processor_name, window_start_unix FROM mw")
+def fn08_aggregate_hash(spark, d):
+    w = windows.windowed(A.metrics(spark, d), "1 hour").select(*windows.KEY, "window_start_unix", "window_end_unix").distinct()
+    ends = [F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("window_start_unix", "window_end_unix")]
+    return w.select(V.aggregate_hash(*map(F.col, windows.KEY), F.lit("HISTOGRAM"), *ends, F.lit("hist.json")).alias("hash"), "processor_name", "window_start_unix")

@@ -109,7 +109,7 @@ def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHAIN_SQL = """c0 AS (SELECT conv_id AS source_id, turn AS seq, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
-c1 AS (SELECT *, sha256('{"body": ' || body || ', "role": ' || role || '}') AS content_hash FROM c0),
+c1 AS (SELECT *, sha256('{"body": ' || to_json(body)::VARCHAR || ', "role": ' || to_json(role)::VARCHAR || '}') AS content_hash FROM c0),
 chained AS (SELECT *, lag(content_hash) OVER (PARTITION BY source_id ORDER BY seq, content_hash) AS prev_hash FROM c1),
 log AS (SELECT source_id, seq, role, CASE WHEN source_id % 10 = 3 AND seq = 1 THEN body || '!' ELSE body END AS body, content_hash,
   CASE WHEN source_id % 10 = 7 AND seq = 1 THEN 'broken' ELSE prev_hash END AS prev_hash FROM chained)"""

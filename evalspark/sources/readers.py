@@ -42,8 +42,12 @@ def log_lines(lines: DataFrame) -> DataFrame:
 def directory(spark: SparkSession, path: str, extensions: list[str], content: bool = False) -> DataFrame:
     """Files below ``path`` by extension, whatever its case. Content is read only if asked for: the scan skips it otherwise."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    ext = F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))
-    return files.where(ext.isin([e.lower() for e in extensions])).select("path", F.col("modificationTime").alias("mtime"), "length", *["content"] * content)
+    return allowed(files, extensions).select("path", F.col("modificationTime").alias("mtime"), "length", *["content"] * content)
+
+
+def allowed(listing: DataFrame, extensions: list[str]) -> DataFrame:
+    """The rows of a listing whose path has one of the extensions, in any case."""
+    return listing.where(F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).isin([e.lower() for e in extensions]))
 
 
 def changed_files(listing: DataFrame, seen: DataFrame) -> DataFrame:

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share; a local one only where the session names none, as in tests."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    where = where or tempfile.mkdtemp(prefix="spark-")
     return f"{where}/{name}-{uuid.uuid4().hex}"
 
 
 def write_by_day(summaries: DataFrame, path: str) -> None:
-    """Parquet by day of the window; days that are written again replace what was there, others stay."""
+    """Parquet by day of the window; days that are written again replace what was there, others stay. A large day is dealt to several tasks."""
     day = F.date_format(F.timestamp_seconds("window_start_unix"), "yyyy-MM-dd")
-    summaries.withColumn("day", day).repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    summaries.withColumn("day", day).hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
 def topic_records(df: DataFrame, topic: str, key: F.Column, fields: list[str]) -> DataFrame:

@@ -1,11 +1,12 @@
 """Rules that the driver tables don't reach: nulls, non-finite numbers, ties, small groups, streams."""
 
 import datetime
+import os
 
 from pyspark.sql import functions as F
 
 from evalspark.functions import values as V
-from evalspark.operators import analyzers, processors, windows
+from evalspark.operators import analyzers, audit, processors, windows
 from evalspark.streaming import streams
 
 
@@ -18,8 +19,8 @@ def numbers(spark, xs):
 
 
 def test_stats_counts_what_is_not_finite_as_missing(spark):
-    r = one(analyzers.stats(numbers(spark, [1.0, float("inf"), 2.0, float("-inf"), float("nan"), 3.0, None]), ["g"]))
-    assert (r["count"], r["missing"], r["mean"], r["median"]) == (3, 4, 2.0, 2.0)
+    r = one(analyzers.stats(numbers(spark, [None, 8.0, float("nan"), -4.0, float("-inf"), 5.0, float("inf"), 7.0]), ["g"]))
+    assert (r["count"], r["missing"], r["mean"], r["median"]) == (4, 4, 4.0, 6.0)
     assert one(analyzers.stats(numbers(spark, [42.0]), ["g"]))["std"] == 0.0
 
 
@@ -34,9 +35,9 @@ def test_outliers_need_four_values(spark):
 
 
 def test_rate_of_words(spark):
-    df = spark.createDataFrame([("g", w) for w in ("yes", "no", "true", "false", "Y", "N", "42", None)], "g string, w string")
+    df = spark.createDataFrame([("g", w) for w in ("\tOK\n", "fail", "T", "maybe", "pass ", "0", None, "1")], "g string, w string")
     r = one(analyzers.rate(df, ["g"], "w"))
-    assert (r["yes"], r["no"], r["missing"], r["rate"]) == (3, 3, 2, 0.5)
+    assert (r["yes"], r["no"], r["missing"]) == (4, 2, 2) and abs(r["rate"] - 4 / 6) < 1e-12
 
 
 def test_full_summary_of_no_numbers(spark):
@@ -78,3 +79,59 @@ def test_streamed_windows_match_the_batch(spark, tmp_path):
     want = {(r["processor_name"], r["w"]): r["count"] for r in frame.groupBy("processor_name", F.unix_timestamp(F.window("ts", "1 day")["start"]).alias("w")).count().collect()}
     last = max(w for _, w in want)
     assert got == {k: n for k, n in want.items() if k[1] < last}
+
+
+def test_chain_hashes_tell_fields_apart(spark):
+    rows = [(1, 1, "z", 'x, "role": y'), (2, 1, 'y, "role": z', "x"), (3, 1, 'a"b', "line\n"), (4, 1, 'a', '"b')]
+    built = audit.build(spark.createDataFrame(rows, "source_id long, seq long, role string, body string"))
+    assert built.select("content_hash").distinct().count() == 4
+
+
+def test_points_of_every_form(spark):
+    forms = {"[1, 2.5]": (1.0, 2.5), '{"x": 1, "y": 2}': (1.0, 2.0), '{"xy": [3, 4]}': (3.0, 4.0), '{"x": 1}': None, "[1]": None, "[1, 2, 3]": None, '"a"': None, "junk": None}
+    got = {r.raw: r.p and tuple(r.p) for r in spark.createDataFrame([(f,) for f in forms], "raw string").withColumn("p", V.point(F.col("raw"))).collect()}
+    assert got == forms
+
+
+def test_content_kinds_and_keys(spark):
+    rows = [("image/png", "{", "image"), (None, '{"a": 1}', "json"), (None, "{broken", "binary"), ("text/plain", '{"a": 1}', "binary"), ("application/json", "oops", "binary"), (None, "", "binary")]
+    df = spark.createDataFrame(rows, "mime string, content string, want string").withColumn("kind", V.content_kind(F.col("mime"), F.col("content")))
+    assert [r.kind for r in df.collect()] == [r[2] for r in rows]
+    key = lambda n: one(spark.range(1).select(V.shard_key(F.lit("abcdef0123"), n).alias("k"))).k
+    assert key(1) == key(4) == key(99) == "ab/cd/abcdef0123" and key(3) == "ab/abcdef0123"
+
+
+def test_registries_refuse_duplicates():
+    registry = processors.Registry()
+    kind = type("P", (), {"name": "p", "version": "1"})
+    assert registry.add(kind) is kind
+    for again in (lambda: registry.add(type("Q", (), {"name": "p", "version": "1"})), lambda: analyzers.register("STATS", analyzers.stats)):
+        try:
+            again()
+        except ValueError:
+            continue
+        raise AssertionError("a duplicate was taken")
+
+
+def _streamed(spark, tmp_path, batches, schema, make, mode):
+    """The rows that a stream over one file for each batch gives, batch by batch."""
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"b{i}"))
+        for part in (tmp_path / f"b{i}").glob("*.parquet"):  # files are taken by time
+            os.utime(part, (1_700_000_000 + 60 * i,) * 2)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path))
+    got = []
+    keep = lambda df, n: got.append([tuple(r) for r in df.collect()])
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    make(source).writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", str(tmp_path) + "-state").trigger(availableNow=True).start().awaitTermination(120)
+    return got
+
+
+def test_late_rows_leave_at_the_watermark(spark, tmp_path):
+    at = lambda m, s=0: datetime.datetime(2024, 1, 1, 0, m, s)
+    schema = "processor_name string, processor_version string, metric_name string, num double, ts timestamp"
+    row = lambda v, t: ("p", "1", "m", float(v), t)
+    batches = [[row(1, at(0, 5)), row(2, at(0, 50))], [row(3, at(5))], [row(100, at(0, 30))], [row(4, at(10))]]
+    got = [r for b in _streamed(spark, tmp_path, batches, schema, lambda s: streams.windowed_summary(s, "60 seconds", "10 seconds"), "append") for r in b]
+    first = [r for r in got if r[3] == int(at(0).replace(tzinfo=datetime.UTC).timestamp())]
+    assert [(r[4], r[5]) for r in first] == [(2, 3.0)]  # the row of 100 came after its window had closed
