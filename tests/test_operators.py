@@ -1,7 +1,6 @@
 """Rules that the driver tables don't reach: nulls, non-finite numbers, ties, small groups, streams."""
 
 import datetime
-import os
 
 from pyspark.sql import functions as F
 
@@ -114,16 +113,15 @@ def test_registries_refuse_duplicates():
 
 
 def _streamed(spark, tmp_path, batches, schema, make, mode):
-    """The rows that a stream over one file for each batch gives, batch by batch."""
-    for i, rows in enumerate(batches):
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"b{i}"))
-        for part in (tmp_path / f"b{i}").glob("*.parquet"):  # files are taken by time
-            os.utime(part, (1_700_000_000 + 60 * i,) * 2)
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path))
+    """The rows that a stream gives, batch by batch; it is stopped and started again between files."""
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
     got = []
     keep = lambda df, n: got.append([tuple(r) for r in df.collect()])
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    make(source).writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", str(tmp_path) + "-state").trigger(availableNow=True).start().awaitTermination(120)
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        make(source).writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination(120)
     return got
 
 
