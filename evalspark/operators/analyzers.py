@@ -9,16 +9,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.values import Z_ANALYZER, Z_READ, finite, has_flag, parse_bool, wilson, z_of
+from .ranks import at_ranks, between, join_groups, quantile_ranks
 
 
 def stats(df: DataFrame, keys: list[str], value: str = "num") -> DataFrame:
     """count, missing, mean, median, min, max, sample deviation and variance (0 for one value)."""
     v = F.when(finite(F.col(value)), F.col(value))
     one = lambda f: F.when(F.count(v) > 1, f(v)).when(F.count(v) == 1, F.lit(0.0))
-    return df.groupBy(*keys).agg(
-        F.count(v).alias("count"), (F.count("*") - F.count(v)).alias("missing"), F.avg(v).alias("mean"), F.percentile(v, F.lit(0.5)).alias("median"),
-        F.min(v).alias("min"), F.max(v).alias("max"), one(F.stddev_samp).alias("std"), one(F.var_samp).alias("variance"),
+    out = df.groupBy(*keys).agg(
+        F.count(v).alias("count"), (F.count("*") - F.count(v)).alias("missing"), F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
+        one(F.stddev_samp).alias("std"), one(F.var_samp).alias("variance"),
     )
+    out = join_groups(out, at_ranks(df.where(finite(F.col(value))), keys, value, quantile_ranks("median", 0.5)), keys, "left")
+    return out.select(*keys, "count", "missing", "mean", between("median", 0.5, F.col("count")).alias("median"), "min", "max", "std", "variance")
 
 
 def histogram(df: DataFrame, keys: list[str], bins: int = 50, value: str = "num", least_values: int = 1) -> DataFrame:
@@ -39,8 +42,9 @@ def histogram(df: DataFrame, keys: list[str], bins: int = 50, value: str = "num"
 def outliers(df: DataFrame, keys: list[str], value: str = "num", factor: float = 1.5) -> DataFrame:
     """Quartiles, bounds and counts of what lies outside; groups of under four values have none."""
     ok = df.where(finite(F.col(value)))
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.75)))
-    bounds = ok.groupBy(*keys).agg(F.count("*").alias("count"), q.alias("q")).select(*keys, "count", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+    quartiles = at_ranks(ok, keys, value, quantile_ranks("q1", 0.25) | quantile_ranks("q3", 0.75))
+    bounds = join_groups(ok.groupBy(*keys).agg(F.count("*").alias("count")), quartiles, keys)
+    bounds = bounds.select(*keys, "count", between("q1", 0.25, F.col("count")).alias("q1"), between("q3", 0.75, F.col("count")).alias("q3"))
     bounds = bounds.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({"lower": F.col("q1") - F.lit(factor) * F.col("iqr"), "upper": F.col("q3") + F.lit(factor) * F.col("iqr")})
     out = ok.join(bounds.where("count >= 4").select(*keys, "lower", "upper"), keys).where((F.col(value) < F.col("lower")) | (F.col(value) > F.col("upper")))
     n = out.groupBy(*keys).agg(F.count("*").alias("outlier_count"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ranks import at_ranks, join_groups
+
 STATUS = {"TASK_CREATED": "created", "TASK_STARTED": "started", "TASK_COMPLETED": "completed", "TASK_FAILED": "failed"}
 
 
@@ -54,19 +59,28 @@ def duration_buckets(events: DataFrame, bounds: list[float]) -> DataFrame:
     return one.select(F.explode(rows).alias("r")).select("r.le", "r.n")
 
 
-def exclusive_quantile(values: str, p: float) -> F.Column:
-    """The quantile at position p * (n + 1) of a sorted array, between neighbours; the mean under two values."""
-    pos = f"({p} * (size({values}) + 1))"
-    j = f"cast(greatest(1, least(size({values}) - 1, floor({pos}))) as int)"
-    line = f"element_at({values}, {j}) + ({pos} - {j}) * (element_at({values}, {j} + 1) - element_at({values}, {j}))"
-    return F.expr(f"case when size({values}) > 1 then {line} else try_element_at({values}, 1) end")
+def exclusive_place(p: float, n: F.Column) -> tuple[F.Column, F.Column]:
+    """The quantile's position p * (n + 1), counted from 1, and the whole number below that has a neighbour above."""
+    at = F.lit(p) * (n + 1)
+    return at, F.greatest(F.lit(1), F.least(n - 1, F.floor(at)))
 
 
 def latency(events: DataFrame, key: str) -> DataFrame:
-    """Seconds from creation to the end of a task: count, average, median, p95, p99 by the exclusive rule."""
+    """Seconds from creation to the end of a task: count, average, median, p95, p99 by the exclusive rule: at position
+    p * (n + 1) between neighbours; the value itself where there is one only."""
     s = current_state(events).where("completed_at is not null").withColumn("s", F.col("duration_ms") / 1000)
-    g = s.groupBy(key).agg(F.count("*").alias("n"), F.avg("s").alias("avg"), F.sort_array(F.collect_list("s")).alias("v"))
-    return g.select(key, "n", "avg", exclusive_quantile("v", 0.5).alias("p50"), exclusive_quantile("v", 0.95).alias("p95"), exclusive_quantile("v", 0.99).alias("p99"))
+    wanted, ranks = {"p50": 0.5, "p95": 0.95, "p99": 0.99}, {}
+    for name, p in wanted.items():
+        _, low = exclusive_place(p, F.col("n"))
+        ranks |= {f"{name}_low": low - 1, f"{name}_high": low}
+    g = s.groupBy(key).agg(F.count("*").alias("n"), F.count("s").alias("m"), F.avg("s").alias("avg"))
+    g = join_groups(g, at_ranks(s, [key], "s", ranks), [key], "left")
+    out = []
+    for name, p in wanted.items():
+        at, low = exclusive_place(p, F.col("m"))
+        line = F.col(f"{name}_low") + (at - low) * (F.col(f"{name}_high") - F.col(f"{name}_low"))
+        out.append(F.when(F.col("m") > 1, line).otherwise(F.col(f"{name}_low")).alias(name))
+    return g.select(key, "n", "avg", *out)
 
 
 def dispatch(tasks: DataFrame, routes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -77,8 +91,31 @@ def dispatch(tasks: DataFrame, routes: DataFrame) -> tuple[DataFrame, DataFrame]
 def deduplicate_ttl(df: DataFrame, keys: list[str], ttl: int) -> DataFrame:
     """Rows accepted when no accepted row of their key lies within ``ttl`` seconds before; repeats don't extend it.
 
-    An ordered fold over a key's times; one key's times are held as one array.
+    Equal times of a key are counted first. Where a block of ``ttl`` seconds is empty, what follows stands alone, whatever came
+    before; such runs are dealt over tasks, and each is walked in order with nothing but the last accepted time at hand. Rows
+    without a time take no part; ``ttl`` is one second at least.
     """
-    seen = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.unix_micros("ts"))).alias("_t"))
-    fold = f"aggregate(_t, cast(array() as array<bigint>), (a, t) -> if(size(a) = 0 or t - element_at(a, -1) >= {ttl}000000, array_append(a, t), a))"
-    return seen.select(*keys, F.explode(F.expr(fold)).alias("accepted_us"), F.size("_t").alias("seen"))
+    if ttl < 1:
+        raise ValueError("ttl must be one second at least")
+    us = ttl * 1_000_000
+    times = df.where("ts is not null").groupBy(*keys, F.unix_micros("ts").alias("_t")).agg(F.count("*").alias("_m"))
+    times = times.withColumn("_block", F.floor(F.col("_t") / F.lit(us)))
+    group = W.partitionBy(*keys)
+    blocks = times.groupBy(*keys, "_block").agg(F.sum("_m").alias("_m"))
+    runs = blocks.select(*keys, "_block", (F.col("_block") - F.row_number().over(group.orderBy("_block"))).alias("_run"), F.sum("_m").over(group).alias("seen"))
+    rows = join_groups(times, runs, [*keys, "_block"]).select(*keys, "_run", "_t", "seen")
+    rows = rows.repartition(*keys, "_run").sortWithinPartitions(*keys, "_run", "_t")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, last = None, 0
+        for b in batches:
+            at = b.column("_t").to_numpy()
+            keep = []
+            for i, run in enumerate(zip(*[b.column(c).to_pylist() for c in [*keys, "_run"]], strict=True)):
+                if run != now or at[i] - last >= us:
+                    now, last = run, at[i]
+                    keep.append(i)
+            yield b.take(pa.array(keep, pa.int64()))
+
+    kept = rows.mapInArrow(walk, rows.schema)
+    return kept.select(*keys, F.col("_t").alias("accepted_us"), F.col("seen").cast("int").alias("seen"))

@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ranks import join_groups, row_before
+
 
 def increase(samples: DataFrame, size: str, keys: list[str]) -> DataFrame:
-    """Increase of a counter in every window: a value below the one before means it started again from zero."""
-    w = W.partitionBy(*keys).orderBy("ts", "event_id")
-    before = F.lag("value").over(w)
+    """Increase of a counter in every window: a value below the one before means it started again from zero.
+
+    A series is split by window; the last sample of each goes on to the next. Samples without a time take no part.
+    """
+    s = samples.where("ts is not null").withColumn("_w", F.window("ts", size))
+    s = row_before(s, keys, ["ts", "event_id"], ["value"], F.col("_w.start"))
+    before = F.col("_before.value")
     step = F.when(before.isNull(), F.lit(0.0)).when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
-    s = samples.withColumn("_step", step).withColumn("_w", F.window("ts", size))
-    g = s.groupBy(*keys, "_w").agg(F.sum("_step").alias("increase"), F.count("*").alias("samples"))
+    g = s.groupBy(*keys, "_w").agg(F.sum(step).alias("increase"), F.count("*").alias("samples"))
     return g.withColumns({"window_start_unix": F.unix_timestamp("_w.start"), "rate": F.col("increase") / (F.unix_timestamp("_w.end") - F.unix_timestamp("_w.start"))}).drop("_w")
 
 
@@ -43,14 +48,16 @@ def pipeline_status(gauges: DataFrame, keys: list[str]) -> DataFrame:
 def on_grid(samples: DataFrame, keys: list[str], start: int, end: int, step: int, stale: int) -> DataFrame:
     """The last sample at or before every step, no older than ``stale`` seconds.
 
-    Samples and steps are merged in one sorted pass per series instead of being joined by range.
+    Of the samples between two steps the last one is found before anything is shuffled; what is then put in order is one row
+    for each step of a series. Samples without a time or after the last step take no part.
     """
-    last = F.struct(F.unix_timestamp("ts").alias("at"), "value")
-    rows = samples.select(*keys, F.unix_timestamp("ts").alias("t"), "event_id", F.lit(0).alias("is_step"), last.alias("s"))
-    grid = samples.select(*keys).distinct().withColumn("t", F.explode(F.sequence(F.lit(start).cast("long"), F.lit(end).cast("long"), F.lit(step).cast("long"))))
-    grid = grid.select(*keys, "t", F.lit(0).cast("long").alias("event_id"), F.lit(1).alias("is_step"), F.lit(None).cast(rows.schema["s"].dataType).alias("s"))
-    w = W.partitionBy(*keys).orderBy("t", "is_step", "event_id").rowsBetween(W.unboundedPreceding, 0)
-    seen = rows.unionByName(grid).withColumn("s", F.last("s", ignorenulls=True).over(w)).where("is_step = 1")
+    t = F.unix_timestamp("ts")
+    steps = F.greatest(F.lit(0), F.ceil((t - start) / step)).cast("long")
+    rows = samples.where((t <= end) & (steps <= (end - start) // step))
+    last = rows.groupBy(*keys, (steps * step + start).alias("t")).agg(F.max_by(F.struct(t.alias("at"), "value"), F.struct(t, "event_id")).alias("s"))
+    grid = last.select(*keys).distinct().withColumn("t", F.explode(F.sequence(F.lit(start).cast("long"), F.lit(end).cast("long"), F.lit(step).cast("long"))))
+    w = W.partitionBy(*keys).orderBy("t").rowsBetween(W.unboundedPreceding, 0)
+    seen = join_groups(grid, last, [*keys, "t"], "left").withColumn("s", F.last("s", ignorenulls=True).over(w))
     return seen.where(F.col("t") - F.col("s.at") <= stale).select(*keys, F.col("t").alias("step_unix"), F.col("s.value").alias("value"))
 
 

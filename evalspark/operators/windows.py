@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import at_ranks, join_groups
+
 KEY = ["processor_name", "processor_version", "metric_name"]
 
 
@@ -14,9 +16,9 @@ def windowed(df: DataFrame, size: str, step: str | None = None, ts: str = "ts")
     return df.withColumn("_w", w).withColumns({"window_start_unix": F.unix_timestamp("_w.start"), "window_end_unix": F.unix_timestamp("_w.end")}).drop("_w")
 
 
-def rank_percentile(values: str, p: int) -> Column:
-    """The value at rank min(floor(n * p / 100), n - 1) of a sorted array; null for an empty one."""
-    return F.expr(f"get({values}, cast(least(floor(size({values}) * {p} / 100), size({values}) - 1) as int))")
+def rank_percentile(p: int) -> Column:
+    """The rank of a percentile among ``n`` sorted values: floor(n * p / 100), the last at most."""
+    return F.least(F.floor(F.col("n") * p / 100), F.col("n") - 1)
 
 
 def brief_summary(df: DataFrame, size: str) -> DataFrame:
@@ -27,16 +29,20 @@ def brief_summary(df: DataFrame, size: str) -> DataFrame:
 def full_summary(df: DataFrame, size: str, upper_median: bool = False) -> DataFrame:
     """Summary with population deviation, median and rank percentiles; count covers rows without a number too.
 
-    Sorted values of a group are held once, for the percentiles. ``upper_median`` takes the upper of two middle values.
+    Median and percentiles come from counted ranks, so a window of any number of values is split over tasks. ``upper_median``
+    takes the upper of two middle values.
     """
-    g = windowed(df, size).groupBy(*KEY, "window_start_unix", "window_end_unix")
-    out = g.agg(
+    keys = [*KEY, "window_start_unix", "window_end_unix"]
+    rows = windowed(df, size)
+    out = rows.groupBy(*keys).agg(
         F.count("*").alias("count"), F.count("num").alias("numeric_count"), F.coalesce(F.sum("num"), F.lit(0.0)).alias("sum"), F.coalesce(F.avg("num"), F.lit(0.0)).alias("mean"),
-        F.coalesce(F.stddev_pop("num"), F.lit(0.0)).alias("std"), F.min("num").alias("min"), F.max("num").alias("max"), F.sort_array(F.collect_list("num")).alias("_v"),
+        F.coalesce(F.stddev_pop("num"), F.lit(0.0)).alias("std"), F.min("num").alias("min"), F.max("num").alias("max"),
     )
-    lower = F.expr("get(_v, cast(floor((size(_v) + 1) / 2) - 1 as int))")
-    upper = F.expr("get(_v, cast(floor(size(_v) / 2) as int))")
-    return out.withColumns({"median": upper if upper_median else (lower + upper) / 2, "p95": rank_percentile("_v", 95), "p99": rank_percentile("_v", 99)}).drop("_v")
+    n = F.col("n")
+    ranks = {"_lower": F.floor((n - 1) / 2), "_upper": F.floor(n / 2), "p95": rank_percentile(95), "p99": rank_percentile(99)}
+    out = join_groups(out, at_ranks(rows, keys, "num", ranks), keys, "left")
+    median = F.col("_upper") if upper_median else (F.col("_lower") + F.col("_upper")) / 2
+    return out.select(*[c for c in out.columns if c not in ranks], median.alias("median"), "p95", "p99")
 
 
 def point_summary(df: DataFrame, keys: list[str]) -> DataFrame:
