@@ -115,10 +115,18 @@ def register(flag: str, analyzer: Callable[[DataFrame, list[str]], DataFrame]) -
 register("STATS", stats)
 register("HISTOGRAM", lambda df, keys: histogram(df, keys, 10))
 register("OUTLIERS", outliers)
+register("TALLY", lambda df, keys: tally(df, keys, "label"))
+register("RATE", lambda df, keys: rate(df, keys, "passed"))
+register("SCATTER_ELLIPSE", ellipse)
+register("DENSITY_MAP", density)
+register("RAW", lambda df, keys: df.select(*keys, "meta"))
 
 
 def by_mask(df: DataFrame, keys: list[str], mask: str = "aggregation_mask") -> DataFrame:
-    """(keys, type, summary): every registered analyzer on the rows whose mask asks for it, as JSON rows."""
+    """(keys, type, summary): every registered analyzer on the rows whose mask asks for it, as JSON rows.
+
+    df has the columns that the analyzers read: num, label, passed, x, y and meta. Each analyzer scans its own columns only.
+    """
     out = None
     for flag, analyzer in ANALYZERS.items():
         part = analyzer(df.where(has_flag(F.col(mask), flag)), keys)

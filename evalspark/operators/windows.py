@@ -59,6 +59,16 @@ def collect_values(df: DataFrame, size: str) -> DataFrame:
     return out.withColumn("values", F.expr("transform(_s, s -> s.num)")).drop("_s")
 
 
+def combined(df: DataFrame, size: str) -> DataFrame:
+    """One document for each key and window: the full summary, the summary of its points and its values in order of time.
+
+    df has num, x and y; a row is a number, a point or neither. Windows without points count none.
+    """
+    keys = [*KEY, "window_start_unix", "window_end_unix"]
+    out = join_groups(full_summary(df, size), point_summary(windowed(df, size), keys), keys)
+    return join_groups(out, collect_values(df, size).drop("count"), keys)
+
+
 def roll_up(aggregates: DataFrame, by: list[str]) -> DataFrame:
     """Windows merged: only what can be merged (counts, sums, least, greatest) and the averages that follow."""
     return aggregates.groupBy(*by).agg(

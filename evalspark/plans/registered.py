@@ -6,6 +6,7 @@ added first, so that no average of cents lies on a border of rounding.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +77,20 @@ def agg06_collect_values(spark, d):
     return out.select(*windows.KEY, "window_start_unix", "count", "aggregation_mask", F.expr("array_join(transform(values, v -> cast(v as string)), ',')").alias("vals"))
 
 
+COMBINED_SQL = f"""WITH mx AS (SELECT event_type AS processor_name, '1.0.0' AS processor_version, 'value' AS metric_name, (epoch_us(ts) // 3600000000) * 3600 AS window_start_unix, ts, event_id,
+  CASE WHEN event_id % 7 <> 3 THEN value END AS num, CASE WHEN event_id % 7 = 3 THEN value END AS x, CASE WHEN event_id % 7 = 3 THEN user_id::DOUBLE END AS y FROM events),
+g AS (SELECT {KEYS}, window_start_unix, count(*) AS count, count(num) AS numeric_count, coalesce(sum(num), 0) AS sum, coalesce(avg(num), 0) AS mean, coalesce(stddev_pop(num), 0) AS std, min(num) AS min, max(num) AS max, median(num) AS median,
+  list_sort(list(num) FILTER (num IS NOT NULL)) AS v, count(x) AS point_count, avg(x) AS x_mean, min(x) AS x_min, max(x) AS x_max, avg(y) AS y_mean, min(y) AS y_min, max(y) AS y_max, string_agg(num::VARCHAR, ',' ORDER BY ts, event_id) AS vals FROM mx GROUP BY {KEYS}, window_start_unix)
+SELECT * EXCLUDE (v, vals), window_start_unix + 3600 AS window_end_unix, v[least(floor(numeric_count * 95 / 100)::BIGINT, numeric_count - 1) + 1] AS p95, v[least(floor(numeric_count * 99 / 100)::BIGINT, numeric_count - 1) + 1] AS p99,
+  coalesce(vals, '') AS vals, 7 AS aggregation_mask FROM g"""
+
+
+@query(COMBINED_SQL, "sum mean std median x_mean y_mean")
+def agg07_combined_document(spark, d):
+    out = windows.combined(A.mixed_metrics(spark, d), "1 hour")
+    return out.withColumn("vals", F.expr("array_join(transform(values, v -> cast(v as string)), ',')")).drop("values")
+
+
 @query(f"{ctes(M)} SELECT {KEYS}, w AS window_start_unix, w + 7200 AS window_end_unix, count(*) AS count, sum(num) AS sum, avg(num) AS mean FROM (SELECT *, unnest([(epoch_us(ts) // 3600000000) * 3600, (epoch_us(ts) // 3600000000) * 3600 - 3600]) AS w FROM m) GROUP BY ALL", "sum mean")
 def agg08_sliding_window(spark, d):
     w = windows.windowed(A.metrics(spark, d), "2 hours", "1 hour")
@@ -298,10 +313,41 @@ def art02_categories(spark, d):
     return e.groupBy("event_type", "label").agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_type, unnest(['HISTOGRAM', 'OUTLIERS', 'STATS']) AS type, unnest([10, 1, 1])::BIGINT AS n FROM (SELECT DISTINCT event_type FROM events)")
+def _asked(flag: str) -> str:
+    return f"(SELECT * FROM ms WHERE mask & {V.FLAGS[flag]} <> 0)"
+
+
+# What is compared of the summaries of each type: two sums over a group's rows, in Spark and in DuckDB.
+COMPARED = {
+    "STATS": ("mean", "std"), "HISTOGRAM": ("n", "n * bin"), "OUTLIERS": ("upper", "outlier_count"), "TALLY": ("n", "n * rank"),
+    "RATE": ("rate", "low"), "SCATTER_ELLIPSE": ("lambda1 / 1000", "angle"), "DENSITY_MAP": ("n", "n * (ix * 64 + iy)"), "RAW": ("meta", "1"),
+}
+
+DISPATCH_SQL = f"""{ctes(A.MEASUREMENTS_SQL)},
+st AS (SELECT event_type, avg(num) AS mean, stddev_samp(num) AS std FROM {_asked("STATS")} GROUP BY 1),
+he AS (SELECT event_type, min(num) AS lo, max(num) AS hi FROM {_asked("HISTOGRAM")} GROUP BY 1),
+hc AS (SELECT event_type, least(floor((num - lo) / (hi - lo) * 10), 9)::INT AS bin, count(*) AS n FROM {_asked("HISTOGRAM")} JOIN he USING (event_type) GROUP BY 1, 2),
+hi AS (SELECT event_type, g.bin, coalesce(n, 0) AS n FROM he CROSS JOIN range(10) g(bin) LEFT JOIN hc USING (event_type, bin)),
+oq AS (SELECT event_type, quantile_cont(num, 0.25) AS q1, quantile_cont(num, 0.75) AS q3 FROM {_asked("OUTLIERS")} GROUP BY 1),
+ou AS (SELECT event_type, q3 + 1.5 * (q3 - q1) AS upper, count(*) FILTER (num < q1 - 1.5 * (q3 - q1) OR num > q3 + 1.5 * (q3 - q1)) AS outlier_count FROM {_asked("OUTLIERS")} JOIN oq USING (event_type) GROUP BY event_type, q1, q3),
+ta AS (SELECT event_type, count(*) AS n, row_number() OVER (PARTITION BY event_type ORDER BY count(*) DESC, label) AS rank FROM {_asked("TALLY")} GROUP BY event_type, label),
+rc AS (SELECT event_type, count(*)::DOUBLE AS k, count(*) FILTER (passed) / count(*)::DOUBLE AS rate FROM {_asked("RATE")} GROUP BY 1),
+ra AS (SELECT event_type, rate, greatest(0, (rate + 1.959964 ^ 2 / 2 / k) / (1 + 1.959964 ^ 2 / k) - 1.959964 / (1 + 1.959964 ^ 2 / k) * sqrt(rate * (1 - rate) / k + 1.959964 ^ 2 / 4 / (k * k))) AS low FROM rc),
+em AS (SELECT event_type, var_samp(x) AS a, var_samp(y) AS c, covar_samp(x, y) AS b FROM {_asked("SCATTER_ELLIPSE")} GROUP BY 1),
+el AS (SELECT event_type, (a + c) / 2 + sqrt(pow((a - c) / 2, 2) + b * b) AS lambda1, atan2(2 * b, a - c) / 2 AS angle FROM em),
+de AS (SELECT event_type, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM {_asked("DENSITY_MAP")} GROUP BY 1),
+dm AS (SELECT event_type, least(floor((x - x0) / (x1 - x0) * 64), 63)::INT AS ix, least(floor((y - y0) / (y1 - y0) * 64), 63)::INT AS iy, count(*) AS n FROM {_asked("DENSITY_MAP")} JOIN de USING (event_type) GROUP BY 1, 2, 3),
+rw AS (SELECT event_type, meta FROM {_asked("RAW")})
+""" + " UNION ALL ".join(f"SELECT event_type, '{t}' AS type, count(*) AS n, sum({a})::DOUBLE AS a, sum({b})::DOUBLE AS b FROM {c} GROUP BY 1" for c, (t, (a, b)) in zip(("st", "hi", "ou", "ta", "ra", "el", "dm", "rw"), COMPARED.items()))
+
+
+@query(DISPATCH_SQL, "a b")
 def anl09_dispatch_by_mask(spark, d):
-    m = A.metrics(spark, d).withColumnRenamed("processor_name", "event_type")
-    return analyzers.by_mask(m, ["event_type"]).groupBy("event_type", "type").agg(F.count("summary").alias("n"))
+    out = analyzers.by_mask(A.measurements(spark, d), ["event_type"])
+    fields = sorted({w for pair in COMPARED.values() for e in pair for w in re.findall("[a-z_]+[0-9]?", e)})
+    s = out.withColumn("_s", F.from_json("summary", ", ".join(f"{f} double" for f in fields))).select("event_type", "type", "_s.*")
+    of = lambda i: F.coalesce(*[F.when(F.col("type") == t, F.expr(pair[i]).cast("double")) for t, pair in COMPARED.items()])
+    return s.groupBy("event_type", "type").agg(F.count("*").alias("n"), F.sum(of(0)).alias("a"), F.sum(of(1)).alias("b"))
 
 
 @query("SELECT page_id, strlen(html)::BIGINT AS size, strlen(url)::BIGINT AS url_size FROM pages")

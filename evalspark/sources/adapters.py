@@ -23,6 +23,26 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """metrics in which every seventh measurement is a point (value, user) and no number."""
+    point = F.col("event_id") % 7 == 3
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("processor_name"), F.lit("1.0.0").alias("processor_version"), F.lit("value").alias("metric_name"), utc("ts").alias("ts"), "event_id",
+        F.when(~point, F.col("value")).alias("num"), F.when(point, F.col("value")).alias("x"), F.when(point, F.col("user_id").cast("double")).alias("y"), F.lit(7).alias("aggregation_mask"),
+    )
+
+
+def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events with a column for each analyzer and a mask that asks for every set of them in turn."""
+    return table(spark, sf_dir, "events").select(
+        "event_type", F.col("value").alias("num"), (F.col("user_id") % 10).cast("string").alias("label"), (F.col("value") > 50).alias("passed"),
+        F.col("value").alias("x"), F.col("user_id").cast("double").alias("y"), F.col("event_id").alias("meta"), (F.col("event_id") % 256).alias("aggregation_mask"),
+    )
+
+
+MEASUREMENTS_SQL = "ms AS (SELECT event_type, value AS num, (user_id % 10)::VARCHAR AS label, value > 50 AS passed, value AS x, user_id::DOUBLE AS y, event_id AS meta, (event_id % 256)::BIGINT AS mask FROM events)"
+
+
 def raw_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as JSON text of every kind of value, dealt by event_id."""
     v = F.round("value", 2).cast("string")
