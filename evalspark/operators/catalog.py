@@ -14,6 +14,22 @@ def metric_catalog(aggregates: DataFrame, mask: int) -> DataFrame:
     return roll_up(aggregates, KEY).withColumn("types", F.concat_ws(",", type_names(F.lit(mask))))
 
 
+def metric_detail(aggregates: DataFrame, metric: str, processor: str | None = None, version: str | None = None) -> DataFrame:
+    """One row: the newest stored summary of a metric, of its first processor and version unless they are named.
+
+    Without a match the row has no_data, a count and sum of 0 and nulls. aggregates has an aggregation_mask.
+    """
+    match = F.col("metric_name") == metric
+    for column, wanted in (("processor_name", processor), ("processor_version", version)):
+        match = match & (F.col(column) == wanted) if wanted else match
+    kept = ["count", "sum", "mean", "min", "max", "std", "median", "p95", "p99"]
+    found = F.min_by(F.struct(*KEY, "aggregation_mask", *kept), F.struct("processor_name", "processor_version", -F.col("window_end_unix")))
+    row = aggregates.where(match).agg(found.alias("f"))  # one row, whatever matches
+    told = {"metric_name": metric, "processor_name": processor or "", "processor_version": version or "", "aggregation_mask": 0, "count": 0, "sum": 0.0}
+    row = row.select(*[F.coalesce(f"f.{c}", F.lit(told[c])).alias(c) if c in told else F.col(f"f.{c}").alias("avg" if c == "mean" else c) for c in [*KEY, "aggregation_mask", *kept]], F.col("f").isNull().alias("no_data"))
+    return row.withColumn("types", F.concat_ws(",", type_names(F.col("aggregation_mask"))))
+
+
 def bucket_stats(artifacts: DataFrame) -> DataFrame:
     g = artifacts.groupBy("bucket").agg(F.count("*").alias("objects"), F.sum("size").alias("bytes"))
     return g.withColumn("mb", F.round(F.col("bytes") / (1024 * 1024), 2))

@@ -426,6 +426,15 @@ def cat01_metric_catalog(spark, d):
     return catalog.metric_catalog(windows.full_summary(A.metrics(spark, d), "1 hour"), 7)
 
 
+@query(f"""{ctes(MW, FULL)}, d AS (SELECT *, row_number() OVER (PARTITION BY processor_name ORDER BY window_end_unix DESC) AS k FROM full_agg)
+SELECT 'value' AS metric_name, w AS processor_name, coalesce(processor_version, '') AS processor_version, if(k IS NULL, 0, 7) AS aggregation_mask, coalesce(count, 0) AS count, coalesce(sum, 0) AS sum, mean AS avg, min, max, std, median, p95, p99,
+  k IS NULL AS no_data, if(k IS NULL, '', 'STATS,HISTOGRAM,OUTLIERS') AS types FROM (SELECT unnest(['click', 'purchase', 'absent']) AS w) LEFT JOIN d ON processor_name = w AND k = 1""", "sum avg std median")
+def cat02_metric_detail(spark, d):
+    stored = windows.full_summary(A.metrics(spark, d), "1 hour").withColumn("aggregation_mask", F.lit(7))
+    one, other, absent = (catalog.metric_detail(stored, "value", name) for name in ("click", "purchase", "absent"))
+    return one.unionByName(other).unionByName(absent)
+
+
 @query(f"{ctes(A.ARTIFACTS_SQL)} SELECT content_hash, max(doc_id) AS doc_id, arg_max(bucket, doc_id) AS bucket FROM art GROUP BY 1")
 def cat03_artifact_index(spark, d):
     return catalog.latest(A.artifacts(spark, d), ["content_hash"], ["doc_id"]).select("content_hash", "doc_id", "bucket")
