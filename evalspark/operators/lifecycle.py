@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -50,6 +50,46 @@ def throughput(events: DataFrame) -> DataFrame:
     return events.groupBy("event_type", "processor_name", "error").agg(F.count("*").alias("n"))
 
 
+# The fields of each event type's payload, in order.
+PAYLOADS = {
+    "TASK_CREATED": "task_id directory_key path fingerprint file_hash",
+    "TASK_STARTED": "task_id processor_name processor_version",
+    "TASK_COMPLETED": "task_id processor_name processor_version duration_ms",
+    "TASK_FAILED": "task_id processor_name processor_version error error_type",
+    "RESULT_PRODUCED": "task_id processor_name processor_version metric_count artifact_refs",
+    "METRIC_EMITTED": "task_id processor_name processor_version metric_name value aggregation_mask meta",
+    "AGGREGATE_COMPUTED": "processor_name processor_version metric_name aggregation_type window_start_unix window_end_unix summary artifact_ref",
+    "ARTIFACT_STORED": "content_hash bucket key size mime source_task_id",
+}
+
+
+def with_payload(events: DataFrame) -> DataFrame:
+    """events with the JSON payload of their type, built from the columns of its fields.
+
+    A field without a column is null, and nulls are written; meta is a map of texts, empty where absent or null. A row of another type,
+    or of none, has a null payload.
+    """
+    have = set(events.columns)
+    empty = F.from_json(F.lit("{}"), "map<string,string>")
+
+    def of(c: str) -> Column:
+        if c == "meta":
+            return F.coalesce(F.col("meta"), empty) if c in have else empty
+        return F.col(f"`{c}`") if c in have else F.lit(None).cast("string")
+
+    built = [F.when(F.col("event_type") == t, F.to_json(F.struct(*[of(c).alias(c) for c in fields.split()]), {"ignoreNullFields": "false"})) for t, fields in PAYLOADS.items()]
+    return events.withColumn("payload", F.coalesce(*built))
+
+
+def dead_letters(records: DataFrame, raw: str, kind: str, known: list[str]) -> DataFrame:
+    """The records that can't be taken, each with its reason: unparseable JSON in ``raw``, or a type ``kind`` that isn't known.
+
+    A null text is unparseable, a null type unknown; the first reason that holds is told.
+    """
+    reason = F.when(F.try_parse_json(F.col(raw)).isNull(), "unparseable").when(~F.coalesce(F.col(kind).isin(known), F.lit(False)), "unknown_type")
+    return records.withColumn("reason", reason).where("reason is not null")
+
+
 def duration_buckets(events: DataFrame, bounds: list[float]) -> DataFrame:
     """Cumulative counts for each upper bound, with one for infinity at the end."""
     done = events.where("duration_ms is not null")

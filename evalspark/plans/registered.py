@@ -124,6 +124,11 @@ def fil11_dead_letter(spark, d):
     return v.groupBy("metric_name").agg(F.count(F.when(F.col("kind").isNull(), 1)).alias("dead"), F.count(F.when(F.col("kind").isin("number", "bool"), 1)).alias("numeric_rows"), F.count("*").alias("n"))
 
 
+@query("SELECT event_id, CASE WHEN event_id % 7 = 6 THEN 'unparseable' ELSE 'unknown_type' END AS reason FROM events WHERE event_id % 7 = 6 OR event_type NOT IN ('click', 'purchase')")
+def fil11_dead_letter_reasons(spark, d):
+    return lifecycle.dead_letters(A.raw_values(spark, d), "raw", "metric_name", ["click", "purchase"]).select("event_id", "reason")
+
+
 @query("SELECT event_id, epoch(date_trunc('second', ts))::BIGINT AS event_time FROM events")
 def prj03_event_time(spark, d):
     iso = A.table(spark, d, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("t"))
@@ -142,6 +147,28 @@ def prj05_task_created_payload(spark, d):
     return o.select("task_id", F.to_json(F.struct("task_id", "directory_key", "path")).alias("payload"))
 
 
+@query(f"""{ctes(A.LIFECYCLE_SQL)} SELECT task_id, event_type, '{{"task_id":' || task_id || CASE event_type
+WHEN 'TASK_CREATED' THEN ',"directory_key":"' || directory_key || '","path":null,"fingerprint":null,"file_hash":null}}'
+WHEN 'TASK_STARTED' THEN ',"processor_name":"' || processor_name || '","processor_version":"1.0.0"}}'
+WHEN 'TASK_COMPLETED' THEN ',"processor_name":"' || processor_name || '","processor_version":"1.0.0","duration_ms":' || duration_ms || '}}'
+ELSE ',"processor_name":"' || processor_name || '","processor_version":"1.0.0","error":"' || error || '","error_type":null}}' END AS payload FROM life""")
+def prj05_task_payloads(spark, d):
+    return lifecycle.with_payload(A.lifecycle(spark, d).withColumn("processor_version", F.lit("1.0.0"))).select("task_id", "event_type", "payload")
+
+
+@query(f"""{ctes(A.ARTIFACTS_SQL)} SELECT doc_id, '{{"content_hash":"' || content_hash || '","bucket":"' || bucket || '","key":"' || name || '","size":' || size || ',"mime":null,"source_task_id":' || coalesce(task_id::VARCHAR, 'null') || '}}' AS payload FROM art""")
+def prj05_artifact_payloads(spark, d):
+    a = A.artifacts(spark, d).withColumns({"event_type": F.lit("ARTIFACT_STORED"), "key": F.col("name"), "source_task_id": F.col("task_id")})
+    return lifecycle.with_payload(a).select("doc_id", "payload")
+
+
+@query(f"""WITH mx AS (SELECT event_id, event_type, value, event_id % 7 = 3 AS p FROM events)
+SELECT event_id, '{{"task_id":' || event_id || ',"processor_name":"' || event_type || '","processor_version":"1.0.0","metric_name":"value","value":' || if(p, 'null', value::VARCHAR) || ',"aggregation_mask":7,"meta":{{}}}}' AS payload FROM mx""")
+def prj05_metric_payloads(spark, d):
+    m = A.mixed_metrics(spark, d).withColumns({"event_type": F.lit("METRIC_EMITTED"), "task_id": F.col("event_id"), "value": F.col("num")})
+    return lifecycle.with_payload(m).select("event_id", "payload")
+
+
 @query("SELECT l_orderkey, l_linenumber, unnest(['discount', 'extendedprice', 'quantity']) AS metric_name, unnest([l_discount, l_extendedprice, l_quantity]) AS value FROM lineitem")
 def prj06_measurements_to_rows(spark, d):
     m = F.create_map(*[x for n in ("discount", "extendedprice", "quantity") for x in (F.lit(n), F.col(f"l_{n}"))])
