@@ -1,11 +1,12 @@
 """Rules that the driver tables don't reach: nulls, non-finite numbers, ties, small groups, streams."""
 
 import datetime
+import json
 
 from pyspark.sql import functions as F
 
 from evalspark.functions import values as V
-from evalspark.operators import analyzers, audit, processors, windows
+from evalspark.operators import analyzers, audit, catalog, lifecycle, processors, windows
 from evalspark.streaming import streams
 
 
@@ -133,3 +134,23 @@ def test_late_rows_leave_at_the_watermark(spark, tmp_path):
     got = [r for b in _streamed(spark, tmp_path, batches, schema, lambda s: streams.windowed_summary(s, "60 seconds", "10 seconds"), "append") for r in b]
     first = [r for r in got if r[3] == int(at(0).replace(tzinfo=datetime.UTC).timestamp())]
     assert [(r[4], r[5]) for r in first] == [(2, 3.0)]  # the row of 100 came after its window had closed
+
+
+def test_payloads_meta_and_other_types(spark):
+    rows = [("METRIC_EMITTED", "t1", {"k": "v"}), ("METRIC_EMITTED", "t2", None), ("ELSE", "t3", None), (None, "t4", None)]
+    df = spark.createDataFrame(rows, "event_type string, task_id string, meta map<string,string>")
+    got = {r.task_id: r.payload for r in lifecycle.with_payload(df).collect()}
+    assert json.loads(got["t1"])["meta"] == {"k": "v"} and json.loads(got["t2"])["meta"] == {}
+    assert json.loads(got["t1"])["metric_name"] is None and got["t3"] is None and got["t4"] is None
+
+
+def test_dead_letters_of_nulls(spark):
+    df = spark.createDataFrame([(1, "{}", "a"), (2, None, "a"), (3, "1", None), (4, "{", "b"), (5, "[]", "b")], "id int, raw string, kind string")
+    got = {r.id: r.reason for r in lifecycle.dead_letters(df, "raw", "kind", ["a"]).collect()}
+    assert got == {2: "unparseable", 3: "unknown_type", 4: "unparseable", 5: "unknown_type"}
+
+
+def test_detail_of_an_empty_catalogue(spark):
+    columns = "processor_name string, processor_version string, metric_name string, window_end_unix long, aggregation_mask int, count long, sum double, mean double, min double, max double, std double, median double, p95 double, p99 double"
+    row = catalog.metric_detail(spark.createDataFrame([], columns), "m", "p").collect()
+    assert len(row) == 1 and row[0]["no_data"] and row[0]["processor_name"] == "p" and row[0]["count"] == 0
