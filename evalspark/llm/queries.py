@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, license_scan, mixing, nearest, secret_scan, sharding, suffix_dedup, toxicity, url_filter
+from . import conversation_repair, decontaminate, jaccard_join, license_scan, mixing, nearest, secret_scan, sharding, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_mixing": mixing.op10_mixing,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
 }
 
 ORACLE_SQL = {
