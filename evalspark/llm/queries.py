@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import conversation_repair, decontaminate, jaccard_join, license_scan, mixing, nearest, secret_scan, sharding, suffix_dedup, toxicity, url_filter
+from . import conversation_repair, decontaminate, jaccard_join, license_scan, mixing, nearest, perplexity, secret_scan, sharding, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_mixing": mixing.op10_mixing,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op12_quality_rules": perplexity.op12_quality_rules,
 }
 
 ORACLE_SQL = {
