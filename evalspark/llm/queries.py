@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import conversation_repair, decontaminate, jaccard_join, license_scan, mixing, nearest, perplexity, secret_scan, sharding, suffix_dedup, toxicity, url_filter
+from . import collocations, conversation_repair, decontaminate, jaccard_join, license_scan, mixing, nearest, perplexity, secret_scan, sharding, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
     "op11_conversation_repair": conversation_repair.op11_conversation_repair,
     "op12_quality_rules": perplexity.op12_quality_rules,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLE_SQL = {
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op8_license_scan": license_scan.OP8_SQL,
     "op9_secret_scan": secret_scan.OP9_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
