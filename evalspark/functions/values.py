@@ -147,3 +147,14 @@ def point(raw: Column) -> Column:
     x = F.when(pair("$"), get("$[0]")).when(named, get("$.x")).when(pair("$.xy"), get("$.xy[0]"))
     y = F.when(pair("$"), get("$[1]")).when(named, get("$.y")).when(pair("$.xy"), get("$.xy[1]"))
     return F.when(finite(x) & finite(y), F.struct(x.alias("x"), y.alias("y")))
+
+
+def document_facts(text: Column) -> Column:
+    """struct<size, kind, keys, items> of a JSON document: bytes; object, array, scalar or invalid; an object's keys in order;
+    the number of an object's keys or an array's items. A null text has a null kind and size."""
+    shape = F.schema_of_variant(F.try_parse_json(text))
+    valid = F.coalesce(shape.isNotNull(), F.lit(False))
+    kind = F.when(text.isNull(), None).when(~valid, "invalid").when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").otherwise("scalar")
+    keys = F.when(kind == "object", F.array_sort(F.json_object_keys(text)))
+    items = F.when(kind == "object", F.size(keys)).when(kind == "array", F.json_array_length(text))
+    return F.struct(F.octet_length(text).cast("long").alias("size"), kind.alias("kind"), keys.alias("keys"), items.alias("items"))

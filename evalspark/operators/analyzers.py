@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.values import Z_ANALYZER, Z_READ, finite, has_flag, parse_bool, wilson, z_of
+from ..functions.values import FLAGS, Z_ANALYZER, Z_READ, finite, parse_bool, wilson, z_of
 from .ranks import at_ranks, between, join_groups, quantile_ranks
 
 
@@ -39,6 +39,12 @@ def histogram(df: DataFrame, keys: list[str], bins: int = 50, value: str = "num"
     return grid.join(counts, [*keys, "bin"], "left").select(*keys, "bin", edge(0).alias("low"), edge(1).alias("high"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def histogram_series(bins: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, centers, counts, total) of a histogram's rows: one array entry for each bin, in order."""
+    g = bins.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bin", "low", "high", "n"))).alias("_b"), F.sum("n").alias("total"))
+    return g.select(*keys, F.transform("_b", lambda b: (b["low"] + b["high"]) / 2).alias("centers"), F.col("_b.n").alias("counts"), "total")
+
+
 def outliers(df: DataFrame, keys: list[str], value: str = "num", factor: float = 1.5) -> DataFrame:
     """Quartiles, bounds and counts of what lies outside; groups of under four values have none."""
     ok = df.where(finite(F.col(value)))
@@ -104,11 +110,17 @@ def density(df: DataFrame, keys: list[str], grid: int = 64, pad: float = 0.0) ->
 
 
 ANALYZERS: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = {}
+BITS = dict(FLAGS)
 
 
-def register(flag: str, analyzer: Callable[[DataFrame, list[str]], DataFrame]) -> None:
+def register(flag: str, analyzer: Callable[[DataFrame, list[str]], DataFrame], bit: int | None = None) -> None:
+    """A further analyzer under its flag; one that isn't among the fixed flags needs a bit of the mask that no other has."""
     if flag in ANALYZERS:
         raise ValueError(f"an analyzer for {flag} is registered already")
+    if flag not in BITS:
+        if bit is None or bit <= 0 or bit & (bit - 1) or bit in BITS.values():
+            raise ValueError(f"{flag} needs a free bit of its own, not {bit}")
+        BITS[flag] = bit
     ANALYZERS[flag] = analyzer
 
 
@@ -120,17 +132,3 @@ register("RATE", lambda df, keys: rate(df, keys, "passed"))
 register("SCATTER_ELLIPSE", ellipse)
 register("DENSITY_MAP", density)
 register("RAW", lambda df, keys: df.select(*keys, "meta"))
-
-
-def by_mask(df: DataFrame, keys: list[str], mask: str = "aggregation_mask") -> DataFrame:
-    """(keys, type, summary): every registered analyzer on the rows whose mask asks for it, as JSON rows.
-
-    df has the columns that the analyzers read: num, label, passed, x, y and meta. Each analyzer scans its own columns only.
-    """
-    out = None
-    for flag, analyzer in ANALYZERS.items():
-        part = analyzer(df.where(has_flag(F.col(mask), flag)), keys)
-        rest = [c for c in part.columns if c not in keys]
-        part = part.select(*keys, F.lit(flag).alias("type"), F.to_json(F.struct(*rest)).alias("summary"))
-        out = part if out is None else out.unionByName(part)
-    return out

@@ -1,8 +1,10 @@
 """Exact values at given ranks of a group, and the row before, without a task that holds a whole group.
 
-A group of few rows is sorted as one array. Values of a larger one are counted first, then cut into parts at a few of its
+Equal values of a group are counted first, and the counts are written once to the shared folder; all else is read from
+there. The values of a group of few are put in order by one window. Those of a larger group are cut into parts at a few
 values that a hash picks; the same rows give the same cuts, whoever computes them and however often. Only the parts in which a
-wanted rank lies are sorted, each in its own task. Both ways are exact.
+wanted rank lies are sorted, each in its own task. Whether there are larger groups at all is asked once, when the ranks are
+called for; if there are none, nothing is planned for them. Both ways are exact.
 """
 
 from __future__ import annotations
@@ -11,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SMALL = 100_000  # rows of a group that may lie in one array
+from ..sources.sinks import materialize
+
+SMALL = 100_000  # different values of a group that one window may put in order
 PARTS = 256  # cuts of a larger group, about so many
 STEP = 16
 
@@ -29,18 +33,41 @@ def at_ranks(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Column
     """(keys, names): the value at each rank, counted from 0 in ascending order; null for a rank that isn't there.
 
     ``ranks`` gives every rank by name, from the column ``n``, the group's number of values. Null values don't count; groups
-    without any are absent. NaN comes last. Equal values travel as one row with their number, in groups of more than ``small``
-    rows. An empty table gives no rows.
+    without any are absent. NaN comes last. An empty table gives no rows.
     """
-    rows = df.where(F.col(value).isNotNull()).select(F.struct(*keys).alias("_g"), F.col(value).alias("_v"))  # a struct is never null, so null keys meet
-    large = rows.groupBy("_g").agg(F.count("*").alias("_n")).where(F.col("_n") > small).select("_g")
-    few = rows.join(large, "_g", "left_anti").groupBy("_g").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("_v")).alias("_all"))
-    few = few.select("_g", *[F.get("_all", rank.cast("int")).alias(name) for name, rank in ranks.items()])
+    rows = df.where(F.col(value).isNotNull())
+    counted = rows.groupBy(*keys, F.col(value).alias("_value")).agg(F.count("*").alias("_times"))
+    return at_counted_ranks(materialize(counted, "counted"), keys, "_value", "_times", ranks, small)
+
+
+def at_counted_ranks(counted: DataFrame, keys: list[str], value: str, times: str, ranks: dict[str, Column], small: int = SMALL) -> DataFrame:
+    """``at_ranks`` of values that are counted already, each once in its group. ``counted`` is read several times: a stored table."""
+    rows = counted.where(F.col(value).isNotNull()).select(F.struct(*keys).alias("_g"), F.col(value).alias("_v"), F.col(times).alias("_m"))  # a struct is never null, so null keys meet
+    large = rows.groupBy("_g").agg(F.count("*").alias("_values")).where(F.col("_values") > small).select("_g")
+    if not large.take(1):
+        return _at_ranks_of_few(rows, ranks).select("_g.*", *ranks)
+    few = _at_ranks_of_few(rows.join(large, "_g", "left_anti"), ranks)
     return few.unionByName(_at_ranks_of_large(rows.join(large, "_g", "left_semi"), ranks)).select("_g.*", *ranks)
 
 
-def _at_ranks_of_large(rows: DataFrame, ranks: dict[str, Column]) -> DataFrame:
-    counted = rows.groupBy("_g", "_v").agg(F.count("*").alias("_m"))
+def _wants(ranks: dict[str, Column]) -> Column:
+    return F.array(*[F.struct(F.lit(name).alias("name"), rank.cast("long").alias("rank")) for name, rank in ranks.items()])
+
+
+def _found(ends: DataFrame, ranks: dict[str, Column]) -> DataFrame:
+    """(_g, names) from (_g, _v, _m, _end, _wants): the value whose occurrences end at _end holds the ranks before that."""
+    inside = lambda w: (w["rank"] < F.col("_end")) & (w["rank"] >= F.col("_end") - F.col("_m"))
+    found = ends.select("_g", "_v", F.explode_outer(F.filter("_wants", inside)).alias("_w"))
+    return found.groupBy("_g").agg(*[F.max(F.when(F.col("_w.name") == name, F.col("_v"))).alias(name) for name in ranks])
+
+
+def _at_ranks_of_few(rows: DataFrame, ranks: dict[str, Column]) -> DataFrame:
+    group = W.partitionBy("_g")
+    ends = rows.withColumns({"n": F.sum("_m").over(group), "_end": F.sum("_m").over(group.orderBy("_v").rowsBetween(W.unboundedPreceding, 0))})
+    return _found(ends.withColumn("_wants", _wants(ranks)), ranks)
+
+
+def _at_ranks_of_large(counted: DataFrame, ranks: dict[str, Column]) -> DataFrame:
     sizes = counted.groupBy("_g").agg(F.sum("_m").alias("n"), F.count("*").alias("_values"))
     picked = F.pmod(F.xxhash64("_v"), F.greatest(F.lit(1), F.floor(F.col("_values") / PARTS))) == 0
     cuts = counted.join(sizes, "_g").where(picked).groupBy("_g").agg(F.sort_array(F.collect_list("_v")).alias("_cuts"))
@@ -51,15 +78,12 @@ def _at_ranks_of_large(rows: DataFrame, ranks: dict[str, Column]) -> DataFrame:
 
     sums = placed.groupBy("_g", "_part").agg(F.sum("_m").alias("_m"))
     sums = sums.withColumn("_before", F.sum("_m").over(W.partitionBy("_g").orderBy("_part")) - F.col("_m")).join(sizes, "_g")
-    wants = F.array(*[F.struct(F.lit(name).alias("name"), rank.cast("long").alias("rank")) for name, rank in ranks.items()])
-    held = F.filter(wants, lambda w: (w["rank"] >= F.col("_before")) & (w["rank"] < F.col("_before") + F.col("_m")))
+    held = F.filter(_wants(ranks), lambda w: (w["rank"] >= F.col("_before")) & (w["rank"] < F.col("_before") + F.col("_m")))
     sums = sums.select("_g", "_part", "_before", held.alias("_wants")).where(F.size("_wants") > 0)
 
     part = W.partitionBy("_g", "_part").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
     ends = placed.join(sums, ["_g", "_part"]).withColumn("_end", F.col("_before") + F.sum("_m").over(part))
-    inside = lambda w: (w["rank"] < F.col("_end")) & (w["rank"] >= F.col("_end") - F.col("_m"))
-    found = ends.select("_g", "_v", F.explode(F.filter("_wants", inside)).alias("_w"))
-    return found.groupBy("_g").agg(*[F.max(F.when(F.col("_w.name") == name, F.col("_v"))).alias(name) for name in ranks])
+    return _found(ends, ranks)
 
 
 def quantile_ranks(name: str, p: float) -> dict[str, Column]:

@@ -26,21 +26,26 @@ def brief_summary(df: DataFrame, size: str) -> DataFrame:
     return windowed(df.where("num is not null"), size).groupBy(*KEY, "window_start_unix", "window_end_unix").agg(F.count("*").alias("count"), F.sum("num").alias("sum"), F.avg("num").alias("avg"), F.min("num").alias("min"), F.max("num").alias("max"), F.max("aggregation_mask").alias("aggregation_mask"))
 
 
+def mergeable_summary(df: DataFrame, size: str) -> DataFrame:
+    """What can be merged over windows, and the averages that follow from it: one aggregation, no ranks. count covers rows
+    without a number too; a window without any has sum, mean and deviation 0 and no least and greatest. ``std`` is the
+    population's."""
+    return windowed(df, size).groupBy(*KEY, "window_start_unix", "window_end_unix").agg(
+        F.count("*").alias("count"), F.count("num").alias("numeric_count"), F.coalesce(F.sum("num"), F.lit(0.0)).alias("sum"), F.coalesce(F.avg("num"), F.lit(0.0)).alias("mean"),
+        F.coalesce(F.stddev_pop("num"), F.lit(0.0)).alias("std"), F.min("num").alias("min"), F.max("num").alias("max"),
+    )
+
+
 def full_summary(df: DataFrame, size: str, upper_median: bool = False) -> DataFrame:
-    """Summary with population deviation, median and rank percentiles; count covers rows without a number too.
+    """``mergeable_summary`` with median and rank percentiles, null in windows without a number.
 
     Median and percentiles come from counted ranks, so a window of any number of values is split over tasks. ``upper_median``
     takes the upper of two middle values.
     """
     keys = [*KEY, "window_start_unix", "window_end_unix"]
-    rows = windowed(df, size)
-    out = rows.groupBy(*keys).agg(
-        F.count("*").alias("count"), F.count("num").alias("numeric_count"), F.coalesce(F.sum("num"), F.lit(0.0)).alias("sum"), F.coalesce(F.avg("num"), F.lit(0.0)).alias("mean"),
-        F.coalesce(F.stddev_pop("num"), F.lit(0.0)).alias("std"), F.min("num").alias("min"), F.max("num").alias("max"),
-    )
     n = F.col("n")
     ranks = {"_lower": F.floor((n - 1) / 2), "_upper": F.floor(n / 2), "p95": rank_percentile(95), "p99": rank_percentile(99)}
-    out = join_groups(out, at_ranks(rows, keys, "num", ranks), keys, "left")
+    out = join_groups(mergeable_summary(df, size), at_ranks(windowed(df, size), keys, "num", ranks), keys, "left")
     median = F.col("_upper") if upper_median else (F.col("_lower") + F.col("_upper")) / 2
     return out.select(*[c for c in out.columns if c not in ranks], median.alias("median"), "p95", "p99")
 

@@ -14,8 +14,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..operators import analyzers, audit, catalog, lifecycle, processors, timeseries, windows
+from ..operators import analyzers, audit, catalog, dispatch, lifecycle, processors, timeseries, windows
 from ..sources import adapters as A
+from ..sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -102,12 +103,12 @@ ROLL = "count(*) AS windows, sum(count)::BIGINT AS count, sum(numeric_count)::BI
 
 @query(f"{ctes(MW, FULL)} SELECT {KEYS}, {ROLL} FROM full_agg GROUP BY {KEYS}", "sum avg numeric_avg")
 def agg09_roll_up(spark, d):
-    return windows.roll_up(windows.full_summary(A.metrics(spark, d), "1 hour"), windows.KEY)
+    return windows.roll_up(windows.mergeable_summary(A.metrics(spark, d), "1 hour"), windows.KEY)
 
 
 @query(f"{ctes(MW, FULL)} SELECT {KEYS}, window_start_unix // 86400 AS day, {ROLL} FROM full_agg GROUP BY {KEYS}, window_start_unix // 86400", "sum avg numeric_avg")
 def agg10_roll_up_by_day(spark, d):
-    full = windows.full_summary(A.metrics(spark, d), "1 hour").withColumn("day", F.floor(F.col("window_start_unix") / 86400))
+    full = windows.mergeable_summary(A.metrics(spark, d), "1 hour").withColumn("day", F.floor(F.col("window_start_unix") / 86400))
     return windows.roll_up(full, [*windows.KEY, "day"])
 
 
@@ -182,7 +183,7 @@ def prj07_duration_measurement(spark, d):
 
 @query(f"{ctes(MW, FULL)}, c AS (SELECT max(window_end_unix) AS t FROM full_agg) SELECT {KEYS}, window_start_unix, count FROM full_agg, c WHERE window_end_unix >= t - 1440 * 60")
 def fil03_time_cutoff(spark, d):
-    full = windows.full_summary(A.metrics(spark, d), "1 hour")
+    full = windows.mergeable_summary(A.metrics(spark, d), "1 hour")
     last = full.agg(F.max("window_end_unix").alias("t"))
     return full.join(F.broadcast(last), F.col("window_end_unix") >= F.col("t") - 1440 * 60).select(*windows.KEY, "window_start_unix", "count")
 
@@ -269,12 +270,6 @@ def art01_histogram_on_demand(spark, d):
     return analyzers.histogram(A.table(spark, d, "events"), ["event_type"], 30, "value", least_values=2)
 
 
-@query(f"SELECT event_type, count(*) AS bins, sum(n)::BIGINT AS total, max(n) AS most FROM ({_hist_sql(30)}) GROUP BY 1")
-def art08_histogram_series(spark, d):
-    h = analyzers.histogram(A.table(spark, d, "events"), ["event_type"], 30, "value")
-    return h.groupBy("event_type").agg(F.count("*").alias("bins"), F.sum("n").alias("total"), F.max("n").alias("most"))
-
-
 @query("""WITH q AS (SELECT l_returnflag, count(*) AS count, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem GROUP BY 1),
 b AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM q),
 o AS (SELECT l_returnflag, count(*) AS n FROM lineitem JOIN b USING (l_returnflag) WHERE l_extendedprice < lower OR l_extendedprice > upper GROUP BY 1)
@@ -328,12 +323,6 @@ def art05_density_on_demand(spark, d):
     return analyzers.density(A.points(spark, d), ["metric_name"], 50, pad=0.1).withColumn("density", F.col("density") * 1e6)
 
 
-@query(f"SELECT metric_name, count(*) AS cells, max(n) AS most, max(density) AS max_density FROM ({_density_sql(50, 0.1)}) GROUP BY 1", "max_density")
-def art09_density_series(spark, d):
-    g = analyzers.density(A.points(spark, d), ["metric_name"], 50, pad=0.1)
-    return g.groupBy("metric_name").agg(F.count("*").alias("cells"), F.max("n").alias("most"), (F.max("density") * 1e6).alias("max_density"))
-
-
 @query("SELECT event_type, CASE WHEN value > 50 THEN 'true' ELSE 'false' END AS label, count(*) AS n FROM events GROUP BY ALL")
 def art02_categories(spark, d):
     e = A.table(spark, d, "events").withColumn("label", F.when(F.col("value") > 50, "true").otherwise("false"))
@@ -370,18 +359,13 @@ rw AS (SELECT event_type, meta FROM {_asked("RAW")})
 
 @query(DISPATCH_SQL, "a b")
 def anl09_dispatch_by_mask(spark, d):
-    out = analyzers.by_mask(A.measurements(spark, d), ["event_type"])
+    out = dispatch.by_mask(A.measurements(spark, d), ["event_type"])
     fields = sorted({w for pair in COMPARED.values() for e in pair for w in re.findall("[a-z_]+[0-9]?", e)})
     s = out.withColumn("_s", F.from_json("summary", ", ".join(f"{f} double" for f in fields))).select("event_type", "type", "_s.*")
     of = lambda i: F.coalesce(*[F.when(F.col("type") == t, F.expr(pair[i]).cast("double")) for t, pair in COMPARED.items()])
     return s.groupBy("event_type", "type").agg(F.count("*").alias("n"), F.sum(of(0)).alias("a"), F.sum(of(1)).alias("b"))
 
 
-@query("SELECT page_id, strlen(html)::BIGINT AS size, strlen(url)::BIGINT AS url_size FROM pages")
-def art10_document_facts(spark, d):
-    return A.table(spark, d, "pages").select("page_id", F.octet_length("html").cast("long").alias("size"), F.octet_length("url").cast("long").alias("url_size"))
-
-
 # --- life cycle ---
 STATE = """st AS (SELECT task_id, lower(substr(arg_max(event_type, ts), 6)) AS status, max(directory_key) AS directory_key, max(processor_name) AS processor_name, max(duration_ms) AS duration_ms, max(error) AS error,
   epoch(max(ts) FILTER (event_type = 'TASK_CREATED'))::BIGINT AS created_at, epoch(max(ts) FILTER (event_type = 'TASK_STARTED'))::BIGINT AS started_at, epoch(max(ts) FILTER (event_type = 'TASK_COMPLETED'))::BIGINT AS completed_at, count(*) AS event_count FROM life GROUP BY 1)"""
@@ -450,14 +434,14 @@ def str02_late_rows(spark, d):
 # --- catalogue and storage ---
 @query(f"{ctes(MW, FULL)} SELECT {KEYS}, 'STATS,HISTOGRAM,OUTLIERS' AS types, {ROLL} FROM full_agg GROUP BY {KEYS}", "sum avg numeric_avg")
 def cat01_metric_catalog(spark, d):
-    return catalog.metric_catalog(windows.full_summary(A.metrics(spark, d), "1 hour"), 7)
+    return catalog.metric_catalog(windows.mergeable_summary(A.metrics(spark, d), "1 hour"), 7)
 
 
 @query(f"""{ctes(MW, FULL)}, d AS (SELECT *, row_number() OVER (PARTITION BY processor_name ORDER BY window_end_unix DESC) AS k FROM full_agg)
 SELECT 'value' AS metric_name, w AS processor_name, coalesce(processor_version, '') AS processor_version, if(k IS NULL, 0, 7) AS aggregation_mask, coalesce(count, 0) AS count, coalesce(sum, 0) AS sum, mean AS avg, min, max, std, median, p95, p99,
   k IS NULL AS no_data, if(k IS NULL, '', 'STATS,HISTOGRAM,OUTLIERS') AS types FROM (SELECT unnest(['click', 'purchase', 'absent']) AS w) LEFT JOIN d ON processor_name = w AND k = 1""", "sum avg std median")
 def cat02_metric_detail(spark, d):
-    stored = windows.full_summary(A.metrics(spark, d), "1 hour").withColumn("aggregation_mask", F.lit(7))
+    stored = sinks.materialize(windows.full_summary(A.metrics(spark, d), "1 hour").withColumn("aggregation_mask", F.lit(7)), "aggregates")
     one, other, absent = (catalog.metric_detail(stored, "value", name) for name in ("click", "purchase", "absent"))
     return one.unionByName(other).unionByName(absent)
 
@@ -680,4 +664,4 @@ def fn13_data_uri(spark, d):
     return A.table(spark, d, "documents").where("text is not null").select("doc_id", V.data_uri(F.lit("text/plain"), F.col("text")).alias("uri"))
 
 
-from . import stored  # noqa: E402, F401  (registers its queries)
+from . import artifacts, stored  # noqa: E402, F401  (they register their queries)

@@ -156,7 +156,7 @@ def str08_ready_files(spark, d):
 
 @query(f"{ctes(MW, FULL)} SELECT {KEYS}, max(window_start_unix) AS window_start_unix, arg_max(count, window_start_unix) AS count, sum(count)::BIGINT AS total FROM full_agg GROUP BY {KEYS}")
 def join09_catalog_with_latest(spark, d):
-    s = windows.full_summary(A.metrics(spark, d), "1 hour")
+    s = windows.mergeable_summary(A.metrics(spark, d), "1 hour")
     last = catalog.latest(s, windows.KEY, ["window_start_unix"]).select(*windows.KEY, "window_start_unix", "count")
     return s.groupBy(*windows.KEY).agg(F.sum("count").alias("total")).join(last, windows.KEY)
 
@@ -197,12 +197,6 @@ def art07_stats_of_stored(spark, d):
     return analyzers.stats(v, windows.KEY).select(*windows.KEY, "count", "mean", "median", "min", "max", "std")
 
 
-@query(f"WITH {ELLIPSE} SELECT metric_name, count AS points, cx, cy, 64 AS outline FROM e", "cx cy")
-def art12_scatter_series(spark, d):
-    o = analyzers.outline(analyzers.ellipse(A.points(spark, d), ["metric_name"]))
-    return o.select("metric_name", F.col("count").alias("points"), "cx", "cy", F.size("outline").alias("outline"))
-
-
 # --- state, stores ---
 @query(f"{ctes(A.LIFECYCLE_SQL)} SELECT task_id, lower(substr(arg_max(event_type, (ts, event_type)), 6)) AS status FROM life WHERE task_id = (SELECT max(o_orderkey) FROM orders) GROUP BY 1")
 def life03_task_by_id(spark, d):

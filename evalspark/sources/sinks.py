@@ -18,6 +18,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{where}/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: its lineage ends there, and whoever reads it twice computes it once."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_by_day(summaries: DataFrame, path: str) -> None:
     """Parquet by day of the window; days that are written again replace what was there, others stay. A large day is dealt to several tasks."""
     day = F.date_format(F.timestamp_seconds("window_start_unix"), "yyyy-MM-dd")
