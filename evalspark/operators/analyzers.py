@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.values import FLAGS, Z_ANALYZER, Z_READ, finite, parse_bool, wilson, z_of
-from .ranks import at_ranks, between, join_groups, quantile_ranks
+from .ranks import at_ranks, between, join_groups, positions, quantile_ranks
 
 
 def stats(df: DataFrame, keys: list[str], value: str = "num") -> DataFrame:
@@ -57,6 +57,16 @@ def outliers(df: DataFrame, keys: list[str], value: str = "num", factor: float =
     return bounds.join(n, keys, "left").withColumn("outlier_count", F.coalesce("outlier_count", F.lit(0))).withColumn("fraction", F.col("outlier_count") / F.col("count"))
 
 
+def outlier_rows(df: DataFrame, keys: list[str], order: list[str], value: str = "num", factor: float = 1.5) -> DataFrame:
+    """(keys, index, value): the values outside their group's bounds, each with its place among all values of the group, missing
+    ones included, in ``order``. Groups of under four finite values have none. Places of rows that are equal in ``order`` follow
+    no rule, so ``order`` should tell all rows of a group apart."""
+    placed = positions(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, "index")
+    bounds = outliers(df, keys, value, factor).where("count >= 4").select(*keys, "lower", "upper")
+    rows = join_groups(placed, bounds, keys)
+    return rows.where(finite(F.col(value)) & ((F.col(value) < F.col("lower")) | (F.col(value) > F.col("upper")))).select(*keys, "index", F.col(value).alias("value"))
+
+
 def tally(df: DataFrame, keys: list[str], value: str, top: int = 20) -> DataFrame:
     """The most frequent labels of a group, ties by label."""
     n = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("string").alias("label")).agg(F.count("*").alias("n"))

@@ -112,3 +112,18 @@ def row_before(df: DataFrame, keys: list[str], order: list[str], columns: list[s
     w = W.partitionBy(*keys, "_block").orderBy(*order)
     out = join_groups(df.withColumns({"_near": F.lag(row).over(w), "_first": F.row_number().over(w) == 1}), last, [*keys, "_block"])
     return out.withColumn("_before", F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_near"))).drop("_block", "_near", "_first", "_carried")
+
+
+def positions(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """df with each row's place in its group, from 0, in ``order`` (nulls first). Rows that are equal there come in any order.
+
+    Rows are dealt by range of (keys, order), which splits a hot group as any other, and sorted within each range; a group's
+    place in a range follows from the counts of the ranges before, one row each. No task sorts a group. The ranges are written
+    to the shared folder once, so that all that reads them sees the same.
+    """
+    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn("_id", F.monotonically_increasing_id())
+    rows = materialize(ranged, "ranged").withColumn("_range", F.shiftright("_id", 33))
+    sizes = rows.groupBy(*keys, "_range").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = F.sum("_n").over(W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    offsets = sizes.select(*keys, "_range", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_offset"))
+    return join_groups(rows, offsets, [*keys, "_range"]).withColumn(name, F.col("_id") + F.col("_offset")).drop("_id", "_range", "_offset")

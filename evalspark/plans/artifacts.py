@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..operators import analyzers, dispatch
+from ..operators import analyzers, dispatch, processors
 from ..sources import adapters as A
 from ..sources import arrays, sinks
 from .registered import ctes, query
@@ -137,3 +137,60 @@ def art12_scatter_series(spark, d):
     """The centre and the points of the outline at two deviations."""
     o = analyzers.outline(analyzers.ellipse(A.points(spark, d), ["metric_name"]))
     return o.select("metric_name", F.col("count").alias("points"), "cx", "cy", text(F.col("outline.x"), 3).alias("x"), text(F.col("outline.y"), 1).alias("y"))
+
+
+@query("""WITH p AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS index FROM events),
+q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)
+SELECT event_type, index, value FROM p JOIN q USING (event_type) WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""", "value")
+def anl03_outlier_places(spark, d):
+    """Place and value of every outlier, in order of time within its group."""
+    return analyzers.outlier_rows(A.table(spark, d, "events"), ["event_type"], ["ts", "event_id"], "value")
+
+
+class TextSize:
+    """A processor of texts, for the query: their size in bytes and lines. It refuses texts of some lengths, as faulty files are."""
+
+    name, version = "text_size", "1.0.0"
+
+    def initialize(self, settings):
+        self.modulus = int(settings.get("modulus", 7))
+
+    def run(self, content, settings):
+        if len(content) % self.modulus == 3:
+            raise ValueError(f"cannot read {len(content)} bytes")
+        lines = content.count(b"\n")
+        note = processors.Artifact("size.txt", "text/plain", f"{len(content)} bytes, {lines} lines".encode() if lines else b"")
+        return processors.Result({"n_bytes": processors.Measurement(len(content), 3, {"unit": "bytes"}), "even": processors.Measurement(len(content) % 2 == 0, 16), "lines": lines}, (note,))
+
+
+JOB_SQL = f"""WITH {A.ROUTES_SQL},
+t AS (SELECT doc_id AS task_id, 'dir' || (doc_id % 25) AS directory_key, text, strlen(text)::BIGINT AS n, (length(text) - length(replace(text, chr(10), '')))::BIGINT AS k FROM documents),
+r AS (SELECT t.*, algorithm, CASE WHEN algorithm IS NULL THEN 'KeyError' WHEN algorithm = 'model_asia' THEN 'KeyError' WHEN text IS NULL THEN 'FileNotFoundError' WHEN n % 7 = 3 THEN 'ValueError' END AS bad,
+  CASE WHEN algorithm IS NULL THEN 'no route for ' || directory_key WHEN algorithm = 'model_asia' THEN 'processor model_asia 1.0.0 is not registered' WHEN text IS NULL THEN 'no content' WHEN n % 7 = 3 THEN 'cannot read ' || n || ' bytes' END AS error FROM t LEFT JOIN routes USING (directory_key)),
+h AS (SELECT *, CASE WHEN k > 0 THEN sha256(n || ' bytes, ' || k || ' lines') END AS hash FROM r)
+SELECT task_id, 'TASK_STARTED' AS event_type, algorithm AS processor_name, NULL AS metric_name, NULL AS value, NULL::INT AS mask, NULL AS unit, NULL AS content_hash, NULL::INT AS metrics, NULL AS refs, NULL AS error, NULL AS error_type FROM h WHERE algorithm <> 'model_asia'
+UNION ALL SELECT task_id, 'TASK_FAILED', algorithm, NULL, NULL, NULL, NULL, NULL, NULL, NULL, error, bad FROM h WHERE bad IS NOT NULL
+UNION ALL SELECT task_id, 'ARTIFACT_STORED', algorithm, NULL, NULL, NULL, NULL, hash, NULL, NULL, NULL, NULL FROM h WHERE bad IS NULL AND hash IS NOT NULL
+UNION ALL SELECT task_id, 'RESULT_PRODUCED', algorithm, NULL, NULL, NULL, NULL, NULL, 3, coalesce(hash, ''), NULL, NULL FROM h WHERE bad IS NULL
+UNION ALL SELECT task_id, 'METRIC_EMITTED', algorithm, m.name, CASE m.name WHEN 'n_bytes' THEN n::VARCHAR WHEN 'even' THEN (n % 2 = 0)::VARCHAR WHEN 'lines' THEN k::VARCHAR END, m.mask, m.unit, NULL, NULL, NULL, NULL, NULL
+  FROM h, (VALUES ('n_bytes', 3, 'bytes'), ('even', 16, NULL), ('lines', 0, NULL), ('task_duration_ms', 3, 'milliseconds')) AS m(name, mask, unit) WHERE bad IS NULL
+UNION ALL SELECT task_id, 'TASK_COMPLETED', algorithm, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM h WHERE bad IS NULL"""
+
+
+@query(JOB_SQL)
+def udf02_processor_job(spark, d):
+    """All documents as tasks through the processors of their routes: every event of the job, read from its three outputs.
+    Measured durations are left out, as no two runs agree on them."""
+    registry = processors.Registry()
+    for region in ("africa", "america", "europe", "middle east"):
+        registry.add(type("TextSizeOfRegion", (TextSize,), {"name": f"model_{region}"}))
+    tasks = A.table(spark, d, "documents").select(F.col("doc_id").alias("task_id"), F.concat(F.lit("dir"), (F.col("doc_id") % 25).cast("string")).alias("directory_key"), F.col("text").cast("binary").alias("content"))
+    job = processors.run_job(tasks, A.routes(spark, d), registry)
+    told = job.events.where("event_type not in ('METRIC_EMITTED', 'ARTIFACT_STORED')").drop("metric_name", "value", "aggregation_mask", "meta", "content_hash", "name", "mime")
+    measured = job.measurements.withColumn("event_type", F.lit("METRIC_EMITTED")).withColumn("value", F.when(F.col("metric_name") != "task_duration_ms", F.col("value")))
+    stored = job.artifacts.withColumn("event_type", F.lit("ARTIFACT_STORED")).join(job.events.where("event_type = 'TASK_STARTED'").select("task_id", "processor_name"), "task_id")
+    every = told.unionByName(measured, allowMissingColumns=True).unionByName(stored.drop("data"), allowMissingColumns=True)
+    return every.select(
+        "task_id", "event_type", "processor_name", "metric_name", "value", F.col("aggregation_mask").alias("mask"), F.col("meta")["unit"].alias("unit"), "content_hash", F.col("metric_count").alias("metrics"),
+        F.array_join("artifact_refs", ",").alias("refs"), "error", "error_type",
+    )

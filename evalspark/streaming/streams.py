@@ -1,15 +1,22 @@
-"""Structured Streaming forms: windowed summaries, deduplication, task state and chain tails."""
+"""Structured Streaming forms: windowed summaries, deduplication, task state and chain tails.
+
+State that lives as long as the stream is bounded by timers, or by one small row a key. Stateful processors need the RocksDB
+state store (``spark.sql.streaming.stateStore.providerClass``).
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.lifecycle import STATUS, normal_names
 from ..operators.windows import KEY
 
 
@@ -24,36 +31,97 @@ def deduplicated(stream: DataFrame, keys: list[str], ttl: str) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", ttl).dropDuplicatesWithinWatermark(keys)
 
 
+def _ordered(frames: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
+    """The rows of one key in one micro-batch, in order. A trigger bounds how many there are."""
+    return pd.concat(list(frames)).sort_values(by, kind="stable")
+
+
+STATE = "status string, directory_key string, processor_name string, created_at long, started_at long, completed_at long, duration_ms double, error string, events long, at long"
+FIELDS = [f.split()[0] for f in STATE.split(", ")]
+STATES = f"task_id long, {STATE}, history string"
+
+
 class TaskStates(StatefulProcessor):
-    """The last status and the number of events of a task, emitted at every change."""
+    """A task's state after each of its events, with the last ``cap`` events and the true number of all.
+
+    The value state holds the fields, the list state the history. An event-time timer ``ttl`` after the latest event ends the
+    task: a last row of status ``expired``, and nothing is held any more. Events before a creation are ignored; a second
+    creation starts anew.
+    """
+
+    def __init__(self, cap: int, ttl: int):
+        self.cap, self.ttl = cap, ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("task", "status string, events long, at long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timer: Any) -> Iterator[pd.DataFrame]:
-        status, events, at = self.state.get() if self.state.exists() else (None, 0, -1)
-        for frame in rows:
-            for row in frame.sort_values(["at", "event_type"]).itertuples():
-                events += 1
-                if row.at >= at:
-                    status, at = row.event_type.removeprefix("TASK_").lower(), row.at
-        self.state.update((status, events, at))
-        yield pd.DataFrame({"task_id": [key[0]], "status": [status], "events": [events]})
+        self.handle = handle
+        self.state = handle.getValueState("task", STATE)
+        self.history = handle.getListState("history", "type string, at long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        now = dict(zip(FIELDS, self.state.get(), strict=True)) if self.state.exists() else None
+        held = [tuple(h) for h in self.history.get()] if now else []
+        before, out = (now or {}).get("at"), []
+        none = lambda v: None if pd.isna(v) else v
+        for row in _ordered(rows, ["at", "event_type"]).itertuples():
+            if row.event_type == "TASK_CREATED":
+                now, held = dict.fromkeys(FIELDS) | {"directory_key": none(row.directory_key), "created_at": row.at, "events": 0, "at": row.at}, []
+            if now is None or row.event_type not in STATUS:
+                continue
+            if row.at >= now["at"] or now["status"] is None:
+                now |= {"status": STATUS[row.event_type], "at": row.at}
+            if row.event_type == "TASK_STARTED":
+                now |= {"started_at": row.at, "processor_name": none(row.processor_name)}
+            elif row.event_type == "TASK_COMPLETED":
+                now |= {"completed_at": row.at, "duration_ms": none(row.duration_ms)}
+            elif row.event_type == "TASK_FAILED":
+                now |= {"completed_at": row.at, "error": none(row.error)}
+            now["events"] += 1
+            held = [*held, (row.event_type, int(row.at))][-self.cap :]
+            out.append((key[0], *now.values(), json.dumps(held)))
+        if now is not None:
+            self.state.update(tuple(now.values()))
+            self.history.put(held)
+            if before is not None and before != now["at"]:
+                self.handle.deleteTimer((before + self.ttl) * 1000)
+            self.handle.registerTimer((int(now["at"]) + self.ttl) * 1000)
+        yield self._rows(out)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        now = dict(zip(FIELDS, self.state.get(), strict=True)) if self.state.exists() else None
+        out = []
+        if now and (now["at"] + self.ttl) * 1000 <= expiredTimerInfo.getExpiryTimeInMs():
+            out.append((key[0], *(now | {"status": "expired"}).values(), json.dumps([tuple(h) for h in self.history.get()])))
+            self.state.clear()
+            self.history.clear()
+        yield self._rows(out)
+
+    def _rows(self, out: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame(out, columns=["task_id", *FIELDS, "history"])
+        for c in ("task_id", "created_at", "started_at", "completed_at", "events", "at"):
+            frame[c] = frame[c].astype("Int64")
+        return frame
 
     def close(self) -> None:
         pass
 
 
 class ChainTails(StatefulProcessor):
-    """Breaks of a source's chain as they arrive; the tail is kept between batches, events of a batch are taken by seq."""
+    """Breaks of a source's chain as they arrive; the tail is kept between batches, events of a batch are taken by seq.
+
+    A new query may begin with the tails that an earlier one held (``saved_tails``), as its initial state.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.tail = handle.getValueState("tail", "hash string, events long")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timer: Any) -> Iterator[pd.DataFrame]:
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
+        row = initialState.iloc[0]
+        self.tail.update((row["last_hash"], int(row["event_count"])))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         tail, events = self.tail.get() if self.tail.exists() else (None, 0)
         broken = []
-        for row in pd.concat(list(rows)).sort_values(["seq", "content_hash"]).itertuples():
+        for row in _ordered(rows, ["seq", "content_hash"]).itertuples():
             if events and row.prev_hash != tail:
                 broken.append((key[0], row.seq))
             tail, events = row.content_hash, events + 1
@@ -64,10 +132,76 @@ class ChainTails(StatefulProcessor):
         pass
 
 
-def task_states(stream: DataFrame) -> DataFrame:
-    rows = stream.select("task_id", "event_type", F.unix_timestamp("ts").alias("at"))
-    return rows.groupBy("task_id").transformWithStateInPandas(TaskStates(), "task_id long, status string, events long", "Update", "None")
+class FirstOfTtl(StatefulProcessor):
+    """Rows accepted when none of their key was within ``ttl`` seconds before; repeats don't extend it. Keys that stay quiet
+    are forgotten: an event-time timer clears the last accepted time once it cannot matter any more."""
+
+    def __init__(self, ttl: int):
+        self.ttl = ttl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.accepted = handle.getValueState("accepted", "at long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        last = self.accepted.get()[0] if self.accepted.exists() else None
+        before, kept = last, []
+        times = np.unique(np.concatenate([f["micros"].to_numpy() for f in rows]))
+        at = 0
+        while at < len(times):
+            if last is not None and times[at] < last + self.ttl * 1_000_000:
+                at = int(np.searchsorted(times, last + self.ttl * 1_000_000))  # jumps over all that is held back
+                continue
+            last = int(times[at])
+            kept.append((*key, last))
+            at += 1
+        if last != before:
+            self.accepted.update((last,))
+            if before is not None:
+                self.handle.deleteTimer(before // 1000 + self.ttl * 1000)
+            self.handle.registerTimer(last // 1000 + self.ttl * 1000)
+        yield pd.DataFrame(kept, columns=[*(f"k{i}" for i in range(len(key))), "accepted_us"])
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        if self.accepted.exists() and self.accepted.get()[0] // 1000 + self.ttl * 1000 <= expiredTimerInfo.getExpiryTimeInMs():
+            self.accepted.clear()
+        yield pd.DataFrame([], columns=[*(f"k{i}" for i in range(len(key))), "accepted_us"])
+
+    def close(self) -> None:
+        pass
+
+
+def task_states(stream: DataFrame, cap: int = 100, ttl: int = 86_400, delay: str = "10 seconds") -> DataFrame:
+    """``STATES`` for each event of a stream of (task_id, event_type, ts, directory_key, processor_name, duration_ms, error).
+
+    Older JOB_* names are read as TASK_*. Times are seconds; history is a JSON list of [type, at]. Rows behind the watermark
+    are dropped, null task ids make one task, and rows of other types are ignored.
+    """
+    rows = normal_names(stream).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    rows = rows.select("task_id", "event_type", "ts", F.unix_timestamp("ts").alias("at"), "directory_key", "processor_name", "duration_ms", "error")
+    return rows.groupBy("task_id").transformWithStateInPandas(TaskStates(cap, ttl), STATES, "Append", "EventTime")
+
+
+def chain_breaks(stream: DataFrame, tails: DataFrame | None = None) -> DataFrame:
+    """(source_id, seq) of events whose previous hash isn't the one before them. ``tails`` (source_id, last_hash, event_count)
+    is what is known already: from ``saved_tails``, or from a batch's ``audit.state``. A source without a tail may start anywhere."""
+    initial = tails.select("source_id", "last_hash", "event_count").groupBy("source_id") if tails is not None else None
+    return stream.groupBy("source_id").transformWithStateInPandas(ChainTails(), "source_id long, seq long", "Append", "None", initialState=initial)
+
+
+def saved_tails(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(source_id, last_hash, event_count): the tails that a stream of ``chain_breaks`` held when it stopped, read from its checkpoint."""
+    rows = spark.read.format("statestore").option("stateVarName", "tail").load(checkpoint)
+    return rows.select(F.col("key.source_id").alias("source_id"), F.col("value.hash").alias("last_hash"), F.col("value.events").alias("event_count"))
 
 
-def chain_breaks(stream: DataFrame) -> DataFrame:
-    return stream.groupBy("source_id").transformWithStateInPandas(ChainTails(), "source_id long, seq long", "Update", "None")
+def accepted_by_ttl(stream: DataFrame, keys: list[str], ttl: int, delay: str = "10 seconds") -> DataFrame:
+    """(keys, accepted_us) by the exact rule of ``lifecycle.deduplicate_ttl``, for rows that come in order of time from batch to
+    batch (rows of one batch may come in any). Rows without a time are left out."""
+    if ttl < 1:
+        raise ValueError("ttl must be one second at least")
+    rows = stream.withColumn("ts", F.col("ts").cast("timestamp")).where("ts is not null").withWatermark("ts", delay)
+    types = dict(stream.dtypes)
+    out = ", ".join(f"k{i} {types[k]}" for i, k in enumerate(keys)) + ", accepted_us long"
+    made = rows.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], "ts", F.unix_micros("ts").alias("micros")).groupBy(*[f"k{i}" for i in range(len(keys))]).transformWithStateInPandas(FirstOfTtl(ttl), out, "Append", "EventTime")
+    return made.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], "accepted_us")
