@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 # The aggregation flags, in order of their bits.
 FLAGS = {"STATS": 1, "HISTOGRAM": 2, "OUTLIERS": 4, "TALLY": 8, "RATE": 16, "SCATTER_ELLIPSE": 32, "DENSITY_MAP": 64, "RAW": 128}
 
+# What identifiers of each kind look like.
+IDENTIFIERS = {
+    "metric": "^[a-zA-Z][a-zA-Z0-9_]{0,63}$",
+    "processor": "^[a-zA-Z][a-zA-Z0-9_-]{0,63}$",
+    "version": "^[a-zA-Z0-9][a-zA-Z0-9._-]{0,31}$",
+    "task": "^[a-zA-Z0-9_-]{1,64}$",
+}
+
 # Words read as true and as false.
 TRUE_WORDS = ["true", "t", "yes", "y", "1", "ok", "pass"]
 FALSE_WORDS = ["false", "f", "no", "n", "0", "fail"]
@@ -48,6 +56,11 @@ def finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
 
 
+def valid_identifier(c: Column, kind: str) -> Column:
+    """Whether a text is an identifier of a kind; null is none."""
+    return F.coalesce(c.rlike(IDENTIFIERS[kind]), F.lit(False))
+
+
 def has_flag(mask: Column, flag: str) -> Column:
     return mask.bitwiseAND(FLAGS[flag]) != 0
 

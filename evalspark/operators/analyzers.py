@@ -67,6 +67,19 @@ def outlier_rows(df: DataFrame, keys: list[str], order: list[str], value: str =
     return rows.where(finite(F.col(value)) & ((F.col(value) < F.col("lower")) | (F.col(value) > F.col("upper")))).select(*keys, "index", F.col(value).alias("value"))
 
 
+def tally_facts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, count, missing, unique) of labels. Labels are counted first, so a hot label is a row a task."""
+    n = df.groupBy(*keys, F.col(value).cast("string").alias("_label")).agg(F.count("*").alias("_n"))
+    there = F.col("_label").isNotNull()
+    return n.groupBy(*keys).agg(F.coalesce(F.sum(F.when(there, F.col("_n"))), F.lit(0)).alias("count"), F.coalesce(F.sum(F.when(~there, F.col("_n"))), F.lit(0)).alias("missing"), F.count(F.when(there, 1)).alias("unique"))
+
+
+def tally_by_label(df: DataFrame, keys: list[str], value: str, top: int = 20) -> DataFrame:
+    """(keys, label, n, rank): the first labels of a group in the order of the labels themselves."""
+    n = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("string").alias("label")).agg(F.count("*").alias("n"))
+    return n.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy("label"))).where(F.col("rank") <= top)
+
+
 def tally(df: DataFrame, keys: list[str], value: str, top: int = 20) -> DataFrame:
     """The most frequent labels of a group, ties by label."""
     n = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("string").alias("label")).agg(F.count("*").alias("n"))
@@ -105,6 +118,19 @@ def outline(ellipses: DataFrame, sigma: float = 2.0, points: int = 64) -> DataFr
     return ellipses.withColumn("outline", F.transform(t, at))
 
 
+def density_within(df: DataFrame, keys: list[str], grid: int, x: tuple[float, float], y: tuple[float, float]) -> DataFrame:
+    """``density`` over given ranges instead of those of the data: points outside are not counted. Both ranges hold their ends."""
+    if not (x[0] < x[1] and y[0] < y[1]):
+        raise ValueError("a range needs two different ends, the lower first")
+    grid = max(8, grid)
+    ok = df.where(F.col("x").between(*x) & F.col("y").between(*y))
+    at = lambda c, r: F.least(F.floor((F.col(c) - F.lit(r[0])) / F.lit(r[1] - r[0]) * grid), F.lit(grid - 1)).cast("int")
+    cells = ok.groupBy(*keys, at("x", x).alias("ix"), at("y", y).alias("iy")).agg(F.count("*").alias("n"))
+    totals = cells.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    area = (x[1] - x[0]) / grid * ((y[1] - y[0]) / grid)
+    return join_groups(cells, totals, keys).select(*keys, "ix", "iy", "n", (F.col("n") / (F.col("_total") * F.lit(area))).alias("density"))
+
+
 def density(df: DataFrame, keys: list[str], grid: int = 64, pad: float = 0.0) -> DataFrame:
     """(keys, ix, iy, n, density): the cells of a grid that hold points; a flat range is widened by one half (or ``pad``)."""
     grid = max(8, grid)

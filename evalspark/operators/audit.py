@@ -47,6 +47,43 @@ def state(log: DataFrame) -> DataFrame:
     return log.groupBy("source_id").agg(F.max_by("content_hash", F.struct("seq", "content_hash")).alias("last_hash"), F.count("*").alias("event_count"))
 
 
+def state_after_resets(log: DataFrame, resets: DataFrame | None = None) -> DataFrame:
+    """``state`` where the chains of some sources began anew: what came up to a source's last reset (source_id, seq) is
+    forgotten. A reset whose source_id is null is one of all sources. A source with nothing after its reset has no state."""
+    if resets is None:
+        return state(log)
+    own = resets.where("source_id is not null").groupBy("source_id").agg(F.max("seq").alias("_own"))
+    every = resets.where("source_id is null").agg(F.max("seq")).first()[0]  # one number
+    last = F.greatest("_own", F.lit(every).cast("long"))
+    return state(log.join(own, "source_id", "left").where(last.isNull() | (F.col("seq") > last)).drop("_own"))
+
+
+def chain_status(sources: DataFrame, log: DataFrame, copies: DataFrame) -> DataFrame:
+    """(source_id, status, event_count, message) of every source: valid or invalid by its stored events; kafka_only where only
+    ``copies`` (source_id) of its events wait in the topic; no_events else. Sources are told once; null ids are left out."""
+    v = verify(log).withColumn("_bad", F.col("content_errors") + F.col("link_errors")).select("source_id", F.col("event_count").alias("_n"), "_bad")
+    waiting = copies.groupBy("source_id").agg(F.count("*").alias("_waiting"))
+    s = sources.where("source_id is not null").select("source_id").distinct().join(v, "source_id", "left").join(waiting, "source_id", "left")
+    told = F.when(F.col("_n") > 0, F.when(F.col("_bad") == 0, "valid").otherwise("invalid")).when(F.col("_waiting") > 0, "kafka_only").otherwise("no_events")
+    s = s.withColumn("status", told)
+    message = (
+        F.when(told == "valid", "chain verified")
+        .when(told == "invalid", F.concat(F.lit("chain check failed: "), F.col("_bad").cast("string"), F.lit(" errors")))
+        .when(told == "kafka_only", F.concat(F.col("_waiting").cast("string"), F.lit(" events wait in the topic")))
+        .otherwise("no events")
+    )
+    return s.select("source_id", "status", F.coalesce("_n", "_waiting", F.lit(0)).alias("event_count"), message.alias("message"))
+
+
+def topic_statistics(records: DataFrame) -> DataFrame:
+    """(partition, objects, low, high, span, last_time) of records (partition, offset, ts), high being one past the last offset,
+    and a last row of all partitions (partition null) with the sum of spans. A topic without records has that row alone, of zeros."""
+    one = records.groupBy("partition").agg(F.count("*").alias("objects"), F.min("offset").alias("low"), (F.max("offset") + 1).alias("high"), F.max("ts").alias("last_time"))
+    one = one.withColumn("span", F.col("high") - F.col("low"))
+    every = one.agg(F.coalesce(F.sum("objects"), F.lit(0)).alias("objects"), F.coalesce(F.sum("span"), F.lit(0)).alias("span"), F.max("last_time").alias("last_time"), F.count("*").alias("partitions"))
+    return one.withColumn("partitions", F.lit(1).cast("long")).unionByName(every, allowMissingColumns=True)
+
+
 def status(log: DataFrame) -> DataFrame:
     v = verify(log)
     return v.select("source_id", F.when(F.col("event_count") == 0, "no_events").when(F.col("valid"), "valid").otherwise("invalid").alias("status"), "event_count")

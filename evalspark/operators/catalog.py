@@ -62,3 +62,15 @@ def retention(objects: DataFrame, days: dict[str, int], as_of_us: str) -> DataFr
     """Objects that stay: younger than their bucket's limit, or in a bucket without one (0)."""
     limit = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for p in days.items() for x in p]), F.col("bucket")), F.lit(0)) if days else F.lit(0)
     return objects.where((limit == 0) | (F.col("stored_us") >= F.col(as_of_us) - limit.cast("long") * 86_400_000_000))
+
+
+def lookup(artifacts: DataFrame, wanted: DataFrame, key: str = "content_hash") -> DataFrame:
+    """(key, found, objects, size): every wanted key once, also those that no artifact has. A null key is never found."""
+    have = artifacts.groupBy(key).agg(F.count("*").alias("objects"), F.max("size").alias("size"))
+    told = wanted.select(key).distinct().join(have, key, "left")
+    return told.select(key, F.col("objects").isNotNull().alias("found"), F.coalesce("objects", F.lit(0)).alias("objects"), "size")
+
+
+def delete(artifacts: DataFrame, wanted: DataFrame, key: str = "content_hash") -> tuple[DataFrame, DataFrame]:
+    """What stays when all objects under the wanted keys go, and for each key whether it was there (``lookup``)."""
+    return artifacts.join(wanted.select(key).distinct(), key, "left_anti"), lookup(artifacts, wanted, key)

@@ -40,6 +40,23 @@ def change_log(events: DataFrame, keep: int = 100) -> DataFrame:
     return events.select("task_id", "event_type", F.unix_timestamp("ts").alias("at"), status_of().alias("status"), F.row_number().over(w).alias("event_no"), F.size(F.collect_list("event_type").over(w.rowsBetween(1 - keep, 0))).alias("held"), F.lag("event_type").over(w).alias("before"))
 
 
+def event_history(events: DataFrame, keep: int = 100) -> DataFrame:
+    """A row for each event with the last ``keep`` events of its task, that one included, and the true number of all so far.
+    An array is as long as ``keep`` says; ties in time are ordered by type. Null task ids make one task."""
+    w = W.partitionBy("task_id").orderBy("ts", "event_type")
+    held = F.collect_list(F.struct(F.col("event_type").alias("type"), F.unix_timestamp("ts").alias("at"))).over(w.rowsBetween(1 - keep, 0))
+    return events.select("task_id", "event_type", "ts", F.row_number().over(w).alias("event_count"), held.alias("history"))
+
+
+def route_faults(routes: DataFrame, registered: DataFrame) -> DataFrame:
+    """(algorithm, version, fault): ``unregistered`` for what routes name and the registry lacks, ``duplicate`` for what the
+    registry has more than once. Nulls are names like others; each fault is told once."""
+    names = ["algorithm", "version"]
+    missing = join_groups(routes.select(*names).distinct(), registered.select(*names).distinct(), names, "left_anti").withColumn("fault", F.lit("unregistered"))
+    twice = registered.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").select(*names, F.lit("duplicate").alias("fault"))
+    return missing.unionByName(twice)
+
+
 def task_list(state: DataFrame, status: str | None, limit: int) -> DataFrame:
     """Newest first, tasks without a creation time last."""
     some = state.where(F.col("status") == status) if status else state

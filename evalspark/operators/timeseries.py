@@ -36,6 +36,11 @@ def instant(samples: DataFrame, keys: list[str]) -> DataFrame:
     return samples.groupBy(*keys).agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"), F.max(F.unix_micros("ts")).alias("ts_us"))
 
 
+def total(samples: DataFrame, keys: list[str]) -> DataFrame:
+    """(total): the sum of the last samples of all series, in one row; 0 if there are none."""
+    return instant(samples, keys).agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("total"))
+
+
 def pipeline_status(gauges: DataFrame, keys: list[str]) -> DataFrame:
     """healthy or stopped, by the last sample of the gauge ``up`` alone, and how many workers of the pool are at work."""
     last = instant(gauges, [*keys, "name"])
