@@ -9,10 +9,11 @@ is per language. The frequent phrases of up to ``longest`` words are found in pa
    mass, it holds floor(N / threshold) + 1 counters: what all counters lose together is then less than the threshold, so every
    n-gram with at least ``threshold`` occurrences keeps a counter above zero. Summaries are mergeable: should Spark split a
    partition in two, no frequent n-gram loses its counter in both. This runs for words, then for pairs of words that may be
-   frequent, then for longer n-grams made of such pairs only. What survives goes into bitmaps of fixed size, which thin the
-   next passes; codes that fall together, or a bitmap that fills up, let more through and lose nothing.
-2. Exact counts. Every n-gram that the bitmaps let through is counted by its text, added up in tasks before the shuffle, and
-   those below the threshold go.
+   frequent, then for longer n-grams made of such pairs only.
+2. Exact counts. What survives goes into a bitmap of fixed size; the blocks are read again, thinned by it and added up exactly
+   by code in each partition. Codes below the threshold go; the rest make the bitmaps by which the next rounds and the last
+   pass choose. Codes that fall together, or a bitmap that fills up, let more through and lose nothing. In the last pass the
+   n-grams that are let through are counted by their texts, added up in tasks before the shuffle, and those below go.
 
 Edge cases: a null or empty text has no words; a null language is ``und``. Repeated rows count as often as they come. Equal
 scores are ordered by count, then by the phrase's bytes. Other columns are not read; an empty table gives an empty result.
@@ -25,6 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -195,14 +197,74 @@ def _summaries(threshold: int) -> Callable:
     return run
 
 
-def _survivors(texts: DataFrame, ks: range, maps: list, parts: int, threshold: int) -> DataFrame:
-    """(code): a table of the codes of all n-grams of these lengths that may have ``threshold`` occurrences, and of few others."""
-    blocks = materialize(texts.mapInArrow(_blocks(ks, maps, parts, threshold), BLOCKS), "blocks")
+def _thinned(survivors: Broadcast) -> Callable:
+    """Blocks without the codes that did not survive."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = survivors.value
+        for batch in batches:
+            parts, blocks = [], []
+            for part, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                deltas, n = _unpacked(block)
+                codes = np.cumsum(deltas)
+                stay = in_bitmap(bits, codes)
+                if stay.any():
+                    parts.append(part)
+                    blocks.append(_packed(np.diff(codes[stay], prepend=0), n[stay]))
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blocks, pa.binary())], ["part", "block"])
+
+    return run
+
+
+def _totals(threshold: int) -> Callable:
+    """The codes of each partition whose counts add up to the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, waiting, size = None, [], 0
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            return _added(np.concatenate([c for c, _ in waiting]), np.concatenate([n for _, n in waiting]))
+
+        def out() -> pa.RecordBatch:
+            codes, counts = added()
+            return pa.RecordBatch.from_arrays([pa.array(codes[counts >= threshold])], ["code"])
+
+        for batch in batches:
+            for part, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if part != now:
+                    if waiting:
+                        yield out()
+                    now, waiting, size = part, [], 0
+                deltas, n = _unpacked(block)
+                waiting.append((np.cumsum(deltas), n))
+                size += len(n)
+                if size > 1 << 20 and size > 2 * len(waiting[0][0]):
+                    waiting = [added()]
+                    size = len(waiting[0][0])
+        if waiting:
+            yield out()
+
+    return run
+
+
+def _survivors(blocks: DataFrame, threshold: int) -> DataFrame:
+    """(code): the codes of all n-grams of ``blocks`` that may have ``threshold`` occurrences, and of some others."""
     mass = blocks.where(~F.col("sure")).groupBy("part").agg(F.sum("mass").alias("total"))
     dealt = blocks.repartition("part").join(mass, "part", "left").select("part", "sure", "total", "block").sortWithinPartitions("part")
     return materialize(dealt.mapInArrow(_summaries(threshold), "code long"), "survivors")
 
 
+def _bits(codes: DataFrame) -> Broadcast:
+    return codes.sparkSession.sparkContext.broadcast(bitmap(codes, "code", bits_for(4 * codes.count())))
+
+
+def _frequent(texts: DataFrame, ks: range, maps: list, parts: int, threshold: int) -> DataFrame:
+    """(code): a table of the codes of these lengths with ``threshold`` occurrences or more."""
+    blocks = materialize(texts.mapInArrow(_blocks(ks, maps, parts, threshold), BLOCKS), "blocks")
+    thin = blocks.select("part", "block").mapInArrow(_thinned(_bits(_survivors(blocks, threshold))), "part int, block binary")
+    return materialize(thin.repartition("part").sortWithinPartitions("part").mapInArrow(_totals(threshold), "code long"), "frequent")
+
+
 COUNTS = "lang string, words int, phrase string, n long"
 
 
@@ -259,14 +321,12 @@ def _all_places(words: Words, longest: int, bits: list[np.ndarray]) -> Iterator[
 def frequent_phrases(docs: DataFrame, threshold: int = 100, longest: int = 5) -> DataFrame:
     """(lang, words, phrase, n): every phrase of one to ``longest`` words with ``threshold`` occurrences or more, counted
     exactly; and for each language a row of no words that has the number of all its words."""
-    spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text")).cast("long")).first()[0] or 0
     parts = max(16, size // (5 * PART_MASS))
     maps: list = []
     for ks in (range(1, 2), range(2, 3), range(3, longest + 1)):
-        found = _survivors(texts, ks, maps, parts, threshold)
-        maps.append(spark.sparkContext.broadcast(bitmap(found, "code", bits_for(found.count()))))
+        maps.append(_bits(_frequent(texts, ks, maps, parts, threshold)))
     counted = texts.mapInArrow(_counts(longest, maps), COUNTS).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
     return materialize(counted.where((F.col("n") >= threshold) | (F.col("words") == 0)), "phrases")
 
@@ -288,15 +348,18 @@ def collocations(docs: DataFrame, threshold: int = 100, longest: int = 5, top: i
     cuts = kept.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
     parts = cuts.select("lang", "phrase", "words", "a", "k", F.explode(F.map_from_arrays(F.array(F.lit("l"), F.lit("r")), F.array(F.expr("substring_index(phrase, ' ', k)"), F.expr("substring_index(phrase, ' ', k - words)")))).alias("side", "part"))
     sizes = parts.join(phrases.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f")), ["lang", "part"])
-    cut = sizes.groupBy("lang", "phrase", "words", "a", "k").agg(*(F.max(F.when(F.col("side") == s, F.col("f"))).alias(s) for s in ("l", "r"))).join(totals, "lang")
+    # a language may hold most phrases: its total goes to each of several shares of them
+    salts = max(8, found.count() // 200_000)
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(salts)).cast("int").alias("salt")
+    totals = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    cut = sizes.groupBy("lang", "phrase", "words", "a", "k").agg(*(F.max(F.when(F.col("side") == s, F.col("f"))).alias(s) for s in ("l", "r"))).select("*", salt).join(totals, ["lang", "salt"])
     exact = F.expr("(cast(1000 as decimal(38, 0)) * cast(a as decimal(19, 0)) * cast(n as decimal(19, 0))) div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))")
-    scored = cut.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct(exact.cast("long").alias("score"), "k", "l", "r")).alias("low"))
-    rows = materialize(scored.select("lang", "phrase", "a", "low.l", "low.r", "n", "low.score"), "scores")
+    scored = cut.groupBy("lang", "phrase", "a", "n", "salt").agg(F.min(F.struct(exact.cast("long").alias("score"), "k", "l", "r")).alias("low"))
+    rows = scored.select("lang", "salt", "phrase", "a", "low.l", "low.r", "n", "low.score")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salts = max(1, rows.count() // 200_000)
     # the first of a large language are among the first of its shares, which no single task has to sort whole
     share = Window.partitionBy("lang", "salt").orderBy(*order)
-    first = rows.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(salts))).withColumn("near", F.row_number().over(share)).where(F.col("near") <= top)
+    first = rows.withColumn("near", F.row_number().over(share)).where(F.col("near") <= top)
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 

@@ -90,11 +90,13 @@ def test_survivors_hold_all_frequent(spark, monkeypatch):
     words = [f"w{int(rng.paretovariate(0.8)) % 5000}" for _ in range(30_000)]
     texts = [" ".join(words[i : i + 50]) for i in range(0, len(words), 50)]
     df = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(7)
-    got = collocations._survivors(df, range(1, 2), [], 16, 100)
+    blocks = df.mapInArrow(collocations._blocks(range(1, 2), [], 16, 100), collocations.BLOCKS)
+    got = collocations._survivors(blocks, 100)
     n = collections.Counter(words)
     frequent = sum(c >= 100 for c in n.values())
     assert frequent <= got.distinct().count() < 16 * 30 + len(words) // 100
     assert got.count() == got.distinct().count()
+    assert collocations._frequent(df, range(1, 2), [], 16, 100).count() == frequent
     found = {r.phrase: r.n for r in collocations.frequent_phrases(df.select("text", "lang")).where("words = 1").collect()}
     assert found == {w: c for w, c in n.items() if c >= 100}
 
