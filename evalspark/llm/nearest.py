@@ -122,8 +122,12 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def fit(vectors: DataFrame, k: int, sample: int = SAMPLE) -> Tree | None:
-    """The tree on a sample of at most ``sample`` rows, with calibrated visits."""
-    some = vectors.where("vec_id is not null and embedding is not null").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow().column("embedding").combine_chunks()
+    """The tree on a sample of at most ``sample`` ids, one row of each, with calibrated visits."""
+    rows = vectors.where("vec_id is not null and embedding is not null")
+    ids = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
+    # copies of a row would pass for its neighbours in calibration: each id counts once, with the least of its vectors
+    drawn = rows.join(F.broadcast(ids), "vec_id").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    some = drawn.orderBy(F.xxhash64("vec_id"), "vec_id").toArrow().column("embedding").combine_chunks()
     if not len(some):
         return None
     lengths = np.array([len(v) for v in some])
@@ -192,7 +196,8 @@ def search(vectors: DataFrame, is_query: str, k: int = 5, sample: int = SAMPLE)
             yield pa.RecordBatch.from_arrays([some.column("vec_id"), pa.array([r.tobytes() for r in x], pa.binary()), some.column("q"), pa.array(tree.assign(_unit(x)), pa.int32())], ["vec_id", "v", "q", "leaf"])
 
     indexed = materialize(rows.mapInArrow(index, "vec_id long, v binary, q boolean, leaf int"), "indexed")
-    held = {r["leaf"]: r["n"] for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row for each leaf of the bounded tree
+    # different ids of each leaf, a row for each leaf of the bounded tree; one less counts, as a query's own id may be there
+    held = {r["leaf"]: r["n"] - 1 for r in indexed.select("leaf", "vec_id").distinct().groupBy("leaf").agg(F.count("*").alias("n")).collect()}
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
