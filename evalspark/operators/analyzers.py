@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any, Protocol, Tuple  # noqa: UP035
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.values import FLAGS, Z_ANALYZER, Z_READ, finite, parse_bool, wilson, z_of
 from .ranks import at_ranks, between, join_groups, positions, quantile_ranks
@@ -145,6 +150,73 @@ def density(df: DataFrame, keys: list[str], grid: int = 64, pad: float = 0.0) ->
     return cells.join(ends, keys).select(*keys, "ix", "iy", "n", (F.col("n") / (F.col("total") * area)).alias("density"))
 
 
+class GroupAnalyzer(Protocol):
+    """A user's analyzer of a group: its result's columns, and a state that takes the group's rows an Arrow batch at a time.
+
+    ``merge`` joins the states of two parts of a group. Groups are then cut into parts, which are read side by side, so that
+    a hot group is no longer one task's; without it a group's batches all pass through one task, in no certain order.
+    """
+
+    columns: list[str]  # of the input, that it reads
+    summary: str  # of the result, as DDL
+
+    def start(self) -> Any: ...
+
+    def add(self, state: Any, rows: pa.RecordBatch) -> Any: ...
+
+    def result(self, state: Any) -> dict[str, Any]: ...
+
+
+PARTS = 32  # that a group of a user's analyzer is cut into, if its states can be merged
+
+
+def grouped(analyzer: GroupAnalyzer) -> Callable[[DataFrame, list[str]], DataFrame]:
+    """An analyzer for ``register`` from a user's class: one row a group, with the columns of its ``summary``. States travel
+    pickled; memory is bounded by a batch and a state. Null keys make a group; an empty table gives no rows."""
+
+    def run(df: DataFrame, keys: list[str]) -> DataFrame:
+        columns = list(dict.fromkeys(analyzer.columns))
+        types = {f.name: f for f in df.select(*keys).schema.fields}
+        out_schema = T.StructType([*types.values(), *T.StructType.fromDDL(analyzer.summary).fields])
+        arrow = to_arrow_schema(out_schema)
+        taken = [f"v{i}" for i in range(len(columns))]
+        renamed = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+        rows = df.select(*renamed, *[F.col(c).alias(v) for c, v in zip(columns, taken, strict=True)])
+        names = [f"k{i}" for i in range(len(keys))]
+
+        def state_of(batches: Iterator[pa.RecordBatch]) -> Any:
+            state = analyzer.start()
+            for batch in batches:
+                state = analyzer.add(state, pa.RecordBatch.from_arrays([batch.column(v) for v in taken], columns))
+            return state
+
+        def told(key: tuple[pa.Scalar, ...], state: Any) -> pa.RecordBatch:
+            row = [*(k.as_py() for k in key), *(analyzer.result(state).get(n) for n in arrow.names[len(key) :])]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, arrow.types, strict=True)], schema=arrow)
+
+        def whole(key: Tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # noqa: UP006  (Spark reads this form)
+            yield told(key, state_of(batches))
+
+        def part(key: Tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # noqa: UP006
+            state = pickle.dumps(state_of(batches))
+            yield pa.RecordBatch.from_arrays([*(pa.array([k.as_py()], k.type) for k in key[:-1]), pa.array([state], pa.binary())], [*names, "state"])
+
+        def merged(key: Tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # noqa: UP006
+            state = None
+            for batch in batches:
+                for s in batch.column("state").to_pylist():
+                    state = pickle.loads(s) if state is None else analyzer.merge(state, pickle.loads(s))  # states that this job's own tasks wrote
+            yield told(key, state)
+
+        if not hasattr(analyzer, "merge"):
+            return rows.groupBy(*names).applyInArrow(whole, out_schema)
+        parts = rows.withColumn("part", F.pmod(F.xxhash64(*taken, F.monotonically_increasing_id()), F.lit(PARTS))).groupBy(*names, "part")
+        states = T.StructType([*(T.StructField(n, types[k].dataType) for n, k in zip(names, keys, strict=True)), T.StructField("state", T.BinaryType())])
+        return parts.applyInArrow(part, states).groupBy(*names).applyInArrow(merged, out_schema)
+
+    return run
+
+
 ANALYZERS: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = {}
 BITS = dict(FLAGS)
 

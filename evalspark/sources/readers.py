@@ -40,11 +40,16 @@ def log_lines(lines: DataFrame) -> DataFrame:
 
 
 def directory(spark: SparkSession, path: str, extensions: list[str], content: bool = False) -> DataFrame:
-    """Files below ``path`` by extension, whatever its case. Content is read only if asked for: the scan skips it otherwise."""
+    """Files below ``path`` by extension, whatever its case; Spark leaves empty files out. Content is read only if asked for."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return allowed(files, extensions).select("path", F.col("modificationTime").alias("mtime"), "length", *["content"] * content)
 
 
+def record_listing(spark: SparkSession, path: str, extensions: list[str], listings: str) -> None:
+    """Appends a listing of ``path`` (path, mtime, length) to the folder ``listings``, for ``streams.changed_files`` to read."""
+    directory(spark, path, extensions).write.mode("append").parquet(listings)
+
+
 def allowed(listing: DataFrame, extensions: list[str]) -> DataFrame:
     """The rows of a listing whose path has one of the extensions, in any case."""
     return listing.where(F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).isin([e.lower() for e in extensions]))

@@ -14,10 +14,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.lifecycle import STATUS, normal_names
-from ..operators.windows import KEY
+from ..operators.windows import KEY, windowed
+from ..sources.sinks import write_batch
 
 
 def windowed_summary(stream: DataFrame, size: str = "60 seconds", delay: str = "10 seconds", step: str | None = None) -> DataFrame:
@@ -171,6 +172,72 @@ class FirstOfTtl(StatefulProcessor):
         pass
 
 
+class LastTimes(StatefulProcessor):
+    """Files that are new, or younger than when they were last listed; the state is one time a path."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "micros long")
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        last = self.seen.get()[0] if self.seen.exists() else None
+        told = []
+        for row in _ordered(rows, ["micros", "length"]).itertuples():
+            if last is None or row.micros > last:
+                told.append((key[0], int(row.micros), int(row.length), "new" if last is None else "modified"))
+                last = int(row.micros)
+        if told:
+            self.seen.update((last,))
+        yield pd.DataFrame(told, columns=["path", "micros", "length", "state"])
+
+    def close(self) -> None:
+        pass
+
+
+def changed_files(listings: DataFrame) -> DataFrame:
+    """(path, mtime, length, state) of a stream of listings (path, mtime, length), as ``readers.record_listing`` appends them:
+    each file when it is first listed (new) and whenever it is listed with a later time (modified). A file that is modified
+    several times between two batches is told once for each listing that shows a later time. Rows without a path or time are
+    left out."""
+    rows = listings.where("path is not null and mtime is not null").select("path", F.unix_micros("mtime").alias("micros"), F.coalesce("length", F.lit(0)).alias("length"))
+    made = rows.groupBy("path").transformWithStateInPandas(LastTimes(), "path string, micros long, length long, state string", "Append", "None")
+    return made.select("path", F.timestamp_micros("micros").alias("mtime"), "length", "state")
+
+
+def windows_with_late_rows(stream: DataFrame, path: str, checkpoint: str, size: str = "60 seconds", delay: int = 10, lateness: int = 60) -> StreamingQuery:
+    """Event-time windows that late rows still update, and a side output of those that come too late.
+
+    The watermark is the latest time of all earlier micro-batches less ``delay`` seconds. A row whose window ended ``lateness``
+    seconds before it, or earlier, goes to ``path``/late; all others are added up by key and window, and each micro-batch leaves
+    its own partial summaries in ``path``/windows, so an update is one more small row and no state is held. ``open_windows`` merges
+    them. What a batch writes depends on its rows and on earlier batches only; if it is replayed, it replaces what it wrote.
+    Rows without a time or a number take no part.
+    """
+
+    def write(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        rows = windowed(batch.withColumn("ts", F.col("ts").cast("timestamp")).where("ts is not null and num is not null"), size)
+        rows.persist()
+        try:
+            marks = spark.read.schema("last long").parquet(f"{path}/marks").where(F.col("batch") < n) if n else None
+            known = marks.agg(F.max("last")).first()[0] if marks is not None else None
+            late = F.col("window_end_unix") + lateness <= F.lit(known - delay) if known is not None else F.lit(False)
+            write_batch(rows.where(late), n, f"{path}/late")
+            sums = rows.where(~late).groupBy(*KEY, "window_start_unix").agg(F.count("*").alias("count"), F.sum("num").alias("sum"), F.min("num").alias("min"), F.max("num").alias("max"))
+            write_batch(sums, n, f"{path}/windows")
+            write_batch(rows.agg(F.max(F.unix_timestamp("ts")).alias("last")), n, f"{path}/marks")
+        finally:
+            rows.unpersist()
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def open_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The windows of ``windows_with_late_rows`` as they stand: the partial summaries of all batches merged."""
+    g = spark.read.parquet(f"{path}/windows").groupBy(*KEY, "window_start_unix")
+    out = g.agg(F.sum("count").alias("count"), F.sum("sum").alias("sum"), F.min("min").alias("min"), F.max("max").alias("max"), F.count("*").alias("updates"))
+    return out.withColumn("avg", F.col("sum") / F.col("count"))
+
+
 def task_states(stream: DataFrame, cap: int = 100, ttl: int = 86_400, delay: str = "10 seconds") -> DataFrame:
     """``STATES`` for each event of a stream of (task_id, event_type, ts, directory_key, processor_name, duration_ms, error).
 

@@ -6,15 +6,19 @@ import json
 import math
 import random
 import statistics
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from evalspark.functions import values as V
 from evalspark.operators import analyzers, dispatch, processors, ranks
 from evalspark.sources import arrays
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import tests
+
 ROWS = "k string, aggregation_mask int, num double, label string, passed string, x double, y double, meta string"
 NAN = float("nan")
 
@@ -178,7 +182,7 @@ def test_arrays_make_the_round_trip(spark, tmp_path):
 @pytest.mark.parametrize("parts", [1, 13])
 def test_positions_without_a_sorted_task(spark, parts):
     r = random.Random(parts)
-    data = [(r.choice(["hot"] * 9 + [None, "b"]), r.randrange(10**6), r.choice([1.0, 2.0, None, 50.0, r.gauss(0, 1)]), i) for i in range(3000)]
+    data = [(r.choice(["hot"] * 9 + [None, "b"]), r.randrange(10**6), r.choice([1.0, 2.0, None, 50.0, *[r.gauss(0, 1)] * 6]), i) for i in range(3000)]
     df = spark.createDataFrame(data, "k string, at long, v double, id long").repartition(parts)
     want = collections.defaultdict(list)
     for k, at, v, i in sorted(data, key=lambda x: (x[1], x[3])):
