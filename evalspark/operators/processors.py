@@ -159,8 +159,9 @@ def run_job(tasks: DataFrame, routes: DataFrame, registry: Registry) -> Job:
             if key not in ready:
                 if (name, version) not in classes:
                     raise KeyError(f"processor {name} {version} is not registered")
-                ready[key] = classes[name, version]()
-                ready[key].initialize(settings)
+                made = classes[name, version]()
+                made.initialize(settings)
+                ready[key] = made
             return ready[key]
 
         out, size = [], 0
