@@ -13,7 +13,8 @@ is per language. The frequent phrases of up to ``longest`` words are found in pa
 2. Exact counts. What survives goes into a bitmap of fixed size; the blocks are read again, thinned by it and added up exactly
    by code in each partition. Codes below the threshold go; the rest make the bitmaps by which the next rounds and the last
    pass choose. Codes that fall together, or a bitmap that fills up, let more through and lose nothing. In the last pass the
-   n-grams that are let through are counted by their texts, added up in tasks before the shuffle, and those below go.
+   n-grams that are let through are counted by their texts, added up in tasks, sent as blocks to hash partitions and added up
+   there, and those below go.
 
 Edge cases: a null or empty text has no words; a null language is ``und``. Repeated rows count as often as they come. Equal
 scores are ordered by count, then by the phrase's bytes. Other columns are not read; an empty table gives an empty result.
@@ -21,7 +22,9 @@ scores are ordered by count, then by the phrase's bytes. Other columns are not r
 
 from __future__ import annotations
 
+import collections
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -266,20 +269,25 @@ def _frequent(texts: DataFrame, ks: range, maps: list, parts: int, threshold: in
 
 
 COUNTS = "lang string, words int, phrase string, n long"
+SENT = "part int, lang array<string>, words array<int>, phrase array<string>, n array<long>"
 
 
-def _counts(longest: int, maps: list) -> Callable:
-    """Exact counts of the phrases that the bitmaps let through; under no words, how many words there are."""
+def _counts(longest: int, maps: list, parts: int) -> Callable:
+    """Exact counts of the phrases that the bitmaps let through, as a block for each hash partition; under no words, how many
+    words there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [m.value for m in maps]
         held: dict[tuple[str, int, bytes], int] = {}
 
         def send() -> pa.RecordBatch:
-            lang, k, phrase = zip(*held, strict=True)
-            out = pa.RecordBatch.from_arrays([pa.array(lang), pa.array(k, pa.int32()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())], ["lang", "words", "phrase", "n"])
+            rows: dict[int, list] = {}
+            for (lang, k, phrase), n in held.items():
+                rows.setdefault(zlib.crc32(phrase) * parts >> 32, []).append((lang, k, phrase.decode(), n))
             held.clear()
-            return out
+            blocks = [(part, *map(list, zip(*some, strict=True))) for part, some in rows.items()]
+            types = (pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*blocks, strict=True), types, strict=True)], ["part", "lang", "words", "phrase", "n"])
 
         for words, names in _read(batches):
             if not len(words.start):
@@ -308,6 +316,32 @@ def _counts(longest: int, maps: list) -> Callable:
     return run
 
 
+def _merged(threshold: int) -> Callable:
+    """The phrases of each partition whose counts add up to the threshold, and all counts of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: int | None = None
+        held: collections.Counter = collections.Counter()
+
+        def out() -> pa.RecordBatch:
+            rows = [(*key, n) for key, n in held.items() if n >= threshold or key[1] == 0]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string(), pa.int64()))], ["lang", "words", "phrase", "n"])
+
+        for batch in batches:
+            for i, part in enumerate(batch.column(0).to_pylist()):
+                if part != now:
+                    if held:
+                        yield out()
+                    now = part
+                for *key, n in zip(*(batch.column(c)[i].as_py() for c in range(1, 5)), strict=True):
+                    held[tuple(key)] += n
+        if held:
+            yield out()
+
+    return run
+
+
 def _all_places(words: Words, longest: int, bits: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
     one = _known(words, 1, words.places(1), bits[0])
     yield 1, np.flatnonzero(one)
@@ -327,8 +361,8 @@ def frequent_phrases(docs: DataFrame, threshold: int = 100, longest: int = 5) ->
     maps: list = []
     for ks in (range(1, 2), range(2, 3), range(3, longest + 1)):
         maps.append(_bits(_frequent(texts, ks, maps, parts, threshold)))
-    counted = texts.mapInArrow(_counts(longest, maps), COUNTS).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-    return materialize(counted.where((F.col("n") >= threshold) | (F.col("words") == 0)), "phrases")
+    counted = texts.mapInArrow(_counts(longest, maps, parts), SENT).repartition("part").sortWithinPartitions("part")
+    return materialize(counted.mapInArrow(_merged(threshold), COUNTS), "phrases")
 
 
 def collocations(docs: DataFrame, threshold: int = 100, longest: int = 5, top: int = 2000) -> DataFrame:
