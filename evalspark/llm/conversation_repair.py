@@ -262,3 +262,38 @@ def damage(rows: DataFrame) -> DataFrame:
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(damage(table(spark, sf_dir, "conversations")), alive=F.col("alive"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE
+crc AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+summed AS (SELECT keyed.*, xor(list_reduce(list_transform(string_split(k, ''), lambda c: unicode(c)::BIGINT), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 20 AS d FROM keyed, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM summed, range(2) c(i) WHERE d <> 0 AND (i = 0 OR d = 3)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM damaged),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) AS copy,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS rest FROM numbered),
+faulted AS (SELECT *, left(role, 1) AS r, CASE WHEN rest = '' THEN 'blank' WHEN copy > 1 THEN 'duplicate' WHEN right(rest, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+  lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM ordered),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (n > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS rows FROM faulted GROUP BY conv_id),
+-- places: nothing yet, after s, after u, after a; the least (cost, edits) of each. With these costs no cheapest repair inserts:
+-- deleting the row beside an inserted one costs 2 instead of 5.
+walk AS (
+  SELECT conv_id, 0::BIGINT AS n, [{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}] || list_transform(range(3), lambda i: {'c': 1000000000::BIGINT, 'a': '', 't': []::VARCHAR[]}) AS s FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT w.conv_id, f.n, list_transform(range(4), lambda p: list_min(
+    [{'c': s[p + 1].c + 2, 'a': s[p + 1].a || 'D', 't': s[p + 1].t}] || list_transform(
+      list_filter([
+        {'o': 1, 'p': 1, 'l': 'K', 'r': 's'}, {'o': 1, 'p': 2, 'l': 'K', 'r': 'u'}, {'o': 2, 'p': 2, 'l': 'K', 'r': 'u'}, {'o': 4, 'p': 2, 'l': 'K', 'r': 'u'}, {'o': 3, 'p': 3, 'l': 'K', 'r': 'a'},
+        {'o': 1, 'p': 2, 'l': 'R', 'r': 'user'}, {'o': 2, 'p': 2, 'l': 'R', 'r': 'user'}, {'o': 4, 'p': 2, 'l': 'R', 'r': 'user'}, {'o': 3, 'p': 3, 'l': 'R', 'r': 'assistant'}],
+        lambda e: e.p = p AND f.fault NOT IN ('blank', 'duplicate') AND (e.l = 'R' OR e.r = f.r)),
+      lambda e: {'c': s[e.o].c + (e.l = 'R')::BIGINT + CASE f.fault WHEN 'truncated' THEN 5 ELSE 0 END, 'a': s[e.o].a || e.l, 't': s[e.o].t || [CASE e.l WHEN 'R' THEN e.r ELSE f.role END || ':' || f.text]})))
+  FROM walk w JOIN faulted f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n + 1),
+best AS (SELECT w.conv_id, list_min([s[1], s[4]]) AS b FROM walk w LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id WHERE w.n = coalesce(c.rows, 0))
+SELECT best.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  b.c AS cost, b.a AS audit, sha256(array_to_string(b.t, chr(10))) AS repaired_sha256
+FROM best LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM best.conv_id
+"""

@@ -26,5 +26,6 @@ ORACLE_SQL = {
     "op8_license_scan": license_scan.OP8_SQL,
     "op9_secret_scan": secret_scan.OP9_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_conversation_repair": conversation_repair.OP11_SQL,
     "op13_collocations": collocations.OP13_SQL,
 }
