@@ -664,4 +664,4 @@ def fn13_data_uri(spark, d):
     return A.table(spark, d, "documents").where("text is not null").select("doc_id", V.data_uri(F.lit("text/plain"), F.col("text")).alias("uri"))
 
 
-from . import artifacts, detail, stored  # noqa: E402, F401  (they register their queries)
+from . import artifacts, detail, stored, streamed  # noqa: E402, F401  (they register their queries)
