@@ -62,12 +62,14 @@ def judge(pages: DataFrame, listed: DataFrame, default: str = "allow") -> DataFr
     n = listed.count()
     n_blocks = max(1, 1 << math.ceil(math.log2(max(1, n * BITS_A_KEY / (64 * BLOCK_WORDS)))))
     small = (lambda d: F.broadcast(d)) if max(n, n_blocks) <= BROADCAST_ROWS else (lambda d: d)
-    # distinct lengths of listed paths: at most a few hundred small numbers
+    # distinct lengths of listed paths: at most a few hundred small numbers; and the most labels that a listed host has
     lengths = [r[0] for r in listed.select(F.length("path")).distinct().collect()]
+    labels = listed.agg(F.max(F.size(F.split("host", "[.]")))).first()[0] or 1
     row, host_of, path_of, best_of = (helper(pages, x) for x in ("row", "host", "path", "best"))
     rows = pages.withColumns({row: F.monotonically_increasing_id(), host_of: host, path_of: path})
     keys = rows.select(F.col(row).alias("row"), F.col(host_of).alias("host"), F.col(path_of).alias("path"))
-    suffixes = F.expr("transform(split(host, '[.]'), (x, i) -> array_join(slice(split(host, '[.]'), i + 1, size(split(host, '[.]'))), '.'))")
+    # a host's suffixes of no more labels than listed hosts have: a longer one can't be listed
+    suffixes = F.array_distinct(F.expr(f"transform(sequence(1, {labels}), k -> substring_index(host, '.', -k))"))
     starts = F.array_distinct(F.expr(f"transform(filter(array({', '.join(map(str, lengths)) or '-1'}), n -> n between 0 and length(path)), n -> substring(path, 1, n))"))
     keys = keys.select("row", F.explode(suffixes).alias("suffix"), "path").select("row", "suffix", F.explode(starts).alias("start"))
     keys = keys.withColumn("h", F.xxhash64("suffix", "start")).withColumn("block", F.pmod("h", F.lit(n_blocks)))
