@@ -15,7 +15,7 @@ from ..operators import audit
 from ..sources import adapters as A
 from ..sources import sinks
 from ..streaming import streams
-from .registered import KEYS, OK, M, ctes, query
+from .registered import KEYS, OK, ORACLE_SQL, M, ctes, query
 
 STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -89,3 +89,22 @@ def snk01_stream_by_day(spark, d):
     sinks.stream_by_day(stored_stream(hours, "hours"), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     back = spark.read.schema("window_start_unix long, n long, sum double").parquet(f"{path}/out")
     return back.groupBy(F.floor(F.col("window_start_unix") / 86400).alias("day")).agg(F.sum("n").alias("n"), F.sum("sum").alias("sum"))
+
+
+@query(f"SELECT user_id, event_type, accepted_us FROM ({ORACLE_SQL['str04_dedup_ttl']})")
+def str04_stream_ttl(spark, d):
+    """The exact rule of the batch, with one accepted time for each key as state."""
+    events = A.table(spark, d, "events").select("user_id", "event_type", A.utc("ts").alias("ts"))
+    with rocks(spark):
+        return run_out(streams.accepted_by_ttl(stored_stream(events, "events"), ["user_id", "event_type"], 86_400), "accepted")
+
+
+@query(f"""{ctes(A.LIFECYCLE_SQL)} SELECT task_id, (count(*) OVER w)::BIGINT AS events, lower(substr(event_type, 6)) AS status, array_to_string(list(event_type || '@' || epoch(ts)::BIGINT) OVER (PARTITION BY task_id ORDER BY ts, event_type ROWS BETWEEN 1 PRECEDING AND CURRENT ROW), ',') AS history
+FROM life WINDOW w AS (PARTITION BY task_id ORDER BY ts, event_type ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def str05_task_states(spark, d):
+    """The state of every task after each of its events, with its last two events. No task expires while the stream runs."""
+    events = A.lifecycle(spark, d).select("task_id", "event_type", "ts", "directory_key", "processor_name", "duration_ms", "error")
+    with rocks(spark):
+        told = run_out(streams.task_states(stored_stream(events, "events"), cap=2, ttl=10**9), "states")
+    history = F.from_json("history", "array<array<string>>")
+    return told.select("task_id", "events", "status", F.array_join(F.transform(history, lambda e: F.concat_ws("@", e[0], e[1])), ",").alias("history"))

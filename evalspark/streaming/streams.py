@@ -59,7 +59,8 @@ class TaskStates(StatefulProcessor):
         self.history = handle.getListState("history", "type string, at long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        now = dict(zip(FIELDS, self.state.get(), strict=True)) if self.state.exists() else None
+        kept = self.state.get()  # None for a key without state
+        now = dict(zip(FIELDS, kept, strict=True)) if kept is not None else None
         held = [tuple(h) for h in self.history.get()] if now else []
         before, out = (now or {}).get("at"), []
         none = lambda v: None if pd.isna(v) else v
