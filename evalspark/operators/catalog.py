@@ -30,6 +30,12 @@ def metric_detail(aggregates: DataFrame, metric: str, processor: str | None = No
     return row.withColumn("types", F.concat_ws(",", type_names(F.col("aggregation_mask"))))
 
 
+def metric_data(details: DataFrame, values: DataFrame, artifacts: DataFrame, key: str = "processor_name") -> DataFrame:
+    """Rows of ``metric_detail`` with the values and artifacts of their metric; an absent metric keeps its empty row, with nulls.
+    values and artifacts have one row a key."""
+    return details.join(values, key, "left").join(artifacts, key, "left")
+
+
 def bucket_stats(artifacts: DataFrame) -> DataFrame:
     g = artifacts.groupBy("bucket").agg(F.count("*").alias("objects"), F.sum("size").alias("bytes"))
     return g.withColumn("mb", F.round(F.col("bytes") / (1024 * 1024), 2))

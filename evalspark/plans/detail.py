@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..operators import analyzers, audit, catalog, lifecycle, timeseries
+from ..operators import analyzers, audit, catalog, dispatch, lifecycle, timeseries, windows
 from ..sources import adapters as A
 from ..sources import readers, sinks
 from .artifacts import listed, text
@@ -171,3 +172,64 @@ def ts03_total_or_zero(spark, d):
     c = A.counters(spark, d)
     one = [timeseries.total(c.where(F.col("name") == n), ["name", "instance"]).withColumn("name", F.lit(n)) for n in ("click", "absent")]
     return one[0].unionByName(one[1])
+
+
+@query("""WITH s AS (SELECT event_type, user_id, count(*) AS n, min(event_id) AS low FROM events GROUP BY ALL)
+SELECT event_type, user_id, n, low FROM s WHERE low % 7 > 1""")
+def src08_stored_documents(spark, d):
+    """Stored JSON documents, one a line, of which some are cut off and some are blank: those are skipped."""
+    g = A.table(spark, d, "events").groupBy("event_type", "user_id").agg(F.count("*").alias("n"), F.min("event_id").alias("low"))
+    doc = F.to_json(F.struct("event_type", "user_id", "n", "low"))
+    path = sinks.shared_path(spark, "documents")
+    g.select(F.when(F.col("low") % 7 == 0, F.substring(doc, 1, 15)).when(F.col("low") % 7 == 1, " ").otherwise(doc).alias("value")).write.text(path)
+    return readers.parsed(spark.read.text(path), "event_type string, user_id long, n long, low long")
+
+
+@query(f"WITH {A.ROUTES_SQL} SELECT directory_key, '/in/' || directory_key AS path, algorithm, version, CASE WHEN directory_key LIKE '%1' THEN 'fast' END AS mode FROM routes")
+def src12_route_table(spark, d):
+    """The route table by way of its file format: TOML that names a path, an algorithm, a version and, for some, settings. A route
+    file is read by the driver; it has a table for each directory that is watched."""
+    tables = [f'["{r.directory_key}"]\npath = "/in/{r.directory_key}"\nalgorithm = "{r.algorithm}"\nversion = "{r.version}"\n' + (f'["{r.directory_key}".settings]\nmode = "fast"\n' if r.directory_key.endswith("1") else "") for r in A.routes(spark, d).toLocalIterator()]
+    return readers.routes(spark, "\n".join(tables)).select("directory_key", "path", "algorithm", "version", F.try_element_at("settings", F.lit("mode")).alias("mode"))
+
+
+class Range:
+    """A user's analyzer, for the query: the ends of the values and how many labels there are. Its states can be merged."""
+
+    columns, summary = ["num", "label"], "low double, high double, labels bigint"
+
+    def start(self):
+        return (None, None, frozenset())
+
+    def add(self, state, rows):
+        ends = pc.min_max(rows.column("num")).as_py()
+        return self.merge(state, (ends["min"], ends["max"], frozenset(pc.unique(rows.column("label")).drop_null().to_pylist())))
+
+    def merge(self, a, b):
+        low, high = ([v for v in pair if v is not None] for pair in zip(a[:2], b[:2], strict=True))
+        return (min(low, default=None), max(high, default=None), a[2] | b[2])
+
+    def result(self, state):
+        return {"low": state[0], "high": state[1], "labels": len(state[2])}
+
+
+@query("SELECT event_type, min(value) AS low, max(value) AS high, count(DISTINCT user_id % 10) AS labels FROM events GROUP BY 1")
+def udf04_user_analyzer(spark, d):
+    """A user's analyzer over all events: parts of each group side by side, a batch at a time, and their states merged."""
+    return analyzers.grouped(Range())(A.measurements(spark, d), ["event_type"])
+
+
+@query(f"""WITH v AS (SELECT event_type, value, ts, event_id FROM events), s AS (SELECT event_type, count(*) AS count, avg(value) AS avg, {listed("list(value ORDER BY ts, event_id)", 2)} AS vals, min(value) AS lo, max(value) AS hi FROM v GROUP BY 1),
+c AS (SELECT v.event_type, least(floor((value - lo) / (hi - lo) * 30), 29)::INT AS bin, count(*) AS n FROM v JOIN s USING (event_type) GROUP BY 1, 2), h AS (SELECT event_type, {listed("list(coalesce(n, 0) ORDER BY g.bin)")} AS bins FROM s CROSS JOIN range(30) g(bin) LEFT JOIN c USING (event_type, bin) GROUP BY 1)
+SELECT w AS processor_name, coalesce(count, 0) AS count, avg, vals, bins, count IS NULL AS no_data FROM (SELECT unnest(['click', 'absent']) AS w) LEFT JOIN s ON w = s.event_type LEFT JOIN h ON w = h.event_type""", "avg")
+def cat02_metric_data(spark, d):
+    """Two metrics, one of which is absent, each in one row with its summary, its values in order of time and its artifacts."""
+    m = A.metrics(spark, d).withColumn("aggregation_mask", F.lit(2))
+    stored = sinks.materialize(windows.full_summary(m, "3650 days").withColumn("aggregation_mask", F.lit(2)), "aggregates")
+    names = [("click", "click"), ("absent", "absent")]
+    detail = [catalog.metric_detail(stored, "value", name) for name, _ in names]
+    kept = m.where(F.col("processor_name").isin([n for n, _ in names]))
+    values = windows.collect_values(kept, "3650 days").select("processor_name", "values")
+    typed = kept.withColumns({"label": F.lit(None).cast("string"), "passed": F.lit(None).cast("boolean"), "x": F.lit(None).cast("double"), "y": F.lit(None).cast("double"), "meta": F.lit(None).cast("string")})
+    artifacts = dispatch.artifact_set(typed, ["processor_name"]).select("processor_name", "histogram")
+    return catalog.metric_data(detail[0].unionByName(detail[1]), values, artifacts).select("processor_name", "count", "avg", text(F.col("values"), 2).alias("vals"), text(F.col("histogram.counts")).alias("bins"), "no_data")

@@ -108,3 +108,24 @@ def str05_task_states(spark, d):
         told = run_out(streams.task_states(stored_stream(events, "events"), cap=2, ttl=10**9), "states")
     history = F.from_json("history", "array<array<string>>")
     return told.select("task_id", "events", "status", F.array_join(F.transform(history, lambda e: F.concat_ws("@", e[0], e[1])), ",").alias("history"))
+
+
+ARRIVALS = "arr AS (SELECT *, least(4, greatest(0, date_diff('day', DATE '2024-01-01', ts::DATE) // 7)) + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS b FROM events)"
+
+
+@query(f"""WITH {ARRIVALS}, marks AS (SELECT b, max(floor(epoch(ts))::BIGINT) AS last FROM arr GROUP BY 1), k AS (SELECT b, max(last) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 10 AS mark FROM marks),
+r AS (SELECT event_type, value, b, (epoch_us(ts) // 3600000000) * 3600 AS s, mark FROM arr JOIN k USING (b)), t AS (SELECT *, coalesce(s + 3600 + 86400 <= mark, false) AS late FROM r)
+SELECT event_type AS processor_name, s AS window_start_unix, late, count(*) AS count, sum(value) AS sum, count(DISTINCT b) AS updates FROM t GROUP BY ALL""", "sum")
+def str02_late_output(spark, d):
+    """Events arrive week by week, every tenth a week late: what is at most a day behind the watermark still updates its window,
+    the rest leaves by the side. The stream is started again for each arrival."""
+    week = F.least(F.lit(4), F.greatest(F.lit(0), F.floor(F.date_diff(F.to_date("ts"), F.to_date(F.lit("2024-01-01"))) / 7)))
+    events = A.metrics(spark, d).withColumn("b", (week + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)).cast("int")).drop("aggregation_mask")
+    path = sinks.shared_path(spark, "late")
+    schema = events.drop("b").schema
+    for b in range(6):
+        events.where(F.col("b") == b).drop("b").write.mode("append").parquet(f"{path}/in")
+        streams.windows_with_late_rows(spark.readStream.schema(schema).parquet(f"{path}/in"), f"{path}/out", f"{path}/checkpoint", "1 hour", 10, 86_400).awaitTermination()
+    kept = streams.open_windows(spark, f"{path}/out").select("processor_name", "window_start_unix", F.lit(False).alias("late"), "count", "sum", "updates")
+    side = spark.read.parquet(f"{path}/out/late").groupBy("processor_name", "window_start_unix").agg(F.count("*").alias("count"), F.sum("num").alias("sum"), F.count_distinct("batch").alias("updates"))
+    return kept.unionByName(side.withColumn("late", F.lit(True)))
