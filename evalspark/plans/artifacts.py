@@ -9,6 +9,7 @@ from ..functions import values as V
 from ..operators import analyzers, dispatch, processors
 from ..sources import adapters as A
 from ..sources import arrays, sinks
+from . import examples
 from .registered import ctes, query
 
 
@@ -147,22 +148,6 @@ def anl03_outlier_places(spark, d):
     return analyzers.outlier_rows(A.table(spark, d, "events"), ["event_type"], ["ts", "event_id"], "value")
 
 
-class TextSize:
-    """A processor of texts, for the query: their size in bytes and lines. It refuses texts of some lengths, as faulty files are."""
-
-    name, version = "text_size", "1.0.0"
-
-    def initialize(self, settings):
-        self.modulus = int(settings.get("modulus", 7))
-
-    def run(self, content, settings):
-        if len(content) % self.modulus == 3:
-            raise ValueError(f"cannot read {len(content)} bytes")
-        lines = content.count(b"\n")
-        note = processors.Artifact("size.txt", "text/plain", f"{len(content)} bytes, {lines} lines".encode() if lines else b"")
-        return processors.Result({"n_bytes": processors.Measurement(len(content), 3, {"unit": "bytes"}), "even": processors.Measurement(len(content) % 2 == 0, 16), "lines": lines}, (note,))
-
-
 JOB_SQL = f"""WITH {A.ROUTES_SQL},
 t AS (SELECT doc_id AS task_id, 'dir' || (doc_id % 25) AS directory_key, text, strlen(text)::BIGINT AS n, (length(text) - length(replace(text, chr(10), '')))::BIGINT AS k FROM documents),
 r AS (SELECT t.*, algorithm, CASE WHEN algorithm IS NULL THEN 'KeyError' WHEN algorithm = 'model_asia' THEN 'KeyError' WHEN text IS NULL THEN 'FileNotFoundError' WHEN n % 7 = 3 THEN 'ValueError' END AS bad,
@@ -183,7 +168,7 @@ def udf02_processor_job(spark, d):
     Measured durations are left out, as no two runs agree on them."""
     registry = processors.Registry()
     for region in ("africa", "america", "europe", "middle east"):
-        registry.add(type("TextSizeOfRegion", (TextSize,), {"name": f"model_{region}"}))
+        registry.add(type("TextSizeOfRegion", (examples.TextSize,), {"name": f"model_{region}"}))
     tasks = A.table(spark, d, "documents").select(F.col("doc_id").alias("task_id"), F.concat(F.lit("dir"), (F.col("doc_id") % 25).cast("string")).alias("directory_key"), F.col("text").cast("binary").alias("content"))
     job = processors.run_job(tasks, A.routes(spark, d), registry)
     told = job.events.where("event_type not in ('METRIC_EMITTED', 'ARTIFACT_STORED')").drop("metric_name", "value", "aggregation_mask", "meta", "content_hash", "name", "mime")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..operators import analyzers, audit, catalog, dispatch, lifecycle, timeseries, windows
 from ..sources import adapters as A
 from ..sources import readers, sinks
+from . import examples
 from .artifacts import listed, text
 from .registered import OK, ctes, query
 
@@ -193,30 +193,10 @@ def src12_route_table(spark, d):
     return readers.routes(spark, "\n".join(tables)).select("directory_key", "path", "algorithm", "version", F.try_element_at("settings", F.lit("mode")).alias("mode"))
 
 
-class Range:
-    """A user's analyzer, for the query: the ends of the values and how many labels there are. Its states can be merged."""
-
-    columns, summary = ["num", "label"], "low double, high double, labels bigint"
-
-    def start(self):
-        return (None, None, frozenset())
-
-    def add(self, state, rows):
-        ends = pc.min_max(rows.column("num")).as_py()
-        return self.merge(state, (ends["min"], ends["max"], frozenset(pc.unique(rows.column("label")).drop_null().to_pylist())))
-
-    def merge(self, a, b):
-        low, high = ([v for v in pair if v is not None] for pair in zip(a[:2], b[:2], strict=True))
-        return (min(low, default=None), max(high, default=None), a[2] | b[2])
-
-    def result(self, state):
-        return {"low": state[0], "high": state[1], "labels": len(state[2])}
-
-
 @query("SELECT event_type, min(value) AS low, max(value) AS high, count(DISTINCT user_id % 10) AS labels FROM events GROUP BY 1")
 def udf04_user_analyzer(spark, d):
     """A user's analyzer over all events: parts of each group side by side, a batch at a time, and their states merged."""
-    return analyzers.grouped(Range())(A.measurements(spark, d), ["event_type"])
+    return analyzers.grouped(examples.Range())(A.measurements(spark, d), ["event_type"])
 
 
 @query(f"""WITH v AS (SELECT event_type, value, ts, event_id FROM events), s AS (SELECT event_type, count(*) AS count, avg(value) AS avg, {listed("list(value ORDER BY ts, event_id)", 2)} AS vals, min(value) AS lo, max(value) AS hi FROM v GROUP BY 1),
