@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..sources.sinks import materialize
 
-SMALL = 100_000  # different values of a group that one window may put in order
+SMALL = 1_000_000  # different values of a group that one window may put in order; its sort spills
 PARTS = 256  # cuts of a larger group, about so many
 STEP = 16
 
