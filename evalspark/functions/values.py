@@ -28,10 +28,19 @@ Z_READ = [(0.99, 2.576), (0.95, 1.96), (0.90, 1.645), (0.0, 1.28)]
 MEDIA = {".png": "image/png", ".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".gif": "image/gif", ".json": "application/json", ".npz": "application/x-npz", ".csv": "text/csv", ".txt": "text/plain", ".html": "text/html"}
 
 
+def whole_json(text: Column) -> Column:
+    """Whether a text is one JSON value and nothing more; null is none. Spark's parsers stop after the first value and take no
+    notice of what follows, so the text is read as the first of two items: only a whole value leaves either second item as it is.
+    Names may repeat, and NaN and Infinity are numbers, as in SQL's ``json_valid``."""
+    items = lambda end: F.from_json(F.concat(F.lit("["), text, F.lit(f",{end}]")), "array<string>", {"allowSingleQuotes": "false"})
+    ends = lambda end: (F.size(items(end)) == 2) & (F.get(items(end), 1) == str(end))
+    return F.coalesce(ends(0) & ends(1), F.lit(False))
+
+
 def typed(raw: Column) -> Column:
     """struct<kind, num, bool, str, x, y, items, raw> from JSON text; the kind is settled before anything is cast."""
     fixed = F.regexp_replace(raw, r"^\s*-?(NaN|Infinity)\s*$", '"non-finite"')
-    v = F.try_parse_json(fixed)
+    v = F.when(whole_json(fixed), F.try_parse_json(fixed))
     shape = F.schema_of_variant(v)
     x, y = F.try_variant_get(v, "$.x", "double"), F.try_variant_get(v, "$.y", "double")
     kind = (
@@ -111,7 +120,7 @@ def media_type(name: Column) -> Column:
 def content_kind(mime: Column, content: Column) -> Column:
     """image, json or binary: by media type, and by the first byte where there is none; what doesn't parse is no JSON."""
     told = (mime == "application/json") | (mime.isNull() & F.substring(content, 1, 1).isin("{", "["))
-    return F.when(mime.startswith("image/"), "image").when(told & F.try_parse_json(content).isNotNull(), "json").otherwise("binary")
+    return F.when(mime.startswith("image/"), "image").when(told & whole_json(content), "json").otherwise("binary")
 
 
 def data_uri(mime: Column, content: Column) -> Column:
@@ -153,7 +162,7 @@ def aggregate_hash(processor: Column, version: Column, metric: Column, kind: Col
 
 def point(raw: Column) -> Column:
     """struct<x, y> from JSON text of a list of two, of an object with x and y, or of one whose xy is a list of two; null unless both are finite."""
-    v = F.try_parse_json(raw)
+    v = F.when(whole_json(raw), F.try_parse_json(raw))
     get = lambda path: F.try_variant_get(v, path, "double")
     pair = lambda path: F.size(F.try_variant_get(v, path, "array<variant>")) == 2
     named = get("$.x").isNotNull() & get("$.y").isNotNull()
@@ -165,9 +174,8 @@ def point(raw: Column) -> Column:
 def document_facts(text: Column) -> Column:
     """struct<size, kind, keys, items> of a JSON document: bytes; object, array, scalar or invalid; an object's keys in order;
     the number of an object's keys or an array's items. A null text has a null kind and size."""
-    shape = F.schema_of_variant(F.try_parse_json(text))
-    valid = F.coalesce(shape.isNotNull(), F.lit(False))
-    kind = F.when(text.isNull(), None).when(~valid, "invalid").when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").otherwise("scalar")
+    first = F.substring(F.ltrim(text, F.lit(" \t\n\r")), 1, 1)
+    kind = F.when(text.isNull(), None).when(~whole_json(text), "invalid").when(first == "{", "object").when(first == "[", "array").otherwise("scalar")
     keys = F.when(kind == "object", F.array_sort(F.json_object_keys(text)))
     items = F.when(kind == "object", F.size(keys)).when(kind == "array", F.json_array_length(text))
     return F.struct(F.octet_length(text).cast("long").alias("size"), kind.alias("kind"), keys.alias("keys"), items.alias("items"))

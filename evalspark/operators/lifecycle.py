@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.values import whole_json
 from .ranks import at_ranks, join_groups
 
 STATUS = {"TASK_CREATED": "created", "TASK_STARTED": "started", "TASK_COMPLETED": "completed", "TASK_FAILED": "failed"}
@@ -103,7 +104,7 @@ def dead_letters(records: DataFrame, raw: str, kind: str, known: list[str]) -> D
 
     A null text is unparseable, a null type unknown; the first reason that holds is told.
     """
-    reason = F.when(F.try_parse_json(F.col(raw)).isNull(), "unparseable").when(~F.coalesce(F.col(kind).isin(known), F.lit(False)), "unknown_type")
+    reason = F.when(~whole_json(F.col(raw)), "unparseable").when(~F.coalesce(F.col(kind).isin(known), F.lit(False)), "unknown_type")
     return records.withColumn("reason", reason).where("reason is not null")
 
 

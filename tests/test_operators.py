@@ -101,6 +101,20 @@ def test_content_kinds_and_keys(spark):
     assert key(1) == key(4) == key(99) == "ab/cd/abcdef0123" and key(3) == "ab/abcdef0123"
 
 
+def test_text_behind_a_value_is_no_json(spark):
+    whole = ["{}", " 1 ", "[1, 2]", '{"a": 1, "a": 2}', '"x"', "null", "NaN"]
+    broken = ["4754 Ieein", "{} x", "[1] [2]", '"a" b', "1, 2", "{}, 0] x", "{},1] x", "null, 0", "],[0", "[1", "'a'", "", None]
+    df = spark.createDataFrame([(t,) for t in whole + broken], "t string")
+    r = df.select("t", V.whole_json(F.col("t")).alias("whole"), V.content_kind(F.lit("application/json"), F.col("t")).alias("kind"), V.document_facts(F.col("t"))["kind"].alias("facts"), V.typed(F.col("t"))["kind"].alias("typed")).collect()
+    assert [x.whole for x in r] == [True] * len(whole) + [False] * len(broken)
+    assert [x.kind for x in r] == ["json"] * len(whole) + ["binary"] * len(broken)
+    assert [x.facts for x in r] == ["object", "scalar", "array", "object", "scalar", "scalar", "scalar", *["invalid"] * (len(broken) - 1), None]
+    assert not [x.typed for x in r[len(whole) :] if x.typed]
+    dead = lifecycle.dead_letters(df.withColumn("kind", F.lit("k")), "t", "kind", ["k"]).collect()
+    assert sorted(map(str, (x.t for x in dead))) == sorted(map(str, broken))
+    assert one(spark.range(1).select(V.point(F.lit("[1, 2] x")).alias("p"))).p is None
+
+
 def test_registries_refuse_duplicates():
     registry = processors.Registry()
     kind = type("P", (), {"name": "p", "version": "1"})
