@@ -1,13 +1,14 @@
 """Structured Streaming forms: windowed summaries, deduplication, task state and chain tails.
 
-State that lives as long as the stream is bounded by timers, or by one small row a key. Stateful processors need the RocksDB
+State that lives as long as the stream is bounded by timers, or by one small row a key. Task states and the TTL rule pass their
+state along with the rows, since every call to the store from Python is a round trip. Stateful processors need the RocksDB
 state store (``spark.sql.streaming.stateStore.providerClass``).
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
@@ -15,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.lifecycle import STATUS, normal_names
 from ..operators.windows import KEY, windowed
@@ -40,71 +42,63 @@ def _ordered(frames: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
 STATE = "status string, directory_key string, processor_name string, created_at long, started_at long, completed_at long, duration_ms double, error string, events long, at long"
 FIELDS = [f.split()[0] for f in STATE.split(", ")]
 STATES = f"task_id long, {STATE}, history string"
-
-
-class TaskStates(StatefulProcessor):
-    """A task's state after each of its events, with the last ``cap`` events and the true number of all.
-
-    The value state holds the fields, the list state the history. An event-time timer ``ttl`` after the latest event ends the
-    task: a last row of status ``expired``, and nothing is held any more. Events before a creation are ignored; a second
-    creation starts anew.
+BUCKETS = 1 << 13  # of tasks or keys; calls and state rows are a bucket's, as one for each task costs far more than its events
+
+
+def _steps(now: dict[str, Any] | None, held: list, rows: list[tuple], cap: int) -> Iterator[tuple[dict[str, Any] | None, list]]:
+    """A task's state and history after each of its events that count, given in order."""
+    for at, kind, directory, processor, duration, error in rows:
+        if kind == "TASK_CREATED":
+            now, held = dict.fromkeys(FIELDS) | {"directory_key": directory, "created_at": at, "events": 0, "at": at}, []
+        if now is None:
+            continue
+        now = dict(now)
+        if at >= now["at"] or now["status"] is None:
+            now |= {"status": STATUS[kind], "at": at}
+        if kind == "TASK_STARTED":
+            now |= {"started_at": at, "processor_name": processor}
+        elif kind == "TASK_COMPLETED":
+            now |= {"completed_at": at, "duration_ms": duration}
+        elif kind == "TASK_FAILED":
+            now |= {"completed_at": at, "error": error}
+        now["events"] += 1
+        held = [*held, (kind, at)][-cap:]
+        yield now, held
+
+
+def _task_states(cap: int, ttl: int) -> Callable:
+    """The update of one bucket of tasks. Its state is a JSON object: each task's fields and history by its id.
+
+    The bucket's timer is that of its task quiet for longest. Tasks whose time has come leave before new rows are taken.
     """
 
-    def __init__(self, cap: int, ttl: int):
-        self.cap, self.ttl = cap, ttl
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("task", STATE)
-        self.history = handle.getListState("history", "type string, at long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        kept = self.state.get()  # None for a key without state
-        now = dict(zip(FIELDS, kept, strict=True)) if kept is not None else None
-        held = [tuple(h) for h in self.history.get()] if now else []
-        before, out = (now or {}).get("at"), []
-        none = lambda v: None if pd.isna(v) else v
-        for row in _ordered(rows, ["at", "event_type"]).itertuples():
-            if row.event_type == "TASK_CREATED":
-                now, held = dict.fromkeys(FIELDS) | {"directory_key": none(row.directory_key), "created_at": row.at, "events": 0, "at": row.at}, []
-            if now is None or row.event_type not in STATUS:
-                continue
-            if row.at >= now["at"] or now["status"] is None:
-                now |= {"status": STATUS[row.event_type], "at": row.at}
-            if row.event_type == "TASK_STARTED":
-                now |= {"started_at": row.at, "processor_name": none(row.processor_name)}
-            elif row.event_type == "TASK_COMPLETED":
-                now |= {"completed_at": row.at, "duration_ms": none(row.duration_ms)}
-            elif row.event_type == "TASK_FAILED":
-                now |= {"completed_at": row.at, "error": none(row.error)}
-            now["events"] += 1
-            held = [*held, (row.event_type, int(row.at))][-self.cap :]
-            out.append((key[0], *now.values(), json.dumps(held)))
-        if now is not None:
-            self.state.update(tuple(now.values()))
-            self.history.put(held)
-            if before is not None and before != now["at"]:
-                self.handle.deleteTimer((before + self.ttl) * 1000)
-            self.handle.registerTimer((int(now["at"]) + self.ttl) * 1000)
-        yield self._rows(out)
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        now = dict(zip(FIELDS, self.state.get(), strict=True)) if self.state.exists() else None
-        out = []
-        if now and (now["at"] + self.ttl) * 1000 <= expiredTimerInfo.getExpiryTimeInMs():
-            out.append((key[0], *(now | {"status": "expired"}).values(), json.dumps([tuple(h) for h in self.history.get()])))
-            self.state.clear()
-            self.history.clear()
-        yield self._rows(out)
-
-    def _rows(self, out: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(out, columns=["task_id", *FIELDS, "history"])
-        for c in ("task_id", "created_at", "started_at", "completed_at", "events", "at"):
-            frame[c] = frame[c].astype("Int64")
-        return frame
-
-    def close(self) -> None:
-        pass
+    def update(key: Any, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held: dict[str, list] = json.loads(state.get[0]) if state.exists else {}
+        mark, out = state.getCurrentWatermarkMs(), []
+        tell = lambda task, now, history: out.append((json.loads(task), *now, json.dumps(history)))
+        for task in [t for t, (now, _) in held.items() if (now[-1] + ttl) * 1000 < mark]:
+            now, history = held.pop(task)
+            tell(task, ["expired", *now[1:]], history)
+        arrived: dict[str, list[tuple]] = {}
+        for frame in [] if state.hasTimedOut else frames:
+            columns = [frame[c].tolist() for c in ("task", "at", "event_type", "directory_key", "processor_name", "duration_ms", "error")]
+            for task, *row in zip(*columns, strict=True):
+                arrived.setdefault(task or "null", []).append((*row[:4], None if pd.isna(row[4]) else row[4], row[5]))
+        for task, rows in arrived.items():
+            now, history = held.get(task, (None, []))
+            now = dict(zip(FIELDS, now, strict=True)) if now else None
+            for now, history in _steps(now, history, sorted(rows, key=lambda r: r[:2]), cap):  # noqa: B007
+                tell(task, now.values(), history)
+            if now is not None:
+                held[task] = (list(now.values()), history)
+        if held:
+            state.update((json.dumps(held),))
+            state.setTimeoutTimestamp(max((min(now[-1] for now, _ in held.values()) + ttl) * 1000, mark + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=["task_id", *FIELDS, "history"], dtype=object)
+
+    return update
 
 
 class ChainTails(StatefulProcessor):
@@ -134,43 +128,37 @@ class ChainTails(StatefulProcessor):
         pass
 
 
-class FirstOfTtl(StatefulProcessor):
-    """Rows accepted when none of their key was within ``ttl`` seconds before; repeats don't extend it. Keys that stay quiet
-    are forgotten: an event-time timer clears the last accepted time once it cannot matter any more."""
-
-    def __init__(self, ttl: int):
-        self.ttl = ttl
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.accepted = handle.getValueState("accepted", "at long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        last = self.accepted.get()[0] if self.accepted.exists() else None
-        before, kept = last, []
-        times = np.unique(np.concatenate([f["micros"].to_numpy() for f in rows]))
-        at = 0
-        while at < len(times):
-            if last is not None and times[at] < last + self.ttl * 1_000_000:
-                at = int(np.searchsorted(times, last + self.ttl * 1_000_000))  # jumps over all that is held back
-                continue
-            last = int(times[at])
-            kept.append((*key, last))
-            at += 1
-        if last != before:
-            self.accepted.update((last,))
-            if before is not None:
-                self.handle.deleteTimer(before // 1000 + self.ttl * 1000)
-            self.handle.registerTimer(last // 1000 + self.ttl * 1000)
-        yield pd.DataFrame(kept, columns=[*(f"k{i}" for i in range(len(key))), "accepted_us"])
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        if self.accepted.exists() and self.accepted.get()[0] // 1000 + self.ttl * 1000 <= expiredTimerInfo.getExpiryTimeInMs():
-            self.accepted.clear()
-        yield pd.DataFrame([], columns=[*(f"k{i}" for i in range(len(key))), "accepted_us"])
-
-    def close(self) -> None:
-        pass
+def _first_of_ttl(ttl: int) -> Callable:
+    """The update of one bucket of keys. Its state is a JSON object: each key's last accepted time, for as long as it can matter."""
+    micros = ttl * 1_000_000
+
+    def update(key: Any, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        mark, kept = state.getCurrentWatermarkMs(), []
+        held: dict[str, int] = json.loads(state.get[0]) if state.exists else {}
+        held = {k: last for k, last in held.items() if last + micros > mark * 1000}
+        if not state.hasTimedOut:
+            rows = pd.concat(list(frames))
+            codes, names = pd.factorize(rows["name"])
+            order = np.lexsort((rows["micros"].to_numpy(), codes))
+            codes, all_times = codes[order], rows["micros"].to_numpy()[order]
+            for name, times in zip(names, np.split(all_times, np.flatnonzero(np.diff(codes)) + 1), strict=True):
+                last, at = held.get(name), 0
+                while at < len(times):
+                    if last is not None and times[at] < last + micros:
+                        at += int(np.searchsorted(times[at:], last + micros))  # jumps over all that is held back
+                        continue
+                    last = int(times[at])
+                    kept.append((name, last))
+                    at += 1
+                held[name] = last
+        if held:
+            state.update((json.dumps(held),))
+            state.setTimeoutTimestamp(max(min(held.values()) // 1000 + ttl * 1000, mark + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({"name": pd.Series([k for k, _ in kept], dtype=object), "accepted_us": pd.Series([t for _, t in kept], dtype="int64")})
+
+    return update
 
 
 class LastTimes(StatefulProcessor):
@@ -239,15 +227,22 @@ def open_windows(spark: SparkSession, path: str) -> DataFrame:
     return out.withColumn("avg", F.col("sum") / F.col("count"))
 
 
-def task_states(stream: DataFrame, cap: int = 100, ttl: int = 86_400, delay: str = "10 seconds") -> DataFrame:
-    """``STATES`` for each event of a stream of (task_id, event_type, ts, directory_key, processor_name, duration_ms, error).
+def task_states(stream: DataFrame, cap: int = 100, ttl: int = 86_400, delay: str = "10 seconds", buckets: int = BUCKETS) -> DataFrame:
+    """``STATES`` for each event of a stream of (task_id, event_type, ts, directory_key, processor_name, duration_ms, error): a
+    task's state after that event, with the last ``cap`` events and the true number of all.
+
+    Older JOB_* names are read as TASK_*. Times are seconds; history is a JSON list of [type, at]. Rows behind the watermark or
+    without a time are dropped, null task ids make one task, and rows of other types are ignored, as are events before a creation;
+    a second creation starts anew. Once the watermark is more than ``ttl`` behind a task's latest event, the task ends: a last row of
+    status ``expired``, and nothing is held any more.
 
-    Older JOB_* names are read as TASK_*. Times are seconds; history is a JSON list of [type, at]. Rows behind the watermark
-    are dropped, null task ids make one task, and rows of other types are ignored.
+    Tasks are dealt by hash into ``buckets``, whose live tasks are read and written as one state row. What a call holds is one
+    bucket's share of the live tasks and of a micro-batch.
     """
-    rows = normal_names(stream).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    rows = rows.select("task_id", "event_type", "ts", F.unix_timestamp("ts").alias("at"), "directory_key", "processor_name", "duration_ms", "error")
-    return rows.groupBy("task_id").transformWithStateInPandas(TaskStates(cap, ttl), STATES, "Append", "EventTime")
+    rows = normal_names(stream).withColumn("ts", F.col("ts").cast("timestamp")).where("ts is not null").withWatermark("ts", delay).where(F.col("event_type").isin(list(STATUS)))
+    task = F.col("task_id").cast("string").alias("task")  # a null among whole numbers would make them floats in pandas
+    rows = rows.select(F.pmod(F.xxhash64("task_id"), F.lit(buckets)).alias("bucket"), task, "event_type", "ts", F.unix_timestamp("ts").alias("at"), "directory_key", "processor_name", "duration_ms", "error")
+    return rows.groupBy("bucket").applyInPandasWithState(_task_states(cap, ttl), STATES, "tasks string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def chain_breaks(stream: DataFrame, tails: DataFrame | None = None) -> DataFrame:
@@ -263,13 +258,17 @@ def saved_tails(spark: SparkSession, checkpoint: str) -> DataFrame:
     return rows.select(F.col("key.source_id").alias("source_id"), F.col("value.hash").alias("last_hash"), F.col("value.events").alias("event_count"))
 
 
-def accepted_by_ttl(stream: DataFrame, keys: list[str], ttl: int, delay: str = "10 seconds") -> DataFrame:
+def accepted_by_ttl(stream: DataFrame, keys: list[str], ttl: int, delay: str = "10 seconds", buckets: int = BUCKETS) -> DataFrame:
     """(keys, accepted_us) by the exact rule of ``lifecycle.deduplicate_ttl``, for rows that come in order of time from batch to
-    batch (rows of one batch may come in any). Rows without a time are left out."""
+    batch (rows of one batch may come in any). Rows without a time are left out. Keys are dealt by hash into ``buckets``, whose
+    live keys are read and written as one state row; keys travel as JSON."""
     if ttl < 1:
         raise ValueError("ttl must be one second at least")
     rows = stream.withColumn("ts", F.col("ts").cast("timestamp")).where("ts is not null").withWatermark("ts", delay)
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    name = F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]), exact).alias("name")
+    rows = rows.select(name, "ts", F.unix_micros("ts").alias("micros")).withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(buckets)))
+    made = rows.groupBy("bucket").applyInPandasWithState(_first_of_ttl(ttl), "name string, accepted_us long", "keys string", "append", GroupStateTimeout.EventTimeTimeout)
     types = dict(stream.dtypes)
-    out = ", ".join(f"k{i} {types[k]}" for i, k in enumerate(keys)) + ", accepted_us long"
-    made = rows.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], "ts", F.unix_micros("ts").alias("micros")).groupBy(*[f"k{i}" for i in range(len(keys))]).transformWithStateInPandas(FirstOfTtl(ttl), out, "Append", "EventTime")
-    return made.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)], "accepted_us")
+    read = F.from_json("name", ", ".join(f"k{i} {types[k]}" for i, k in enumerate(keys)), exact).alias("k")
+    return made.select(read, "accepted_us").select(*[F.col(f"k.k{i}").alias(k) for i, k in enumerate(keys)], "accepted_us")

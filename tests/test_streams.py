@@ -121,6 +121,30 @@ def test_accepted_rows_are_those_of_the_batch(spark, tmp_path, ttl):
     assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(got) > 20
 
 
+def test_many_tasks_share_state_rows(spark, tmp_path):
+    """One call and one state row a bucket, not several calls to the store a task; a bucket's tasks still expire one by one."""
+    run = Streamed(spark, tmp_path, EVENTS, lambda s: streams.task_states(s, ttl=100, buckets=4))
+    out = run([event(t, "TASK_CREATED", (t or 0) % 50, dir=str(t)) for t in [*range(400), None]] + [event(2**60 + 1, "TASK_CREATED", 49), (7, "TASK_STARTED", None, None, "p", None, None)])
+    assert len(out) == 402 and {r.task_id for r in out} == {*range(400), None, 2**60 + 1}
+    assert spark.read.format("statestore").load(run.checkpoint).count() <= 4
+    out = run([event(1, "TASK_STARTED", 135, proc="p"), event(399, "TASK_STARTED", 136, proc="p")]) + run([event(399, "TASK_COMPLETED", 140, ms=1.0)])
+    gone = [r.task_id for r in out if r.status == "expired"]
+    assert len(gone) == len(set(gone)) and set(gone) >= {t for t in range(400) if t % 50 < 26} - {1} and not {1, 399, 2**60 + 1} & set(gone)
+    assert [r.events for r in out if r.task_id == 399] == [2, 3]
+
+
+def test_many_keys_share_state_rows(spark, tmp_path):
+    at = lambda s: T0 + dt.timedelta(seconds=s)
+    schema = "k double, j timestamp, ts timestamp"
+    key = lambda i: (i / 3, T0 + dt.timedelta(microseconds=i))
+    run = Streamed(spark, tmp_path, schema, lambda s: streams.accepted_by_ttl(s, ["k", "j"], 60, buckets=4))
+    got = run([(*key(i), at(0)) for i in range(300)] + [(*key(i), at(59)) for i in range(300)] + [(None, None, at(5))])
+    assert len(got) == 301 and {r.k for r in got} == {i / 3 for i in range(300)} | {None} and all(r.accepted_us in (UNIX * 10**6, (UNIX + 5) * 10**6) for r in got)
+    assert len({r.j for r in got}) == 301
+    assert spark.read.format("statestore").load(run.checkpoint).count() <= 4
+    assert sorted((r.k, r.accepted_us) for r in run([(*key(3), at(59)), (*key(4), at(60)), (*key(4), at(61))])) == [(4 / 3, (UNIX + 60) * 10**6)]
+
+
 RECORDS = "topic string, key string, value string, headers array<struct<key: string, value: binary>>"
 
 
