@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.values import FLAGS, Z_ANALYZER, Z_READ, finite, parse_bool, wilson, z_of
-from .ranks import at_ranks, between, join_groups, positions, quantile_ranks
+from ..sources.sinks import materialize
+from .ranks import at_counted_ranks, at_ranks, between, join_groups, positions, quantile_ranks
 
 
 def stats(df: DataFrame, keys: list[str], value: str = "num") -> DataFrame:
@@ -51,15 +52,21 @@ def histogram_series(bins: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def outliers(df: DataFrame, keys: list[str], value: str = "num", factor: float = 1.5) -> DataFrame:
-    """Quartiles, bounds and counts of what lies outside; groups of under four values have none."""
-    ok = df.where(finite(F.col(value)))
-    quartiles = at_ranks(ok, keys, value, quantile_ranks("q1", 0.25) | quantile_ranks("q3", 0.75))
-    bounds = join_groups(ok.groupBy(*keys).agg(F.count("*").alias("count")), quartiles, keys)
+    """Quartiles, bounds and counts of what lies outside; groups of under four values have none.
+
+    The input is read once, to count equal values. The bounds are stored, so that Spark sees how few they are and sends them to
+    the counts: no task gets a whole group, as one would if the rows were dealt by group to meet them.
+    """
+    counted = df.where(finite(F.col(value))).groupBy(*keys, F.col(value).alias("_value")).agg(F.count("*").alias("_times"))
+    counted = materialize(counted, "counted")
+    quartiles = at_counted_ranks(counted, keys, "_value", "_times", quantile_ranks("q1", 0.25) | quantile_ranks("q3", 0.75))
+    bounds = join_groups(counted.groupBy(*keys).agg(F.sum("_times").alias("count")), quartiles, keys)
     bounds = bounds.select(*keys, "count", between("q1", 0.25, F.col("count")).alias("q1"), between("q3", 0.75, F.col("count")).alias("q3"))
     bounds = bounds.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({"lower": F.col("q1") - F.lit(factor) * F.col("iqr"), "upper": F.col("q3") + F.lit(factor) * F.col("iqr")})
-    out = ok.join(bounds.where("count >= 4").select(*keys, "lower", "upper"), keys).where((F.col(value) < F.col("lower")) | (F.col(value) > F.col("upper")))
-    n = out.groupBy(*keys).agg(F.count("*").alias("outlier_count"))
-    return bounds.join(n, keys, "left").withColumn("outlier_count", F.coalesce("outlier_count", F.lit(0))).withColumn("fraction", F.col("outlier_count") / F.col("count"))
+    bounds = materialize(bounds, "bounds")
+    out = join_groups(counted, bounds.where("count >= 4").select(*keys, "lower", "upper"), keys).where((F.col("_value") < F.col("lower")) | (F.col("_value") > F.col("upper")))
+    n = out.groupBy(*keys).agg(F.sum("_times").alias("outlier_count"))
+    return join_groups(bounds, n, keys, "left").withColumn("outlier_count", F.coalesce("outlier_count", F.lit(0))).withColumn("fraction", F.col("outlier_count") / F.col("count"))
 
 
 def outlier_rows(df: DataFrame, keys: list[str], order: list[str], value: str = "num", factor: float = 1.5) -> DataFrame:

@@ -115,6 +115,16 @@ def test_text_behind_a_value_is_no_json(spark):
     assert one(spark.range(1).select(V.point(F.lit("[1, 2] x")).alias("p"))).p is None
 
 
+def test_outliers_deal_no_group_to_one_task(spark):
+    """The rows meet their bounds where they lie, and those of a null key do so too."""
+    rows = [(k, float(v)) for k in ("a", None) for v in [*range(20), 3, 3, 900, 900, -700]] + [("few", 1.0), ("few", 900.0), ("a", float("nan")), ("a", None)]
+    out = analyzers.outliers(spark.createDataFrame(rows, "k string, num double"), ["k"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    got = {r.k: (r["count"], r.outlier_count) for r in out.collect()}
+    assert got == {"a": (25, 3), None: (25, 3), "few": (2, 0)}
+
+
 def test_registries_refuse_duplicates():
     registry = processors.Registry()
     kind = type("P", (), {"name": "p", "version": "1"})
