@@ -34,7 +34,7 @@ from .graph import components
 from .shared import bitmap, bits_for, helper, in_bitmap, materialize, table
 
 BLOCK_PAIRS = 512
-CODE_BITS = 48  # of a shingle's hash in counting and in prefixes; what shares a code by chance only makes a candidate more
+CODE_BITS = 40  # of a shingle's hash in counting and in prefixes; what shares a code by chance only makes a candidate more
 CHUNK_TOKENS, CHUNK_DOCS = 1_000_000, 50_000  # of a chunk of documents whose shingles are sorted together
 SEVERAL = 1 << 40  # in place of a document, for a code that several of a chunk have
 
@@ -126,7 +126,7 @@ def prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
         each[order] = np.repeat(total, np.diff(np.r_[first, len(codes)]))
         again = each > 1
         out = [np.flatnonzero(again & (sent == k)) for k in range(len(got))] if len(got) < 8 else np.split(np.flatnonzero(again), np.searchsorted(sent[again], np.arange(1, len(got))))
-        blobs = [_packed(codes[x], owner[x], each[x]) for x in out if len(x)]
+        blobs = [_packed(np.diff(codes[x], prepend=codes[x[0]]), codes[x[:1]], owner[x], each[x]) for x in out if len(x)]
         return pa.table({"chunk": pa.array([c for c, x in zip(chunks.tolist(), out, strict=True) if len(x)], pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +139,8 @@ def prefixes(docs: DataFrame, n: int, percent: int) -> DataFrame:
         names = mine.column("names")[0].as_py()
         sizes, many_codes, many_owner = _unpacked(mine.column("blob")[0].as_py())
         got = [_unpacked(b.as_py()) for b in answers.column("blob")]
-        codes, owner, total = (np.concatenate([np.zeros(0, np.int64), *(x[k] for x in got)]) for k in range(3))
+        codes = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(d) + base[0] for d, base, _, _ in got)])
+        owner, total = (np.concatenate([np.zeros(0, np.int64), *(x[k] for x in got)]) for k in (2, 3))
         # codes that several documents of the chunk have: the total of each goes to all of them
         shared = owner == SEVERAL
         order = np.argsort(codes[shared])

@@ -409,3 +409,11 @@ def test_columns_may_be_called_anything(spark, odd):
         out = stage(spark, extra, SF)
         assert out.columns == extra.columns and out.select(HELPERS).distinct().collect() == extra.select(HELPERS).distinct().collect(), name
         assert stage(spark, extra.limit(0), SF).count() == 0, name
+
+
+def test_prefix_codes_are_short(spark):
+    """Codes of 40 bits: sorted, their differences take three bytes where those of 48 bits take four."""
+    words = [f"w{i}" for i in range(300)]
+    docs = spark.createDataFrame([(" ".join(words[a : a + 60]),) for a in range(0, 200, 4)], "text string")
+    rows = jaccard_join.prefixes(docs, 5, 80).collect()
+    assert rows and max(t for r in rows for t in r.tokens) < 1 << 40
